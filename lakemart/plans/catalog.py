@@ -10,7 +10,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.plans import build, intermediate, marts, staging
+from lakemart.functions import normalize_null_tokens
+from lakemart.operators import quality, sample
+from lakemart.operators.dedupe import latest_per_key
+from lakemart.plans import build, data_tests, intermediate, marts, staging
 from lakemart.sources import benchmark as bm
 
 Query = "Callable[[SparkSession, str], DataFrame]"
@@ -130,3 +133,86 @@ def dim_product(spark, sf):
 def fact_sales(spark, sf):
     s, dims = gold(spark, sf)
     return build.fact_sales(s, dims)
+
+
+# --- whole model graph ------------------------------------------------------------
+
+def models(spark, sf) -> dict[str, DataFrame]:
+    s, dims = gold(spark, sf)
+    out = {
+        "stg_orders": s.orders, "stg_customers": s.customers, "stg_order_items": s.order_items,
+        "stg_payments": s.payments, "stg_products": s.products, "stg_sellers": s.sellers,
+        "stg_geolocation": s.geolocation, "stg_order_reviews": s.reviews,
+        "stg_category_translation": s.category_translation,
+        "payments_aggregated": s.payments_aggregated,
+    }
+    out.update(dims)
+    out["fact_sales"] = build.fact_sales(s, dims)
+    return out
+
+
+# --- data tests (Q1-Q6) -------------------------------------------------------------
+
+@query
+def test_not_null(spark, sf):
+    return quality.not_null(stg_orders(spark, sf), "order_purchase_timestamp")
+
+
+@query
+def test_unique(spark, sf):
+    return quality.unique(fact_sales(spark, sf), "sales_key")
+
+
+@query
+def test_accepted_values(spark, sf):
+    return quality.accepted_values(stg_orders(spark, sf), "order_status", data_tests.SHIPPED)
+
+
+@query
+def test_accepted_range(spark, sf):
+    return quality.accepted_range(stg_geolocation(spark, sf), "geolocation_lat", -35, 45)
+
+
+@query
+def test_relationships(spark, sf):
+    return quality.relationships(stg_orders(spark, sf), "customer_id",
+                                 stg_customers(spark, sf), "customer_id")
+
+
+@query
+def test_unique_combo(spark, sf):
+    return quality.unique_combination(stg_order_items(spark, sf), ["order_id", "order_item_id"])
+
+
+@query
+def data_tests_summary(spark, sf):
+    return quality.run_tests(models(spark, sf), data_tests.SUITE)
+
+
+# --- generic operators on the benchmark tables ----------------------------------------
+
+@query
+def dedupe_latest(spark, sf):
+    """Latest ship date per (order, line); every other column breaks ties."""
+    return latest_per_key(bm.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
+
+
+NULL_TOKEN_TEXT = {
+    "order_id": "CAST(o_orderkey AS STRING)",
+    "order_priority": "CASE o_orderkey % 6 WHEN 0 THEN 'NULL' WHEN 1 THEN 'None' WHEN 2 THEN '' "
+                      "WHEN 3 THEN 'null' WHEN 4 THEN ' NULL ' ELSE o_orderpriority END",
+    "order_status": "CASE WHEN o_custkey % 4 = 0 THEN 'None' ELSE o_orderstatus END",
+}
+
+
+@query
+def null_tokens(spark, sf):
+    raw = bm.table(spark, sf, "orders").selectExpr(
+        *[f"{e} AS {n}" for n, e in NULL_TOKEN_TEXT.items()])
+    return normalize_null_tokens(raw)
+
+
+@query
+def hash_sample(spark, sf):
+    """500 customers in seeded pseudo-random order (the generator's customer sample)."""
+    return sample.hash_sample(bm.table(spark, sf, "customer"), 500, ["c_custkey"], seed=42)

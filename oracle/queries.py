@@ -17,3 +17,78 @@ for _name, _model in {
     "dim_seller": "dim_seller", "dim_product": "dim_product", "fact_sales": "fact_sales",
 }.items():
     SQL[_name] = with_models(f"SELECT * FROM {_model}", _model)
+
+# --- data tests ----------------------------------------------------------------------
+SQL["test_not_null"] = with_models(
+    "SELECT * FROM stg_orders WHERE order_purchase_timestamp IS NULL", "stg_orders")
+SQL["test_unique"] = with_models(
+    "SELECT sales_key, count(*) AS n_records FROM fact_sales WHERE sales_key IS NOT NULL "
+    "GROUP BY sales_key HAVING count(*) > 1", "fact_sales")
+SQL["test_accepted_values"] = with_models(
+    "SELECT order_status, count(*) AS n_records FROM stg_orders WHERE order_status IS NOT NULL "
+    "AND order_status NOT IN ('delivered', 'shipped') GROUP BY order_status", "stg_orders")
+SQL["test_accepted_range"] = with_models(
+    "SELECT * FROM stg_geolocation WHERE NOT (geolocation_lat >= -35 AND geolocation_lat <= 45)",
+    "stg_geolocation")
+SQL["test_relationships"] = with_models(
+    "SELECT * FROM stg_orders o WHERE o.customer_id IS NOT NULL AND NOT EXISTS "
+    "(SELECT 1 FROM stg_customers c WHERE c.customer_id = o.customer_id)", "stg_orders", "stg_customers")
+SQL["test_unique_combo"] = with_models(
+    "SELECT order_id, order_item_id, count(*) AS n_records FROM stg_order_items "
+    "GROUP BY order_id, order_item_id HAVING count(*) > 1", "stg_order_items")
+
+
+def _lit(v):
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def _check_sql(c) -> str:
+    m, col = c.model, c.column
+    if c.test == "not_null":
+        body = f"SELECT count(*) FROM {m} WHERE {col} IS NULL"
+    elif c.test == "accepted_range":
+        body = f"SELECT count(*) FROM {m} WHERE NOT ({col} >= {c.min_value} AND {col} <= {c.max_value})"
+    elif c.test == "unique":
+        body = (f"SELECT count(*) FROM (SELECT {col} FROM {m} WHERE {col} IS NOT NULL "
+                f"GROUP BY {col} HAVING count(*) > 1)")
+    elif c.test == "accepted_values":
+        vals = ", ".join(_lit(v) for v in c.values)
+        body = (f"SELECT count(*) FROM (SELECT {col} FROM {m} WHERE {col} IS NOT NULL "
+                f"AND {col} NOT IN ({vals}) GROUP BY {col})")
+    elif c.test == "relationships":
+        body = (f"SELECT count(*) FROM {m} ch WHERE ch.{col} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {c.to} pa WHERE pa.{c.field} = ch.{col})")
+    else:
+        raise ValueError(c.test)
+    return (f"SELECT '{m}' AS model, '{c.test}' AS test, '{c.column_name}' AS column_name, "
+            f"({body}) AS violations")
+
+
+def _summary_sql() -> str:
+    from lakemart.plans.data_tests import SUITE
+    names = sorted({c.model for c in SUITE} | {c.to for c in SUITE if c.to})
+    return with_models("\nUNION ALL\n".join(_check_sql(c) for c in SUITE),
+                       *[{"stg_payments": "stg_payments"}.get(n, n) for n in names])
+
+
+SQL["data_tests_summary"] = _summary_sql()
+
+# --- generic operators ---------------------------------------------------------------
+_LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate"]
+SQL["dedupe_latest"] = (
+    "SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
+    "ORDER BY l_shipdate DESC NULLS FIRST, "
+    + ", ".join(f"{c} ASC NULLS FIRST" for c in _LI_REST) + ") = 1")
+
+_TOK = "('NULL', 'null', 'None', '')"
+SQL["null_tokens"] = (
+    "SELECT " + ", ".join(f"CASE WHEN {n} IN {_TOK} THEN NULL ELSE {n} END AS {n}"
+                          for n in ("order_id", "order_priority", "order_status"))
+    + " FROM (SELECT CAST(o_orderkey AS VARCHAR) AS order_id, "
+      "CASE o_orderkey % 6 WHEN 0 THEN 'NULL' WHEN 1 THEN 'None' WHEN 2 THEN '' "
+      "WHEN 3 THEN 'null' WHEN 4 THEN ' NULL ' ELSE o_orderpriority END AS order_priority, "
+      "CASE WHEN o_custkey % 4 = 0 THEN 'None' ELSE o_orderstatus END AS order_status FROM orders)")
+
+SQL["hash_sample"] = ("SELECT * FROM customer ORDER BY md5(CAST(c_custkey AS VARCHAR) || '|' || '42') "
+                      "LIMIT 500")
