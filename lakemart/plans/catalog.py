@@ -7,13 +7,16 @@ Each query reads the whole benchmark tables through the bronze-shaped views of
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakemart.functions import normalize_null_tokens
-from lakemart.operators import quality, sample
+from lakemart.operators import history, merge, quality, sample
 from lakemart.operators.dedupe import latest_per_key
 from lakemart.plans import build, data_tests, intermediate, marts, staging
+from lakemart.session import scratch_path
 from lakemart.sources import benchmark as bm
 
 Query = "Callable[[SparkSession, str], DataFrame]"
@@ -216,3 +219,98 @@ def null_tokens(spark, sf):
 def hash_sample(spark, sf):
     """500 customers in seeded pseudo-random order (the generator's customer sample)."""
     return sample.hash_sample(bm.table(spark, sf, "customer"), 500, ["c_custkey"], seed=42)
+
+
+# --- incremental fact (P7, J7, S14, S15) ------------------------------------------------
+
+# the benchmark items arrive in three loads, cut by their load time
+LOAD_CUTS = ("1997-01-01 00:00:00", "1999-01-01 00:00:00")
+FACT_PARTITION = "purchase_month"
+
+
+def _items_loaded_before(s: build.Silver, cut: str | None) -> build.Silver:
+    if cut is None:
+        return s
+    return replace(s, order_items=s.order_items.where(F.col("_loaded_at") < merge.ntz_literal(cut)))
+
+
+def _with_partition(fact: DataFrame) -> DataFrame:
+    return fact.withColumn(FACT_PARTITION, F.date_format("order_purchase_timestamp", "yyyy-MM"))
+
+
+def incremental_fact_run(spark, s: build.Silver, dims, path: str, reshape=None) -> dict:
+    """One scheduled run of the fact: watermark -> incremental build -> upsert."""
+    exists = merge.table_exists(spark, path)
+    wm = merge.high_watermark(spark.read.parquet(path)) if exists else None
+    fact = build.fact_sales(s, dims, loaded_after=wm)
+    if reshape is not None:
+        fact = reshape(fact)
+    return merge.upsert_table(_with_partition(fact), path, ["sales_key"], [FACT_PARTITION])
+
+
+@query
+def incremental_filter(spark, sf):
+    """Rows the second load adds on top of a fact built from the first load."""
+    s, dims = gold(spark, sf)
+    previous = build.fact_sales(_items_loaded_before(s, LOAD_CUTS[0]), dims)
+    return build.fact_sales(s, dims, loaded_after=merge.high_watermark(previous))
+
+
+@query
+def incremental_merge(spark, sf):
+    """Three scheduled runs merged into a month-partitioned parquet fact."""
+    s, dims = gold(spark, sf)
+    path = scratch_path(spark, "fact_sales")
+    for cut in (*LOAD_CUTS, None):
+        incremental_fact_run(spark, _items_loaded_before(s, cut), dims, path)
+    return spark.read.parquet(path).drop(FACT_PARTITION)
+
+
+LEGACY_COLUMN = "legacy_channel"
+
+
+@query
+def schema_sync(spark, sf):
+    """First run with an older fact layout; the second run syncs all columns."""
+    s, dims = gold(spark, sf)
+    path = scratch_path(spark, "fact_sales_v1")
+    old_layout = lambda f: f.drop("is_mixed_payment").withColumn(LEGACY_COLUMN, F.lit("web"))
+    incremental_fact_run(spark, _items_loaded_before(s, LOAD_CUTS[0]), dims, path, old_layout)
+    incremental_fact_run(spark, s, dims, path)
+    return spark.read.parquet(path).drop(FACT_PARTITION)
+
+
+# --- history (J8, J10) ---------------------------------------------------------------------
+
+SNAPSHOT_RUNS = ("2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00",
+                 "2024-01-29 00:00:00", "2024-02-01 00:00:00")
+
+
+def user_feed(events: DataFrame, as_of: str) -> DataFrame:
+    """The user export at ``as_of``: each user's latest event so far; users whose
+    latest event is an error are not exported (they come back with a later event)."""
+    latest = latest_per_key(events.where(F.col("ts") < merge.ntz_literal(as_of)), ["user_id"], "ts")
+    return latest.where(F.col("event_type") != "error").select("user_id", "event_type", "value", "ts")
+
+
+def user_history(spark, sf) -> DataFrame:
+    ev = bm.table(spark, sf, "events")
+    h = None
+    for t in SNAPSHOT_RUNS:
+        h = history.scd2_check(h, user_feed(ev, t), "user_id", ["event_type"], t)
+    return h
+
+
+@query
+def scd2_snapshot(spark, sf):
+    return user_history(spark, sf)
+
+
+@query
+def scd2_as_of(spark, sf):
+    ev = bm.table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    j = history.as_of_join(ev, user_history(spark, sf), "user_id", "ts", extend_first=True)
+    return j.select("event_id", "user_id", "ts", "event_type",
+                    F.col("h__event_type").alias("state_event_type"),
+                    F.col(f"h__{history.VALID_FROM}").alias("state_valid_from"),
+                    F.col(f"h__{history.SCD_ID}").alias("state_scd_id"))

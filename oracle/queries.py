@@ -92,3 +92,82 @@ SQL["null_tokens"] = (
 
 SQL["hash_sample"] = ("SELECT * FROM customer ORDER BY md5(CAST(c_custkey AS VARCHAR) || '|' || '42') "
                       "LIMIT 500")
+
+# --- incremental fact ------------------------------------------------------------------
+_CUT1 = "TIMESTAMP '1997-01-01 00:00:00'"
+_FACT_REST = ["customer_key", "seller_key", "product_key", "date_key", "order_id", "order_item_id",
+              "order_status", "order_purchase_timestamp", "delivered_on_time", "days_to_deliver",
+              "price", "freight_value", "order_item_total", "total_payment_value",
+              "primary_payment_type", "is_mixed_payment", "_loaded_at"]
+
+SQL["incremental_filter"] = with_models(
+    "SELECT * FROM fact_sales WHERE _loaded_at > (SELECT coalesce(max(_loaded_at), "
+    f"TIMESTAMP '1900-01-01 00:00:00') FROM fact_sales WHERE _loaded_at < {_CUT1})", "fact_sales")
+
+
+def _merged_sql(early_select: str, late_cols: str) -> str:
+    return (
+        f"SELECT {early_select} FROM fact_sales e WHERE e._loaded_at < {_CUT1} AND NOT EXISTS "
+        f"(SELECT 1 FROM fact_sales l WHERE l._loaded_at >= {_CUT1} AND l.sales_key = e.sales_key) "
+        f"UNION ALL SELECT {late_cols} FROM (SELECT * FROM fact_sales WHERE _loaded_at >= {_CUT1} "
+        "QUALIFY row_number() OVER (PARTITION BY sales_key ORDER BY _loaded_at DESC NULLS FIRST, "
+        + ", ".join(f"{c} ASC NULLS FIRST" for c in _FACT_REST) + ") = 1)")
+
+
+_ALL = "sales_key, " + ", ".join(_FACT_REST)
+SQL["incremental_merge"] = with_models(_merged_sql(_ALL, _ALL), "fact_sales")
+SQL["schema_sync"] = with_models(
+    _merged_sql(_ALL.replace("is_mixed_payment", "CAST(NULL AS BOOLEAN) AS is_mixed_payment"), _ALL),
+    "fact_sales")
+
+# --- history ---------------------------------------------------------------------------
+_RUNS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00",
+         "2024-01-29 00:00:00", "2024-02-01 00:00:00"]
+_DATA = "user_id, event_type, value, ts"
+
+
+def _feed(t: str) -> str:
+    return ("SELECT user_id, event_type, value, ts FROM (SELECT * FROM events "
+            f"WHERE ts < TIMESTAMP '{t}' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY "
+            "ts DESC NULLS FIRST, event_id ASC NULLS FIRST, ts ASC NULLS FIRST, "
+            "event_type ASC NULLS FIRST, value ASC NULLS FIRST, props ASC NULLS FIRST) = 1) "
+            "WHERE event_type <> 'error'")
+
+
+def _meta(alias: str, t: str) -> str:
+    T = f"TIMESTAMP '{t}'"
+    return (f"md5(CAST({alias}.user_id AS VARCHAR) || '|' || CAST({T} AS VARCHAR)) AS dbt_scd_id, "
+            f"{T} AS dbt_updated_at, {T} AS dbt_valid_from")
+
+
+def _history_ctes() -> list[str]:
+    ctes = [f"feed1 AS ({_feed(_RUNS[0])})",
+            f"h1 AS (SELECT {_DATA}, {_meta('f', _RUNS[0])}, CAST(NULL AS TIMESTAMP) AS dbt_valid_to "
+            "FROM feed1 f)"]
+    for k, t in enumerate(_RUNS[1:], start=2):
+        T = f"TIMESTAMP '{t}'"
+        prev = f"h{k - 1}"
+        ctes.append(f"feed{k} AS ({_feed(t)})")
+        ctes.append(
+            f"h{k} AS (SELECT * FROM {prev} WHERE dbt_valid_to IS NOT NULL "
+            f"UNION ALL SELECT o.user_id, o.event_type, o.value, o.ts, o.dbt_scd_id, o.dbt_updated_at, "
+            f"o.dbt_valid_from, CASE WHEN s.user_id IS NULL OR o.event_type IS DISTINCT FROM s.event_type "
+            f"THEN {T} END AS dbt_valid_to "
+            f"FROM (SELECT * FROM {prev} WHERE dbt_valid_to IS NULL) o LEFT JOIN feed{k} s ON o.user_id = s.user_id "
+            f"UNION ALL SELECT s.user_id, s.event_type, s.value, s.ts, {_meta('s', t)}, "
+            f"CAST(NULL AS TIMESTAMP) AS dbt_valid_to FROM feed{k} s "
+            f"LEFT JOIN (SELECT * FROM {prev} WHERE dbt_valid_to IS NULL) o ON o.user_id = s.user_id "
+            "WHERE o.user_id IS NULL OR o.event_type IS DISTINCT FROM s.event_type)")
+    return ctes
+
+
+_H = f"h{len(_RUNS)}"
+SQL["scd2_snapshot"] = "WITH " + ",\n".join(_history_ctes()) + f"\nSELECT * FROM {_H}"
+SQL["scd2_as_of"] = (
+    "WITH " + ",\n".join(_history_ctes()) + ",\n"
+    f"hx AS (SELECT *, CASE WHEN dbt_valid_from = min(dbt_valid_from) OVER (PARTITION BY user_id) "
+    f"THEN NULL ELSE dbt_valid_from END AS eff_from FROM {_H})\n"
+    "SELECT e.event_id, e.user_id, e.ts, e.event_type, h.event_type AS state_event_type, "
+    "h.dbt_valid_from AS state_valid_from, h.dbt_scd_id AS state_scd_id "
+    "FROM events e LEFT JOIN hx h ON e.user_id = h.user_id AND (h.eff_from IS NULL OR e.ts >= h.eff_from) "
+    "AND (h.dbt_valid_to IS NULL OR e.ts < h.dbt_valid_to)")
