@@ -12,10 +12,15 @@ such a key:
   checkpoint, turn per-partition counts into rank offsets, and pick the one
   or two values at the middle rank.  No task ever holds more than one range
   partition of one key.
+
+Several columns are handled in one pipeline by stacking them as
+(key, column, value) -- one shuffle (and one checkpoint) serves them all.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,48 +28,67 @@ from lakemart.operators.dedupe import top1_per_key
 from lakemart.session import checkpoint_dir
 
 
+def _stack(df: DataFrame, key: str, columns: Mapping[str, str], cast: str | None) -> DataFrame:
+    vals = [(F.col(c).cast(cast) if cast else F.col(c)) for c in columns.values()]
+    return (df.select(F.col(key).alias("_k"), F.explode(F.array(*[
+                F.struct(F.lit(i).alias("_i"), v.alias("_v")) for i, v in enumerate(vals)])).alias("_s"))
+              .select("_k", "_s._i", "_s._v")
+              .where(F.col("_v").isNotNull()))
+
+
+def _unstack(per: DataFrame, key: str, columns: Mapping[str, str], value: str) -> DataFrame:
+    return per.groupBy(F.col("_k").alias(key)).agg(*[
+        F.max(F.when(F.col("_i") == i, F.col(value))).alias(out) for i, out in enumerate(columns)])
+
+
+def modes_per_key(df: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
+    """``{out: col}`` -> most frequent non-NULL value of each col per key (ties: lowest)."""
+    counts = _stack(df, key, columns, "string").groupBy("_k", "_i", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    top = top1_per_key(counts, ["_k", "_i"], [F.col("_n").desc(), F.col("_v").asc()], tiebreak=False)
+    return _unstack(top, key, columns, "_v")
+
+
 def mode_per_key(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:
-    """Most frequent non-NULL value per key; ties go to the lowest value."""
-    counts = (df.where(F.col(value).isNotNull())
-                .groupBy(key, value).agg(F.count(F.lit(1)).alias("_n")))
-    top = top1_per_key(counts, [key], [F.col("_n").desc(), F.col(value).asc()], tiebreak=False)
-    return top.select(key, F.col(value).alias(out or value))
+    return modes_per_key(df, key, {out or value: value})
 
 
-def median_per_key(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:
-    """Exact interpolated median of the non-NULL values per key (as DOUBLE)."""
-    out = out or value
+def medians_per_key(df: DataFrame, key: str, columns: Mapping[str, str],
+                    partitions: int | None = None) -> DataFrame:
+    """``{out: col}`` -> exact interpolated median (DOUBLE) of each col per key, NULLs ignored."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    pairs = (df.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"))
-               .where(F.col("_v").isNotNull())
-               .groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    # value order inside each key, split across partitions where a key is hot;
-    # the checkpoint freezes which partition every pair landed in
-    ranged = (pairs.repartitionByRange("_k", "_v")
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = _stack(df, key, columns, "double").groupBy("_k", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # value order inside each (key, column), split across partitions where a key
+    # is hot; the checkpoint freezes which partition every pair landed in
+    ranged = (pairs.repartitionByRange(n_parts, "_k", "_i", "_v")
                    .withColumn("_pid", F.spark_partition_id())
                    .checkpoint(eager=True))
-    # rows here: one per (partition, key) touched -> at most partitions + keys
-    per_part = ranged.groupBy("_pid", "_k").agg(F.sum("_c").alias("_pc"))
-    by_key = Window.partitionBy("_k")
+    g = ["_k", "_i"]
+    # one row per (partition, key, column) touched: at most partitions + groups
+    per_part = ranged.groupBy("_pid", *g).agg(F.sum("_c").alias("_pc"))
+    by_group = Window.partitionBy(*g)
     per_part = (per_part
-                .withColumn("_off", F.sum("_pc").over(by_key.orderBy("_pid")) - F.col("_pc"))
-                .withColumn("_n", F.sum("_pc").over(by_key))
+                .withColumn("_off", F.sum("_pc").over(by_group.orderBy("_pid")) - F.col("_pc"))
+                .withColumn("_n", F.sum("_pc").over(by_group))
                 .withColumn("_pos", (F.col("_n") - 1) / 2.0)
                 .withColumn("_lo", F.floor("_pos"))
                 .withColumn("_hi", F.ceil("_pos")))
-    # only the partitions that contain a middle rank are ranked value by value
-    hit = ((F.col("_lo") >= F.col("_off")) & (F.col("_lo") < F.col("_off") + F.col("_pc"))) | \
-          ((F.col("_hi") >= F.col("_off")) & (F.col("_hi") < F.col("_off") + F.col("_pc")))
-    cand = ranged.join(per_part.where(hit), ["_pid", "_k"])
-    run = Window.partitionBy("_pid", "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = lambda p: (F.col(p) >= F.col("_off")) & (F.col(p) < F.col("_off") + F.col("_pc"))
+    # only partitions holding a middle rank are ranked value by value
+    cand = ranged.join(per_part.where(inside("_lo") | inside("_hi")), ["_pid", *g])
+    run = Window.partitionBy("_pid", *g).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     cand = (cand.withColumn("_end", F.col("_off") + F.sum("_c").over(run))
                 .withColumn("_start", F.col("_end") - F.col("_c")))
-    in_range = lambda p: (F.col(p) >= F.col("_start")) & (F.col(p) < F.col("_end"))
-    picked = (cand.groupBy("_k")
-                  .agg(F.max(F.when(in_range("_lo"), F.col("_v"))).alias("_lv"),
-                       F.max(F.when(in_range("_hi"), F.col("_v"))).alias("_hv"),
+    at = lambda p: (F.col(p) >= F.col("_start")) & (F.col(p) < F.col("_end"))
+    picked = (cand.groupBy(*g)
+                  .agg(F.max(F.when(at("_lo"), F.col("_v"))).alias("_lv"),
+                       F.max(F.when(at("_hi"), F.col("_v"))).alias("_hv"),
                        F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo")))
     frac = F.col("_pos") - F.col("_lo")
-    med = F.when(frac == 0, F.col("_lv")).otherwise((1 - frac) * F.col("_lv") + frac * F.col("_hv"))
-    return picked.select(F.col("_k").alias(key), med.alias(out))
+    med = F.when(frac == 0, F.col("_lv")).otherwise(F.col("_lv") + (F.col("_hv") - F.col("_lv")) * frac)
+    return _unstack(picked.select("_k", "_i", med.alias("_m")), key, columns, "_m")
+
+
+def median_per_key(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:
+    return medians_per_key(df, key, {out or value: value})

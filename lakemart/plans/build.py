@@ -7,6 +7,7 @@ materialise (see :mod:`lakemart.plans.weekly`).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,20 +65,48 @@ def calendar_bounds(df: DataFrame, ts_col: str) -> tuple[dt.date, dt.date]:
     return row["lo"], row["hi"] + dt.timedelta(days=1)
 
 
+class Dimensions(Mapping):
+    """Lazily built gold dimensions: a dimension is planned on first access.
+
+    Besides the five dimensions it offers ``customer_keys``/``seller_keys``, the
+    key columns of ``dim_customer``/``dim_seller`` (same rows), so a fact build
+    does not plan the geography rollup it would only prune away again.
+    """
+
+    def __init__(self, factories: dict[str, Callable[[], DataFrame]]):
+        self._factories = factories
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._factories[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._factories)
+
+    def __len__(self) -> int:
+        return len(self._factories)
+
+
 def dimensions(spark: SparkSession, s: Silver, calendar: tuple | None = None,
-               as_of: dt.date | str | None = None) -> dict[str, DataFrame]:
+               as_of: dt.date | str | None = None) -> Dimensions:
     start, end = calendar or ("2016-01-01", "2027-12-31")
-    geo = marts.dim_geolocation(s.geolocation)
-    return {
-        "dim_date": marts.dim_date(spark, start, end, as_of),
-        "dim_geolocation": geo,
-        "dim_customer": marts.dim_customer(s.customers, geo),
-        "dim_seller": marts.dim_seller(s.sellers, geo),
-        "dim_product": marts.dim_product(s.products, s.category_translation),
-    }
+    d: Dimensions
+    d = Dimensions({
+        "dim_date": lambda: marts.dim_date(spark, start, end, as_of),
+        "dim_geolocation": lambda: marts.dim_geolocation(s.geolocation),
+        "dim_customer": lambda: marts.dim_customer(s.customers, d["dim_geolocation"]),
+        "dim_seller": lambda: marts.dim_seller(s.sellers, d["dim_geolocation"]),
+        "dim_product": lambda: marts.dim_product(s.products, s.category_translation),
+        "customer_keys": lambda: marts.customer_keys(s.customers),
+        "seller_keys": lambda: marts.seller_keys(s.sellers),
+    })
+    return d
 
 
 def fact_sales(s: Silver, dims: dict[str, DataFrame], loaded_after=None) -> DataFrame:
-    return marts.fact_sales(s.order_items, s.orders, s.payments_aggregated,
-                            dims["dim_customer"], dims["dim_seller"], dims["dim_product"],
-                            dims["dim_date"], loaded_after)
+    customers = dims["customer_keys"] if "customer_keys" in dims else dims["dim_customer"]
+    sellers = dims["seller_keys"] if "seller_keys" in dims else dims["dim_seller"]
+    return marts.fact_sales(s.order_items, s.orders, s.payments_aggregated, customers, sellers,
+                            dims["dim_product"], dims["dim_date"], loaded_after)

