@@ -88,7 +88,7 @@ def with_audit(parsed: DataFrame, table: str, loaded_at=None) -> DataFrame:
     # business column in the read schema without changing the value
     corrupt = F.coalesce(F.col(CORRUPT), F.when(F.length(F.col(cols[0])) < 0, F.lit("")))
     return parsed.select(*[null_if_token(F.col(c), NULL_TOKENS).alias(c) for c in cols],
-                         F.col("_metadata.file_name").alias("_file_name"),
+                         F.col("_metadata.file_path").alias("_file_name"),
                          loaded_at_col(loaded_at).alias("_loaded_at"),
                          corrupt.alias(CORRUPT))
 

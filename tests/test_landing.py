@@ -27,7 +27,7 @@ def test_csv_quoting_quarantine_and_tokens(spark, tmp):
     assert set(g) == {"r1", "r2"}
     assert g["r1"].review_comment_title == 'say "hi"' and g["r1"].review_comment_message == "two\nlines"
     assert g["r2"].review_score is None and g["r2"].review_comment_title is None
-    assert g["r1"]._file_name == "w1.csv" and g["r1"]._loaded_at == dt.datetime(2024, 1, 7)
+    assert g["r1"]._file_name.endswith("/w1.csv") and g["r1"]._loaded_at == dt.datetime(2024, 1, 7)
     assert bad.count() == 2
     rep = landing.load_report({"raw_order_reviews": loaded}).first()
     assert (rep.files_loaded, rep.files_errored, rep.rows_loaded, rep.rows_rejected) == (0, 1, 2, 2)
