@@ -68,8 +68,9 @@ def bronze_schema(table: str) -> StructType:
 
 
 def csv_options(table: str) -> dict[str, str]:
+    # drops may sit in nested folders; paths never carry partition columns
     return {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": CORRUPT,
+            "columnNameOfCorruptRecord": CORRUPT, "recursiveFileLookup": "true",
             "multiLine": str(table in MULTILINE_TABLES).lower()}
 
 
