@@ -91,23 +91,44 @@ def _partition_filter(cols: Sequence[str], values: list[tuple]) -> Column:
     return cond
 
 
+def partitioned_writer(df: DataFrame, partition_cols: Sequence[str]):
+    """Writer that clusters rows by the partition columns first.
+
+    The ``rebalance`` hint lets AQE hash rows by the partition columns (few
+    files per partition) while splitting oversized partitions, so a month
+    holding a third of the data is still written by many tasks.
+    """
+    if not partition_cols:
+        return df.write
+    return df.hint("rebalance", *partition_cols).write.partitionBy(*partition_cols)
+
+
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
                  partition_cols: Sequence[str] = (), order_col: str = "_loaded_at") -> dict:
     """Merge ``source`` into the parquet table at ``path``; create it on the first run.
 
     The first run writes the build as is (like CREATE TABLE AS SELECT).  Later
-    runs merge by ``keys``.  A key must not move between partitions (the
-    partition columns are a function of the key, e.g. the order's purchase
-    month).  If the columns changed, every row is rewritten with the new
-    columns (old rows get NULL in new columns; removed columns are dropped).
-    Returns a small report.
+    runs merge by ``keys``:
+      1. the increment is computed once and staged on shared storage,
+         partitioned like the table;
+      2. the touched partitions are read off the staged copy (one value per
+         partition, bounded by the partition count, not the data);
+      3. only those partitions of the table are read (partition pruning),
+         merged, staged again, and swapped in by a dynamic partition overwrite.
+    A key must not move between partitions (the partition columns are a
+    function of the key, e.g. the order's purchase month).  If the columns
+    changed, every row is rewritten with the new columns (old rows get NULL in
+    new columns; removed columns are dropped).  Returns a small report.
     """
     spark = source.sparkSession
     partition_cols = list(partition_cols)
-    writer = lambda df: df.write.partitionBy(*partition_cols) if partition_cols else df.write
+    writer = lambda df: partitioned_writer(df, partition_cols)
     if not table_exists(spark, path):
         writer(source).mode("errorifexists").parquet(path)
         return {"mode": "create", "partitions": None}
+    staged_src_path = scratch_path(spark, "upsert-source")
+    writer(source).parquet(staged_src_path)
+    src = spark.read.schema(source.schema).parquet(staged_src_path)
     existing = spark.read.parquet(path)
     same_columns = set(existing.columns) == set(source.columns)
     # with unchanged columns, read with the source's schema: partition values are
@@ -115,17 +136,18 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
     target = spark.read.schema(source.schema).parquet(path) if same_columns else existing
     touched = None
     if partition_cols and same_columns:
-        # one row per touched partition: bounded by the partition count, not the data
-        touched = [tuple(r) for r in source.select(*partition_cols).distinct().collect()]
+        touched = sorted((tuple(r) for r in src.select(*partition_cols).distinct().collect()), key=repr)
         if not touched:
             return {"mode": "noop", "partitions": []}
         target = target.where(_partition_filter(partition_cols, touched))
-    merged = merge_frames(target, source, keys, order_col)
+    merged = merge_frames(target, src, keys, order_col)
     stage = scratch_path(spark, "upsert-stage")
     writer(merged).parquet(stage)
-    staged = spark.read.parquet(stage).select(*merged.columns)
+    staged = spark.read.schema(merged.schema).parquet(stage)
     dynamic = touched is not None
-    (writer(staged).mode("overwrite")
+    # the staged copy is already clustered by partition: no second shuffle
+    swap = staged.write.partitionBy(*partition_cols) if partition_cols else staged.write
+    (swap.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .parquet(path))
     return {"mode": "merge" if dynamic or not partition_cols else "rewrite",

@@ -68,3 +68,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_dir(spark)
     # checkpoint dirs reported by Spark carry a per-application subfolder
     return os.path.join(root.rstrip("/"), "lakemart-scratch", f"{name}-{uuid.uuid4().hex}")
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a scan that arrives in fewer splits than there are cores.
+
+    A single unsplittable file (one parquet row group) is one task, and all
+    work before the first shuffle would run on one core.  Large inputs arrive
+    in many splits and are left alone, so this costs nothing at scale.
+    Filters and column pruning still reach the scan below the repartition.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -17,12 +17,14 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakemart.session import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 RAW_ORDERS = {
