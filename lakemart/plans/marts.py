@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import (date_key, day_abbr, day_of_week0, month_abbr, surrogate_key,
                                 year_month)
-from lakemart.operators.merge import incremental_filter
+from lakemart.operators.merge import incremental_filter, ntz_literal
 from lakemart.operators.stats import medians_per_key, modes_per_key
 
 # A calendar is bounded by its date range; beyond this it is not a dimension
@@ -115,13 +115,32 @@ def dim_product(stg_products: DataFrame, stg_category_translation: DataFrame) ->
 SHIPPED_STATUSES = ("delivered", "shipped")
 
 
+def pending_items(order_items: DataFrame, existing_fact: DataFrame, loaded_after) -> DataFrame:
+    """Items past the watermark plus older items that never reached the fact.
+
+    The plain watermark loses an item whose order was not shipped yet when it
+    arrived: later runs only look past the watermark.  This adds those items
+    back (an anti-join on the fact's key), at the price of reading the item
+    keys and the fact keys once per run.
+    """
+    new = incremental_filter(order_items, loaded_after)
+    old = (order_items.where(F.col("_loaded_at") <= ntz_literal(loaded_after))
+                      .withColumn("_sk", surrogate_key("order_id", "order_item_id"))
+                      .join(existing_fact.select(F.col("sales_key").alias("_sk")), "_sk", "left_anti")
+                      .drop("_sk"))
+    return new.unionByName(old)
+
+
 def fact_sales(order_items: DataFrame, orders: DataFrame, payments: DataFrame,
                dim_customer: DataFrame, dim_seller: DataFrame, dim_product: DataFrame,
-               dim_date: DataFrame, loaded_after=None) -> DataFrame:
+               dim_date: DataFrame, loaded_after=None,
+               existing_fact: DataFrame | None = None) -> DataFrame:
     """Order-line fact of delivered/shipped orders.
 
     ``loaded_after`` is the high watermark of the existing fact (a literal, so
     the filter is pushed into the item scan); ``None`` means a full build.
+    Passing ``existing_fact`` as well also reprocesses older items that never
+    made it into the fact (see :func:`pending_items`).
 
     Join order: the customer, payment and calendar lookups depend only on the
     order, so they are joined to the (filtered) orders first -- the order-grain
@@ -134,7 +153,9 @@ def fact_sales(order_items: DataFrame, orders: DataFrame, payments: DataFrame,
     date range.  A hot order is split by AQE's skew-join handling.
     """
     oi = order_items
-    if loaded_after is not None:
+    if loaded_after is not None and existing_fact is not None:
+        oi = pending_items(oi, existing_fact, loaded_after)
+    elif loaded_after is not None:
         oi = incremental_filter(oi, loaded_after)
     o = (orders.where(F.col("order_status").isin(*SHIPPED_STATUSES))
                .select("order_id", "customer_id", "order_status", "order_purchase_timestamp",

@@ -79,11 +79,19 @@ def snapshot_customers(spark: SparkSession, b: build.Bronze, path: str, run_at)
 
 def run_weekly(spark: SparkSession, layout: Layout, run_at: dt.datetime,
                calendar: tuple = ("2016-01-01", "2027-12-31"), as_of=None,
-               tables=tuple(landing.BRONZE_COLUMNS), run_tests: bool = True) -> dict:
+               tables=tuple(landing.BRONZE_COLUMNS), run_tests: bool = True,
+               full_load: bool = False, reprocess_open_orders: bool = False) -> dict:
+    """``full_load`` re-appends every landing file (forced load) instead of only
+    new ones; ``reprocess_open_orders`` lets items whose order was not shipped
+    on arrival enter the fact later (the default, like the source models, skips
+    them once the watermark has passed)."""
     summary: dict = {"run_at": run_at}
     # 1. load: every new landing file of every table (the streaming ledger skips old ones)
-    report = file_ledger.load_incremental(spark, layout.landing, layout.bronze, layout.ledger,
-                                          tables, run_at)
+    if full_load:
+        report = landing.full_reload(spark, layout.landing, layout.bronze, tables, run_at)
+    else:
+        report = file_ledger.load_incremental(spark, layout.landing, layout.bronze, layout.ledger,
+                                              tables, run_at)
     summary["load"] = {r["table"]: r.asDict() for r in report.collect()}
     b = bronze_frames(spark, layout)
     # 2. snapshot
@@ -100,9 +108,11 @@ def run_weekly(spark: SparkSession, layout: Layout, run_at: dt.datetime,
         gold[name] = spark.read.parquet(path)
     fact_path = os.path.join(layout.gold, "fact_sales")
     exists = merge.table_exists(spark, fact_path)
-    wm = merge.high_watermark(spark.read.parquet(fact_path)) if exists else None
+    existing = spark.read.parquet(fact_path) if exists else None
+    wm = merge.high_watermark(existing) if exists else None
     fact = marts.fact_sales(s.order_items, s.orders, s.payments_aggregated, gold["dim_customer"],
-                            gold["dim_seller"], gold["dim_product"], gold["dim_date"], wm)
+                            gold["dim_seller"], gold["dim_product"], gold["dim_date"], wm,
+                            existing if reprocess_open_orders else None)
     fact = fact.withColumn(FACT_PARTITION, F.date_format("order_purchase_timestamp", "yyyy-MM"))
     summary["fact_merge"] = merge.upsert_table(fact, fact_path, ["sales_key"], [FACT_PARTITION])
     gold["fact_sales"] = spark.read.parquet(fact_path).drop(FACT_PARTITION)

@@ -78,5 +78,9 @@ def spread(df, min_partitions: int | None = None):
     in many splits and are left alone, so this costs nothing at scale.
     Filters and column pruning still reach the scan below the repartition.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        return df
+    return df.repartition(target) if splits < target else df

@@ -47,3 +47,42 @@ def test_merge_frames_sync_drops_removed_columns(spark):
     s = frame(spark, [("b", 2, "m", dt.datetime(2024, 1, 2))])
     out = merge.merge_frames(t, s, ["k"])
     assert out.columns == s.columns and out.count() == 2
+
+
+def test_open_orders_are_lost_by_default_and_kept_on_request(spark):
+    import datetime as dt
+
+    from lakemart.plans import marts
+    d1, d2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 8)
+    items = spark.createDataFrame(
+        [("o1", 1, "p", "s", "1.00", "1.00", d1), ("o2", 1, "p", "s", "1.00", "1.00", d1),
+         ("o3", 1, "p", "s", "1.00", "1.00", d2)],
+        "order_id string, order_item_id int, product_id string, seller_id string, price string, "
+        "freight_value string, _loaded_at timestamp_ntz") \
+        .selectExpr("order_id", "CAST(order_item_id AS DECIMAL(38,0)) AS order_item_id", "product_id",
+                    "seller_id", "CAST(price AS DECIMAL(10,2)) AS price",
+                    "CAST(freight_value AS DECIMAL(10,2)) AS freight_value",
+                    "CAST(price AS DECIMAL(10,2)) + CAST(freight_value AS DECIMAL(10,2)) AS order_item_total",
+                    "_loaded_at")
+
+    def orders(o2_status):
+        return spark.createDataFrame(
+            [("o1", "c", "delivered"), ("o2", "c", o2_status), ("o3", "c", "shipped")],
+            "order_id string, customer_id string, order_status string") \
+            .selectExpr("*", "TIMESTAMP_NTZ '2024-01-01 10:00:00' AS order_purchase_timestamp",
+                        "true AS delivered_on_time", "1 AS days_to_deliver")
+    pays = spark.createDataFrame([], "order_id string, total_payment_value decimal(20,2), "
+                                     "primary_payment_type string, is_mixed_payment boolean")
+    cust = spark.createDataFrame([("c", "kc")], "customer_id string, customer_key string")
+    sell = spark.createDataFrame([("s", "ks")], "seller_id string, seller_key string")
+    prod = spark.createDataFrame([("p", "kp")], "product_id string, product_key string")
+    cal = marts.dim_date(spark, "2024-01-01", "2024-01-02", "2024-01-01")
+
+    def build(o, wm=None, existing=None):
+        return marts.fact_sales(items, o, pays, cust, sell, prod, cal, wm, existing)
+    first = build(orders("processing")).where(F.col("_loaded_at") <= merge.ntz_literal(d1))
+    assert sorted(r.order_id for r in first.collect()) == ["o1"]
+    plain = build(orders("shipped"), d1)
+    assert sorted(r.order_id for r in plain.collect()) == ["o3"]
+    again = build(orders("shipped"), d1, first)
+    assert sorted(r.order_id for r in again.collect()) == ["o2", "o3"]
