@@ -402,3 +402,28 @@ def incremental_load(spark, sf):
 @query
 def verify_counts(spark, sf):
     return landing.verify_counts({name: fn(spark, sf) for name, fn in bm.RAW_BUILDERS.items()})
+
+
+CUSTOMER_SNAPSHOT_RUNS = ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
+
+
+@query
+def snap_customer(spark, sf):
+    """The customer address snapshot, run after each of the two weekly customer loads."""
+    from lakemart.plans import weekly
+    raw = bm.raw_customers(spark, sf)
+    h = None
+    for t in CUSTOMER_SNAPSHOT_RUNS:
+        h = weekly.customer_snapshot(h, raw.where(F.col("_loaded_at") < merge.ntz_literal(t)), t)
+    return h
+
+
+@query
+def full_reload(spark, sf):
+    """Two forced loads of the same order drop: every row lands twice."""
+    t = "raw_orders"
+    root, bronze_root = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    write_landing(landing_lines(spark, sf, t), f"{root}/{landing.SUBFOLDER[t]}")
+    landing.full_reload(spark, root, bronze_root, [t], LANDING_STAMP)
+    landing.full_reload(spark, root, bronze_root, [t], SECOND_STAMP)
+    return landing.verify_counts({t: landing.bronze_table(spark, f"{bronze_root}/{t}")})

@@ -65,11 +65,16 @@ def _replace_table(df: DataFrame, path: str, partition_by=()) -> None:
     w2.mode("overwrite").parquet(path)
 
 
+def customer_snapshot(previous: DataFrame | None, raw_customers: DataFrame, run_at) -> DataFrame:
+    """One snapshot run: raw (uncleaned) latest landed row per customer vs the history."""
+    current = latest_per_key(raw_customers, ["customer_id"], "_loaded_at").select(*SNAPSHOT_COLS)
+    return history.scd2_check(previous, current, "customer_id", SNAPSHOT_CHECK_COLS, run_at)
+
+
 def snapshot_customers(spark: SparkSession, b: build.Bronze, path: str, run_at) -> DataFrame:
-    """SCD2 history of raw customer addresses (latest landed row per customer)."""
-    current = latest_per_key(b.customers, ["customer_id"], "_loaded_at").select(*SNAPSHOT_COLS)
+    """SCD2 history of raw customer addresses, written to ``path``."""
     prev = spark.read.parquet(path) if merge.table_exists(spark, path) else None
-    new = history.scd2_check(prev, current, "customer_id", SNAPSHOT_CHECK_COLS, run_at)
+    new = customer_snapshot(prev, b.customers, run_at)
     if prev is None:
         new.write.parquet(path)
     else:

@@ -121,12 +121,39 @@ SQL["schema_sync"] = with_models(
     "fact_sales")
 
 # --- history ---------------------------------------------------------------------------
+def scd2_ctes(runs, feed_sql, key, data_cols, check_cols) -> list[str]:
+    """Unrolled SCD2 runs: feed{k} = the source at run k, h{k} = history after run k."""
+    data = ", ".join(data_cols)
+
+    def meta(alias, t):
+        T = f"TIMESTAMP '{t}'"
+        return (f"md5(CAST({alias}.{key} AS VARCHAR) || '|' || CAST({T} AS VARCHAR)) AS dbt_scd_id, "
+                f"{T} AS dbt_updated_at, {T} AS dbt_valid_from")
+    changed = " OR ".join(f"o.{c} IS DISTINCT FROM s.{c}" for c in check_cols)
+    ctes = [f"feed1 AS ({feed_sql(runs[0])})",
+            f"h1 AS (SELECT {data}, {meta('f', runs[0])}, CAST(NULL AS TIMESTAMP) AS dbt_valid_to "
+            "FROM feed1 f)"]
+    for k, t in enumerate(runs[1:], start=2):
+        T, prev = f"TIMESTAMP '{t}'", f"h{k - 1}"
+        o_cols = ", ".join(f"o.{c}" for c in data_cols)
+        s_cols = ", ".join(f"s.{c}" for c in data_cols)
+        ctes.append(f"feed{k} AS ({feed_sql(t)})")
+        ctes.append(
+            f"h{k} AS (SELECT * FROM {prev} WHERE dbt_valid_to IS NOT NULL "
+            f"UNION ALL SELECT {o_cols}, o.dbt_scd_id, o.dbt_updated_at, o.dbt_valid_from, "
+            f"CASE WHEN s.{key} IS NULL OR {changed} THEN {T} END AS dbt_valid_to "
+            f"FROM (SELECT * FROM {prev} WHERE dbt_valid_to IS NULL) o LEFT JOIN feed{k} s ON o.{key} = s.{key} "
+            f"UNION ALL SELECT {s_cols}, {meta('s', t)}, CAST(NULL AS TIMESTAMP) AS dbt_valid_to "
+            f"FROM feed{k} s LEFT JOIN (SELECT * FROM {prev} WHERE dbt_valid_to IS NULL) o "
+            f"ON o.{key} = s.{key} WHERE o.{key} IS NULL OR {changed})")
+    return ctes
+
+
 _RUNS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00",
          "2024-01-29 00:00:00", "2024-02-01 00:00:00"]
-_DATA = "user_id, event_type, value, ts"
 
 
-def _feed(t: str) -> str:
+def _user_feed(t: str) -> str:
     return ("SELECT user_id, event_type, value, ts FROM (SELECT * FROM events "
             f"WHERE ts < TIMESTAMP '{t}' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY "
             "ts DESC NULLS FIRST, event_id ASC NULLS FIRST, ts ASC NULLS FIRST, "
@@ -134,37 +161,12 @@ def _feed(t: str) -> str:
             "WHERE event_type <> 'error'")
 
 
-def _meta(alias: str, t: str) -> str:
-    T = f"TIMESTAMP '{t}'"
-    return (f"md5(CAST({alias}.user_id AS VARCHAR) || '|' || CAST({T} AS VARCHAR)) AS dbt_scd_id, "
-            f"{T} AS dbt_updated_at, {T} AS dbt_valid_from")
-
-
-def _history_ctes() -> list[str]:
-    ctes = [f"feed1 AS ({_feed(_RUNS[0])})",
-            f"h1 AS (SELECT {_DATA}, {_meta('f', _RUNS[0])}, CAST(NULL AS TIMESTAMP) AS dbt_valid_to "
-            "FROM feed1 f)"]
-    for k, t in enumerate(_RUNS[1:], start=2):
-        T = f"TIMESTAMP '{t}'"
-        prev = f"h{k - 1}"
-        ctes.append(f"feed{k} AS ({_feed(t)})")
-        ctes.append(
-            f"h{k} AS (SELECT * FROM {prev} WHERE dbt_valid_to IS NOT NULL "
-            f"UNION ALL SELECT o.user_id, o.event_type, o.value, o.ts, o.dbt_scd_id, o.dbt_updated_at, "
-            f"o.dbt_valid_from, CASE WHEN s.user_id IS NULL OR o.event_type IS DISTINCT FROM s.event_type "
-            f"THEN {T} END AS dbt_valid_to "
-            f"FROM (SELECT * FROM {prev} WHERE dbt_valid_to IS NULL) o LEFT JOIN feed{k} s ON o.user_id = s.user_id "
-            f"UNION ALL SELECT s.user_id, s.event_type, s.value, s.ts, {_meta('s', t)}, "
-            f"CAST(NULL AS TIMESTAMP) AS dbt_valid_to FROM feed{k} s "
-            f"LEFT JOIN (SELECT * FROM {prev} WHERE dbt_valid_to IS NULL) o ON o.user_id = s.user_id "
-            "WHERE o.user_id IS NULL OR o.event_type IS DISTINCT FROM s.event_type)")
-    return ctes
-
-
+_USER_CTES = scd2_ctes(_RUNS, _user_feed, "user_id", ["user_id", "event_type", "value", "ts"],
+                       ["event_type"])
 _H = f"h{len(_RUNS)}"
-SQL["scd2_snapshot"] = "WITH " + ",\n".join(_history_ctes()) + f"\nSELECT * FROM {_H}"
+SQL["scd2_snapshot"] = "WITH " + ",\n".join(_USER_CTES) + f"\nSELECT * FROM {_H}"
 SQL["scd2_as_of"] = (
-    "WITH " + ",\n".join(_history_ctes()) + ",\n"
+    "WITH " + ",\n".join(_USER_CTES) + ",\n"
     f"hx AS (SELECT *, CASE WHEN dbt_valid_from = min(dbt_valid_from) OVER (PARTITION BY user_id) "
     f"THEN NULL ELSE dbt_valid_from END AS eff_from FROM {_H})\n"
     "SELECT e.event_id, e.user_id, e.ts, e.event_type, h.event_type AS state_event_type, "
@@ -172,6 +174,24 @@ SQL["scd2_as_of"] = (
     "FROM events e LEFT JOIN hx h ON e.user_id = h.user_id AND (h.eff_from IS NULL OR e.ts >= h.eff_from) "
     "AND (h.dbt_valid_to IS NULL OR e.ts < h.dbt_valid_to)")
 
+_SNAP_COLS = ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city",
+              "customer_state", "_loaded_at"]
+_CUST_TIE = ["customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state",
+             "_file_name", "_loaded_at"]
+
+
+def _customer_feed(t: str) -> str:
+    return (f"SELECT {', '.join(_SNAP_COLS)} FROM (SELECT * FROM raw_customers "
+            f"WHERE _loaded_at < TIMESTAMP '{t}' QUALIFY row_number() OVER (PARTITION BY customer_id "
+            "ORDER BY _loaded_at DESC NULLS FIRST, "
+            + ", ".join(f"{c} ASC NULLS FIRST" for c in _CUST_TIE) + ") = 1) WHERE customer_id IS NOT NULL")
+
+
+_SNAP = scd2_ctes(["2024-01-08 00:00:00", "2024-01-15 00:00:00"], _customer_feed, "customer_id",
+                  _SNAP_COLS, ["customer_city", "customer_state", "customer_zip_code_prefix"])
+SQL["snap_customer"] = with_models("SELECT * FROM h2", "raw_customers").replace(
+    "\nSELECT * FROM h2", ",\n" + ",\n".join(_SNAP) + "\nSELECT * FROM h2", 1)
+
 # --- landing ------------------------------------------------------------------------------
 def _landing_stats(table: str) -> str:
     bad = "(CAST(order_id AS BIGINT) % 250 IN (7, 11))"
@@ -203,3 +223,8 @@ SQL["verify_counts"] = with_models(" UNION ALL ".join(
               "raw_product_category_name_translation"]),
     "raw_orders", "raw_order_items", "raw_customers", "raw_sellers", "raw_geolocations",
     "raw_order_payments", "raw_order_reviews", "raw_products", "raw_product_category_name_translation")
+
+SQL["full_reload"] = with_models(
+    "SELECT 'raw_orders' AS \"table\", 2 * count(*) AS row_count, "
+    "TIMESTAMP '2024-01-14 06:00:00' AS last_loaded_at FROM raw_orders "
+    "WHERE NOT (CAST(order_id AS BIGINT) % 250 IN (7, 11))", "raw_orders")
