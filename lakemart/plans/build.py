@@ -110,3 +110,10 @@ def fact_sales(s: Silver, dims: dict[str, DataFrame], loaded_after=None) -> Data
     sellers = dims["seller_keys"] if "seller_keys" in dims else dims["dim_seller"]
     return marts.fact_sales(s.order_items, s.orders, s.payments_aggregated, customers, sellers,
                             dims["dim_product"], dims["dim_date"], loaded_after)
+
+
+def register_views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> None:
+    """Expose models as temp views (the view materialisation): SQL over them is
+    planned together with the model code by Catalyst."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)

@@ -304,11 +304,25 @@ def user_feed(events: DataFrame, as_of: str) -> DataFrame:
     return latest.where(F.col("event_type") != "error").select("user_id", "event_type", "value", "ts")
 
 
+def materialized(h: DataFrame | None, last: bool) -> DataFrame | None:
+    """Cut lineage between chained snapshot runs, as the weekly job's write does.
+
+    ``scd2_check`` reads the previous history twice (closed versions pass
+    through, open ones are joined); over a written table that is two pruned
+    scans, but over an unwritten chain the plan would double with every run.
+    """
+    if h is None or last:
+        return h
+    checkpoint_dir(h.sparkSession)
+    return h.checkpoint(eager=True)
+
+
 def user_history(spark, sf) -> DataFrame:
     ev = bm.table(spark, sf, "events")
     h = None
-    for t in SNAPSHOT_RUNS:
+    for i, t in enumerate(SNAPSHOT_RUNS):
         h = history.scd2_check(h, user_feed(ev, t), "user_id", ["event_type"], t)
+        h = materialized(h, i == len(SNAPSHOT_RUNS) - 1)
     return h
 
 
@@ -413,8 +427,9 @@ def snap_customer(spark, sf):
     from lakemart.plans import weekly
     raw = bm.raw_customers(spark, sf)
     h = None
-    for t in CUSTOMER_SNAPSHOT_RUNS:
+    for i, t in enumerate(CUSTOMER_SNAPSHOT_RUNS):
         h = weekly.customer_snapshot(h, raw.where(F.col("_loaded_at") < merge.ntz_literal(t)), t)
+        h = materialized(h, i == len(CUSTOMER_SNAPSHOT_RUNS) - 1)
     return h
 
 
