@@ -47,3 +47,13 @@ def test_surrogate_key(spark):
     r = df.select(surrogate_key("a", "b").alias("k"), surrogate_key("c").alias("n")).first()
     assert r.k == "d6deb0c4ae1b1259b4e11dd05bf8d397"
     assert r.n == df.select(F.md5(F.lit("_dbt_utils_surrogate_key_null_"))).first()[0]
+
+
+def test_sql_functions_match_column_functions(spark):
+    from lakemart.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    r = spark.sql("SELECT initcap_delim('credit_card') a, initcap_delim('d''oeste-do sul') b, "
+                  "zip_prefix(' 123 ') z, null_if_token('None') n, null_if_token('x') x, "
+                  "surrogate_key2('o1', '1') k").first()
+    assert (r.a, r.b, r.z, r.n, r.x) == ("Credit_Card", "D'oeste-Do Sul", "00123", None, "x")
+    assert r.k == "d6deb0c4ae1b1259b4e11dd05bf8d397"
