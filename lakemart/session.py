@@ -70,17 +70,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root.rstrip("/"), "lakemart-scratch", f"{name}-{uuid.uuid4().hex}")
 
 
-def spread(df, min_partitions: int | None = None):
+# below this (on-disk) size one task handles a scan faster than a shuffle would
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def spread(df, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BYTES):
     """Round-robin a scan that arrives in fewer splits than there are cores.
 
     A single unsplittable file (one parquet row group) is one task, and all
     work before the first shuffle would run on one core.  Large inputs arrive
-    in many splits and are left alone, so this costs nothing at scale.
+    in many splits and tiny ones are cheaper in one task; both are left alone.
     Filters and column pruning still reach the scan below the repartition.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - sessions without RDD/JVM access (Spark Connect)
         return df
-    return df.repartition(target) if splits < target else df
+    return df.repartition(target) if splits < target and size >= min_bytes else df
