@@ -7,6 +7,7 @@ Each query reads the whole benchmark tables through the bronze-shaped views of
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,8 @@ from lakemart.sources import benchmark as bm
 from lakemart.sources import landing
 from lakemart.streaming import file_ledger
 
-Query = "Callable[[SparkSession, str], DataFrame]"
-QUERIES: dict = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 
 
 def query(fn):
@@ -41,7 +42,7 @@ def bronze(spark: SparkSession, sf: str) -> build.Bronze:
 
 def order_calendar(spark: SparkSession, sf: str) -> tuple[dt.date, dt.date, dt.date]:
     """Calendar covering every purchase date; 'today' is the last purchase date."""
-    lo, hi = build.calendar_bounds(bm.table(spark, sf, "orders"), "o_orderdate")
+    lo, hi = build.calendar_bounds(bm.table(spark, sf, "orders", spread_scan=False), "o_orderdate")
     return lo, hi, hi - dt.timedelta(days=1)
 
 
@@ -232,6 +233,17 @@ def hash_sample(spark, sf):
     return sample.hash_sample(bm.table(spark, sf, "customer"), 500, ["c_custkey"], seed=42)
 
 
+@query
+def hash_shuffle(spark, sf):
+    """Every supplier in seeded pseudo-random order (the generator's seller shuffle).
+
+    A global sort on the seeded hash (range-partitioned, no limit); the hash is
+    returned as ``shuffle_key``, which defines each row's position."""
+    key = sample.sample_order(["s_suppkey"], 7)
+    ordered = sample.hash_sample(bm.table(spark, sf, "supplier"), None, ["s_suppkey"], seed=7)
+    return ordered.select("s_suppkey", "s_name", key.alias("shuffle_key"))
+
+
 # --- incremental fact (P7, J7, S14, S15) ------------------------------------------------
 
 # the benchmark items arrive in three loads, cut by their load time

@@ -23,8 +23,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = True) -> DataFrame:
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if spread_scan else df
 
 
 RAW_ORDERS = {

@@ -228,3 +228,5 @@ SQL["full_reload"] = with_models(
     "SELECT 'raw_orders' AS \"table\", 2 * count(*) AS row_count, "
     "TIMESTAMP '2024-01-14 06:00:00' AS last_loaded_at FROM raw_orders "
     "WHERE NOT (CAST(order_id AS BIGINT) % 250 IN (7, 11))", "raw_orders")
+SQL["hash_shuffle"] = ("SELECT s_suppkey, s_name, md5(CAST(s_suppkey AS VARCHAR) || '|' || '7') AS shuffle_key "
+                       "FROM supplier ORDER BY shuffle_key")
