@@ -11,11 +11,12 @@ text and file name.  The null tokens of the load (``NULL``, ``null``,
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from lakemart.functions.text import NULL_TOKENS, null_if_token
 
@@ -61,7 +62,6 @@ def landing_schema(table: str) -> StructType:
 
 
 def bronze_schema(table: str) -> StructType:
-    from pyspark.sql.types import TimestampNTZType
     return StructType([StructField(c, StringType()) for c in BRONZE_COLUMNS[table]]
                       + [StructField("_file_name", StringType()),
                          StructField("_loaded_at", TimestampNTZType())])
@@ -196,7 +196,6 @@ def full_reload(spark: SparkSession, landing_root: str, bronze_root: str,
     One table's failure does not stop the others; all failures are raised at
     the end.  Returns the load report of this run.
     """
-    import os
     errors, done = {}, {}
     stamp = loaded_at or dt.datetime.now().replace(microsecond=0)
     for t in tables:
