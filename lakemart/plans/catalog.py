@@ -395,8 +395,8 @@ def load_report(spark, sf):
     loaded = {}
     for t in LANDING_SOURCES:
         write_landing(landing_lines(spark, sf, t), f"{root}/{landing.SUBFOLDER[t]}")
-        landing.land(landing.read_landing(spark, f"{root}/{landing.SUBFOLDER[t]}", t,
-                                          LANDING_STAMP), f"{bronze_root}/{t}")
+        landing.land(landing.read_landing(spark, f"{root}/{landing.SUBFOLDER[t]}", t, LANDING_STAMP),
+                     f"{bronze_root}/{t}", landing.batch_label(LANDING_STAMP, "f"))
         loaded[t] = landing.written_as_loaded(spark.read.parquet(f"{bronze_root}/{t}"))
     return landing.load_report(loaded)
 

@@ -44,11 +44,14 @@ class Layout:
         return cls(*(os.path.join(root, p) for p in ("landing", "bronze", "snapshots", "gold", "ledger")))
 
 
-def bronze_frames(spark: SparkSession, layout: Layout) -> build.Bronze:
-    def t(name):
-        return landing.bronze_table(spark, os.path.join(layout.bronze, name))
+def bronze_frames(spark: SparkSession, layout: Layout, items_loaded_after=None) -> build.Bronze:
+    """Bronze tables of the layout; with ``items_loaded_after`` the order-item
+    read lists only load folders stamped from then on (partition pruning)."""
+    def t(name, after=None):
+        return landing.bronze_table(spark, os.path.join(layout.bronze, name), after)
     return build.Bronze(
-        orders=t("raw_orders"), order_items=t("raw_order_items"), customers=t("raw_customers"),
+        orders=t("raw_orders"), order_items=t("raw_order_items", items_loaded_after),
+        customers=t("raw_customers"),
         products=t("raw_products"), sellers=t("raw_sellers"), geolocations=t("raw_geolocations"),
         payments=t("raw_order_payments"), reviews=t("raw_order_reviews"),
         category_translation=t("raw_product_category_name_translation"))
@@ -85,11 +88,14 @@ def snapshot_customers(spark: SparkSession, b: build.Bronze, path: str, run_at)
 def run_weekly(spark: SparkSession, layout: Layout, run_at: dt.datetime,
                calendar: tuple = ("2016-01-01", "2027-12-31"), as_of=None,
                tables=tuple(landing.BRONZE_COLUMNS), run_tests: bool = True,
-               full_load: bool = False, reprocess_open_orders: bool = False) -> dict:
+               full_load: bool = False, reprocess_open_orders: bool = False,
+               fail_on_test_errors: bool = False) -> dict:
     """``full_load`` re-appends every landing file (forced load) instead of only
     new ones; ``reprocess_open_orders`` lets items whose order was not shipped
     on arrival enter the fact later (the default, like the source models, skips
-    them once the watermark has passed)."""
+    them once the watermark has passed); ``fail_on_test_errors`` raises
+    :class:`DataTestFailure` (with the summary attached) when any test finds
+    violations, as a failing test step fails a scheduled run."""
     summary: dict = {"run_at": run_at}
     # 1. load: every new landing file of every table (the streaming ledger skips old ones)
     if full_load:
@@ -104,6 +110,15 @@ def run_weekly(spark: SparkSession, layout: Layout, run_at: dt.datetime,
     summary["snapshot_open_versions"] = snap.where(F.col(history.VALID_TO).isNull()).count()
     # 3-4. staging and intermediate: lazy frames over bronze
     s = build.silver(b)
+    fact_path = os.path.join(layout.gold, "fact_sales")
+    exists = merge.table_exists(spark, fact_path)
+    existing = spark.read.parquet(fact_path) if exists else None
+    wm = merge.high_watermark(existing) if exists else None
+    if wm is not None and not reprocess_open_orders:
+        # the increment only needs items landed after the watermark
+        s_items = build.silver(bronze_frames(spark, layout, items_loaded_after=wm)).order_items
+    else:
+        s_items = s.order_items
     # 5. gold: dimensions rebuilt, fact merged incrementally
     dims = build.dimensions(spark, s, calendar, as_of or run_at.date())
     gold = {}
@@ -111,11 +126,7 @@ def run_weekly(spark: SparkSession, layout: Layout, run_at: dt.datetime,
         path = os.path.join(layout.gold, name)
         dims[name].write.mode("overwrite").parquet(path)
         gold[name] = spark.read.parquet(path)
-    fact_path = os.path.join(layout.gold, "fact_sales")
-    exists = merge.table_exists(spark, fact_path)
-    existing = spark.read.parquet(fact_path) if exists else None
-    wm = merge.high_watermark(existing) if exists else None
-    fact = marts.fact_sales(s.order_items, s.orders, s.payments_aggregated, gold["dim_customer"],
+    fact = marts.fact_sales(s_items, s.orders, s.payments_aggregated, gold["dim_customer"],
                             gold["dim_seller"], gold["dim_product"], gold["dim_date"], wm,
                             existing if reprocess_open_orders else None)
     fact = fact.withColumn(FACT_PARTITION, F.date_format("order_purchase_timestamp", "yyyy-MM"))
@@ -132,4 +143,13 @@ def run_weekly(spark: SparkSession, layout: Layout, run_at: dt.datetime,
         results = quality.run_tests(models, data_tests.SUITE).collect()
         summary["tests"] = {(r.model, r.test, r.column_name): r.violations for r in results}
         summary["tests_failed"] = sum(1 for r in results if r.violations > 0)
+        if fail_on_test_errors and summary["tests_failed"]:
+            raise DataTestFailure(summary)
     return summary
+
+
+class DataTestFailure(RuntimeError):
+    def __init__(self, summary: dict):
+        failed = sorted(k for k, v in summary["tests"].items() if v > 0)
+        super().__init__(f"{len(failed)} data tests failed: {failed[:10]}")
+        self.summary = summary

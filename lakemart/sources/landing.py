@@ -159,22 +159,52 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 STATUS = "load_status"
+BATCH = "load_batch"
+_STAMP_FMT = "%Y%m%d%H%M%S"
 
 
-def land(loaded: DataFrame, table_root: str, extra_partitions: Sequence[str] = (),
-         mode: str = "append") -> None:
-    """Write good and rejected rows in ONE pass over the files: one dataset
-    partitioned by ``load_status`` (``loaded`` | ``rejected``)."""
+def stamp_of(loaded_at: dt.datetime | str) -> dt.datetime:
+    return loaded_at if isinstance(loaded_at, dt.datetime) else dt.datetime.fromisoformat(loaded_at)
+
+
+def batch_label(loaded_at: dt.datetime | str, kind: str, n: int = 0) -> str:
+    """Partition value of one load: ``<yyyyMMddHHmmss>-<kind><n>``.
+
+    The load time leads, so "loaded after T" becomes a filter on the partition
+    value and prunes whole load folders; ``kind`` is ``s`` (streamed batch n)
+    or ``f`` (forced reload)."""
+    return f"{stamp_of(loaded_at).strftime(_STAMP_FMT)}-{kind}{n:09d}"
+
+
+def _batch_stamp(c: str = BATCH) -> Column:
+    return F.substring(F.col(c), 1, len(dt.datetime(2000, 1, 1).strftime(_STAMP_FMT)))
+
+
+def land(loaded: DataFrame, table_root: str, batch: str) -> None:
+    """Write one load's good and rejected rows in ONE pass over its files, into
+    ``load_batch=<batch>/load_status=<loaded|rejected>``.  The dynamic partition
+    overwrite makes a retried load replace exactly its own output."""
     status = F.when(F.col(CORRUPT).isNull(), F.lit("loaded")).otherwise(F.lit("rejected"))
-    (loaded.withColumn(STATUS, status)
-           .write.mode(mode).option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*extra_partitions, STATUS).parquet(table_root))
+    (loaded.withColumn(BATCH, F.lit(batch)).withColumn(STATUS, status)
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(BATCH, STATUS).parquet(table_root))
 
 
-def bronze_table(spark: SparkSession, table_root: str) -> DataFrame:
-    """The loaded rows of a landed table (partition-pruned to ``loaded``)."""
-    df = spark.read.parquet(table_root)
-    return df.where(F.col(STATUS) == "loaded").drop(STATUS, CORRUPT, "load_batch")
+def bronze_table(spark: SparkSession, table_root: str, loaded_after=None) -> DataFrame:
+    """The loaded rows of a landed table (partition-pruned to ``loaded``).
+
+    With ``loaded_after`` only load folders stamped at or after it are listed
+    and read; the exact ``_loaded_at`` filter is left to the caller."""
+    df = spark.read.parquet(table_root).where(F.col(STATUS) == "loaded")
+    if loaded_after is not None:
+        df = df.where(_batch_stamp() >= F.lit(stamp_of(loaded_after).strftime(_STAMP_FMT)))
+    return df.drop(STATUS, CORRUPT, BATCH)
+
+
+def loads_stamped(spark: SparkSession, table_root: str, loaded_at) -> DataFrame:
+    """Every row (loaded and rejected) of the loads stamped ``loaded_at`` (pruned)."""
+    return (spark.read.parquet(table_root)
+                 .where(_batch_stamp() == F.lit(stamp_of(loaded_at).strftime(_STAMP_FMT))))
 
 
 def quarantine(spark: SparkSession, table_root: str) -> DataFrame:
@@ -188,6 +218,13 @@ def written_as_loaded(df: DataFrame) -> DataFrame:
     return df.withColumn(CORRUPT, F.when(F.col(STATUS) == "rejected", F.col(CORRUPT)))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it (driver-side metadata call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def full_reload(spark: SparkSession, landing_root: str, bronze_root: str,
                 tables: Sequence[str], loaded_at=None, truncate: bool = False) -> DataFrame:
     """Re-append every landing file (forced load).  Without ``truncate`` rows
@@ -197,14 +234,15 @@ def full_reload(spark: SparkSession, landing_root: str, bronze_root: str,
     the end.  Returns the load report of this run.
     """
     errors, done = {}, {}
-    stamp = loaded_at or dt.datetime.now().replace(microsecond=0)
+    stamp = stamp_of(loaded_at) if loaded_at else dt.datetime.now().replace(microsecond=0)
     for t in tables:
         try:
             root = os.path.join(bronze_root, t)
-            land(read_landing(spark, os.path.join(landing_root, SUBFOLDER[t]), t, stamp), root,
-                 mode="overwrite" if truncate else "append")
-            this_run = spark.read.parquet(root).where(F.col("_loaded_at") == loaded_at_col(stamp))
-            done[t] = written_as_loaded(this_run)
+            loaded = read_landing(spark, os.path.join(landing_root, SUBFOLDER[t]), t, stamp)
+            if truncate:
+                remove_path(spark, root)
+            land(loaded, root, batch_label(stamp, "f"))
+            done[t] = written_as_loaded(loads_stamped(spark, root, stamp))
         except Exception as e:  # noqa: BLE001 - isolate per table
             errors[t] = e
     if errors:

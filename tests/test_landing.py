@@ -49,3 +49,18 @@ def test_incremental_ledger(spark, tmp):
     assert landing.bronze_table(spark, f"{bronze}/raw_order_payments").count() == 3
     hist = spark.read.parquet(f"{bronze}/{file_ledger.HISTORY}")
     assert hist.count() == 2
+
+
+def test_forced_and_incremental_loads_share_one_layout(spark, tmp):
+    landing_root, bronze, ckpt = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ckpt"
+    head = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+    write(f"{landing_root}/payments", "p1.csv", head + "o1,1,credit_card,1,10\n")
+    t = ["raw_order_payments"]
+    file_ledger.load_incremental(spark, landing_root, bronze, ckpt, t, "2024-01-07 00:00:00")
+    rep = landing.full_reload(spark, landing_root, bronze, t, dt.datetime(2024, 1, 8)).first()
+    assert rep.rows_loaded == 1
+    root = f"{bronze}/raw_order_payments"
+    assert landing.bronze_table(spark, root).count() == 2          # forced load re-appends
+    assert landing.bronze_table(spark, root, dt.datetime(2024, 1, 8)).count() == 1   # pruned
+    landing.full_reload(spark, landing_root, bronze, t, dt.datetime(2024, 1, 9), truncate=True)
+    assert landing.bronze_table(spark, root).count() == 1
