@@ -2,10 +2,11 @@
 
 A fact table is a directory of parquet files, optionally partitioned (e.g. by
 purchase month).  An upsert reads only the partitions the increment touches
-(partition pruning from a literal list), replaces matched keys, writes the
-merged partitions to a staging folder on shared storage (a lineage cut that
-survives executor loss) and then swaps exactly those partitions in with a
-dynamic partition overwrite.  Untouched partitions are never rewritten.
+(partition pruning from a literal list), replaces matched keys and writes the
+merged partitions back with a dynamic partition overwrite, which swaps exactly
+those partitions in at job commit.  The increment itself is staged on shared
+storage first (computed once; a lineage cut that survives executor loss).
+Untouched partitions are never rewritten.
 """
 
 from __future__ import annotations
@@ -114,7 +115,8 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
       2. the touched partitions are read off the staged copy (one value per
          partition, bounded by the partition count, not the data);
       3. only those partitions of the table are read (partition pruning),
-         merged, staged again, and swapped in by a dynamic partition overwrite.
+         merged, and written back by a dynamic partition overwrite, which
+         swaps exactly those partitions in at job commit.
     A key must not move between partitions (the partition columns are a
     function of the key, e.g. the order's purchase month).  If the columns
     changed, every row is rewritten with the new columns (old rows get NULL in
@@ -141,14 +143,21 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
             return {"mode": "noop", "partitions": []}
         target = target.where(_partition_filter(partition_cols, touched))
     merged = merge_frames(target, src, keys, order_col)
+    if touched is not None:
+        # A dynamic partition overwrite writes into a job staging folder and
+        # replaces the touched partitions only at job commit, after every task
+        # has finished reading them: the merge can target the table directly.
+        # A failed job leaves the table as it was.
+        (writer(merged).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .parquet(path))
+        return {"mode": "merge", "partitions": touched, "schema_synced": False}
+    # A static overwrite deletes the table before writing, so the full rewrite
+    # goes through a staged copy on shared storage first.
     stage = scratch_path(spark, "upsert-stage")
     writer(merged).parquet(stage)
     staged = spark.read.schema(merged.schema).parquet(stage)
-    dynamic = touched is not None
     # the staged copy is already clustered by partition: no second shuffle
     swap = staged.write.partitionBy(*partition_cols) if partition_cols else staged.write
-    (swap.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        .parquet(path))
-    return {"mode": "merge" if dynamic or not partition_cols else "rewrite",
-            "partitions": touched, "schema_synced": not same_columns}
+    swap.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return {"mode": "rewrite" if partition_cols else "merge",
+            "partitions": None, "schema_synced": not same_columns}
