@@ -64,3 +64,18 @@ def test_forced_and_incremental_loads_share_one_layout(spark, tmp):
     assert landing.bronze_table(spark, root, dt.datetime(2024, 1, 8)).count() == 1   # pruned
     landing.full_reload(spark, landing_root, bronze, t, dt.datetime(2024, 1, 9), truncate=True)
     assert landing.bronze_table(spark, root).count() == 1
+
+
+def test_one_failing_table_does_not_stop_the_others(spark, tmp):
+    import pytest
+    landing_root, bronze, ckpt = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ckpt"
+    write(f"{landing_root}/payments", "p1.csv",
+          "order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,x,1,1\n")
+    write(f"{landing_root}/sellers", "s1.csv", "seller_id,zip,city,state\ns1,1,a,b\n")
+    os.makedirs(bronze, exist_ok=True)
+    with open(f"{bronze}/raw_order_payments", "w") as f:   # a file where a folder must go
+        f.write("blocked")
+    with pytest.raises(RuntimeError, match="raw_order_payments"):
+        file_ledger.load_incremental(spark, landing_root, bronze, ckpt,
+                                     ["raw_order_payments", "raw_sellers"], "2024-01-07 00:00:00")
+    assert landing.bronze_table(spark, f"{bronze}/raw_sellers").count() == 1
