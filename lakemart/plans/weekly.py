@@ -153,3 +153,30 @@ class DataTestFailure(RuntimeError):
         failed = sorted(k for k, v in summary["tests"].items() if v > 0)
         super().__init__(f"{len(failed)} data tests failed: {failed[:10]}")
         self.summary = summary
+
+
+def main(argv=None) -> int:
+    """``python -m lakemart.plans.weekly ROOT [--run-at TS] [--full-load] ...``"""
+    import argparse
+    import json
+
+    from lakemart.session import get_spark
+    ap = argparse.ArgumentParser(description="weekly run: load, snapshot, gold, tests")
+    ap.add_argument("root", help="shared folder holding landing/ bronze/ snapshots/ gold/ ledger/")
+    ap.add_argument("--run-at", default=None, help="run timestamp (default: now)")
+    ap.add_argument("--calendar", nargs=2, default=("2016-01-01", "2027-12-31"))
+    ap.add_argument("--full-load", action="store_true")
+    ap.add_argument("--reprocess-open-orders", action="store_true")
+    ap.add_argument("--fail-on-test-errors", action="store_true")
+    a = ap.parse_args(argv)
+    run_at = dt.datetime.fromisoformat(a.run_at) if a.run_at else dt.datetime.now().replace(microsecond=0)
+    summary = run_weekly(get_spark("lakemart-weekly"), Layout.under(a.root), run_at, tuple(a.calendar),
+                         full_load=a.full_load, reprocess_open_orders=a.reprocess_open_orders,
+                         fail_on_test_errors=a.fail_on_test_errors)
+    summary["tests"] = {"/".join(k): v for k, v in summary.get("tests", {}).items()}
+    print(json.dumps(summary, default=str))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -40,3 +40,11 @@ def test_two_week_rehearsal(spark, tmp):
     # unchanged customers keep one open version across the three runs
     assert snap.where(F.col("dbt_valid_to").isNull()).count() == s3["snapshot_open_versions"]
     assert snap.groupBy("customer_id").count().where("count > 1").count() == 0
+
+
+def test_command_line_run(spark, tmp, capsys):
+    import json
+    drop_week(spark, os.path.join(tmp, "landing"), 1)
+    assert weekly.main([tmp, "--run-at", "2024-01-07T00:00:00", "--calendar", "1992-01-01", "2003-01-01"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["rows"]["fact_sales"] > 0 and out["load"]["raw_orders"]["files_loaded"] == 1
