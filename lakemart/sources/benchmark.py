@@ -64,7 +64,7 @@ RAW_ORDER_ITEMS = {
     "_loaded_at": "timestampadd(DAY, 3, l_shipdate)",
 }
 
-_CUSTOMER_V1 = {
+CUSTOMER_V1 = {
     "customer_id": "CAST(c_custkey AS STRING)",
     "customer_unique_id": "'P' || CAST(c_custkey % 1000 AS STRING)",
     "customer_zip_code_prefix": "CASE WHEN c_custkey % 10 = 9 THEN CAST(c_nationkey + 100 AS STRING) "
@@ -77,7 +77,7 @@ _CUSTOMER_V1 = {
     "_loaded_at": "TIMESTAMP_NTZ '2024-01-07 00:00:00'",
 }
 # customers with a negative balance moved in week 2 (some lost their person id)
-_CUSTOMER_MOVED = {
+CUSTOMER_MOVED = {
     "customer_id": "CAST(c_custkey AS STRING)",
     "customer_unique_id": "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'P' || CAST(c_custkey % 1000 AS STRING) END",
     "customer_zip_code_prefix": "CAST((c_nationkey + 1) % 25 AS STRING)",
@@ -87,7 +87,7 @@ _CUSTOMER_MOVED = {
     "_loaded_at": "TIMESTAMP_NTZ '2024-01-14 00:00:00'",
 }
 # rich customers were landed twice in week 1 (same load time: the tie-break decides)
-_CUSTOMER_TWIN = dict(_CUSTOMER_V1, **{
+CUSTOMER_TWIN = dict(CUSTOMER_V1, **{
     "customer_city": "'rio'",
     "_file_name": "'customers/customers_week1b.csv'",
 })
@@ -179,9 +179,9 @@ def raw_order_items(spark, sf_dir):
 
 def raw_customers(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    return (_project(c, _CUSTOMER_V1)
-            .unionByName(_project(c.where("c_acctbal < 0"), _CUSTOMER_MOVED))
-            .unionByName(_project(c.where("c_acctbal > 9000"), _CUSTOMER_TWIN)))
+    return (_project(c, CUSTOMER_V1)
+            .unionByName(_project(c.where("c_acctbal < 0"), CUSTOMER_MOVED))
+            .unionByName(_project(c.where("c_acctbal > 9000"), CUSTOMER_TWIN)))
 
 
 def raw_sellers(spark, sf_dir):

@@ -35,9 +35,9 @@ RAW_ORDER_ITEMS = dict(B.RAW_ORDER_ITEMS, **{
     "_loaded_at": _ts("DAY", "3", "l_shipdate"),
 })
 
-_CUSTOMER_V1 = dict(B._CUSTOMER_V1, _loaded_at=NTZ.format("2024-01-07 00:00:00"))
-_CUSTOMER_MOVED = dict(B._CUSTOMER_MOVED, _loaded_at=NTZ.format("2024-01-14 00:00:00"))
-_CUSTOMER_TWIN = dict(B._CUSTOMER_TWIN, _loaded_at=NTZ.format("2024-01-07 00:00:00"))
+CUSTOMER_V1 = dict(B.CUSTOMER_V1, _loaded_at=NTZ.format("2024-01-07 00:00:00"))
+CUSTOMER_MOVED = dict(B.CUSTOMER_MOVED, _loaded_at=NTZ.format("2024-01-14 00:00:00"))
+CUSTOMER_TWIN = dict(B.CUSTOMER_TWIN, _loaded_at=NTZ.format("2024-01-07 00:00:00"))
 RAW_SELLERS = dict(B.RAW_SELLERS, _loaded_at=NTZ.format("2024-01-07 00:00:00"))
 RAW_GEOLOCATIONS = dict(B.RAW_GEOLOCATIONS, _loaded_at=NTZ.format("2024-01-07 00:00:00"))
 RAW_PRODUCTS = dict(B.RAW_PRODUCTS, _loaded_at=NTZ.format("2024-01-07 00:00:00"))
@@ -64,9 +64,9 @@ BRONZE = {
     "raw_orders": _sel(RAW_ORDERS, "orders"),
     "raw_order_items": _sel(RAW_ORDER_ITEMS, "lineitem"),
     "raw_customers": " UNION ALL BY NAME ".join([
-        _sel(_CUSTOMER_V1, "customer"),
-        _sel(_CUSTOMER_MOVED, "customer", "c_acctbal < 0"),
-        _sel(_CUSTOMER_TWIN, "customer", "c_acctbal > 9000")]),
+        _sel(CUSTOMER_V1, "customer"),
+        _sel(CUSTOMER_MOVED, "customer", "c_acctbal < 0"),
+        _sel(CUSTOMER_TWIN, "customer", "c_acctbal > 9000")]),
     "raw_sellers": _sel(RAW_SELLERS, "supplier"),
     "raw_geolocations": _sel(RAW_GEOLOCATIONS, "customer"),
     "raw_order_payments": _sel(RAW_ORDER_PAYMENTS, "events"),

@@ -67,8 +67,7 @@ def _check_sql(c) -> str:
 def _summary_sql() -> str:
     from lakemart.plans.data_tests import SUITE
     names = sorted({c.model for c in SUITE} | {c.to for c in SUITE if c.to})
-    return with_models("\nUNION ALL\n".join(_check_sql(c) for c in SUITE),
-                       *[{"stg_payments": "stg_payments"}.get(n, n) for n in names])
+    return with_models("\nUNION ALL\n".join(_check_sql(c) for c in SUITE), *names)
 
 
 SQL["data_tests_summary"] = _summary_sql()
