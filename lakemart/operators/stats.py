@@ -19,6 +19,7 @@ Several columns are handled in one pipeline by stacking them as
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
@@ -52,13 +53,39 @@ def mode_per_key(df: DataFrame, key: str, value: str, out: str | None = None) ->
     return modes_per_key(df, key, {out or value: value})
 
 
+_SIZE = re.compile(r"^\s*(\d+)\s*([kmgt]?)b?\s*$", re.IGNORECASE)
+MAX_RANGE_PARTITIONS = 100_000
+
+
+def _bytes(text: str) -> int:
+    m = _SIZE.match(text)
+    if not m:
+        return 64 << 20
+    return int(m.group(1)) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[m.group(2).lower()]
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Partitions for a range shuffle of ``df``: at least the shuffle-partition
+    setting, and enough that each stays near the advisory partition size (from
+    the plan's size estimate, an upper bound without column statistics)."""
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+    try:
+        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - no JVM plan access (Spark Connect)
+        return base
+    return max(base, min(est // target + 1, MAX_RANGE_PARTITIONS))
+
+
 def medians_per_key(df: DataFrame, key: str, columns: Mapping[str, str],
                     partitions: int | None = None) -> DataFrame:
     """``{out: col}`` -> exact interpolated median (DOUBLE) of each col per key, NULLs ignored."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = _stack(df, key, columns, "double").groupBy("_k", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # sized from the input, so no range partition grows with the data
+    n_parts = partitions or range_partitions(pairs)
     # value order inside each (key, column), split across partitions where a key
     # is hot; the checkpoint freezes which partition every pair landed in
     ranged = (pairs.repartitionByRange(n_parts, "_k", "_i", "_v")
