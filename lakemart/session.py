@@ -75,17 +75,25 @@ SPREAD_MIN_BYTES = 1 << 20
 
 
 def spread(df, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BYTES):
-    """Round-robin a scan that arrives in fewer splits than there are cores.
+    """Redistribute a scan that arrives in fewer splits than there are cores.
 
     A single unsplittable file (one parquet row group) is one task, and all
     work before the first shuffle would run on one core.  Large inputs arrive
     in many splits and tiny ones are cheaper in one task; both are left alone.
-    Filters and column pruning still reach the scan below the repartition.
+    Rows are hashed on all their (hashable) columns: deterministic on retry
+    without the sort a round-robin repartition needs.  Identical rows stay
+    together, which at worst leaves them unspread.  Filters and column pruning
+    still reach the scan below the repartition.
     """
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import MapType
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
         size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
     except Exception:  # noqa: BLE001 - sessions without RDD/JVM access (Spark Connect)
         return df
-    return df.repartition(target) if splits < target and size >= min_bytes else df
+    if splits >= target or size < min_bytes:
+        return df
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return df.repartition(target, F.xxhash64(*cols)) if cols else df.repartition(target)
