@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.operators.dedupe import top1_per_key
-from lakemart.session import checkpoint_dir
+from lakemart.session import checkpoint_dir, plan_size_bytes
 
 
 def _stack(df: DataFrame, key: str, columns: Mapping[str, str], cast: str | None) -> DataFrame:
@@ -72,7 +72,7 @@ def range_partitions(df: DataFrame) -> int:
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
     try:
-        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        est = plan_size_bytes(df)
     except Exception:  # noqa: BLE001 - no JVM plan access (Spark Connect)
         return base
     return max(base, min(est // target + 1, MAX_RANGE_PARTITIONS))

@@ -74,6 +74,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 SPREAD_MIN_BYTES = 1 << 20
 
 
+def plan_size_bytes(df) -> int:
+    """Catalyst's size estimate of ``df`` (file sizes through the plan; an upper
+    bound without column statistics).  Raises where the JVM plan is not reachable."""
+    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return v if isinstance(v, int) else int(v.toString())
+
+
 def spread(df, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BYTES):
     """Redistribute a scan that arrives in fewer splits than there are cores.
 
@@ -90,7 +97,7 @@ def spread(df, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BY
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = plan_size_bytes(df)
     except Exception:  # noqa: BLE001 - sessions without RDD/JVM access (Spark Connect)
         return df
     if splits >= target or size < min_bytes:
