@@ -8,10 +8,11 @@ rows, unique / unique_combination count duplicated values, accepted_values
 counts distinct unexpected values.  NULLs pass every test except not_null.
 
 The summary does not run one query per test.  Per model it makes
-  * one scan with a ``count_if`` per row-level test (not_null, accepted_range),
-  * one shuffle for all value-level tests: every row is stacked into
-    ``(test, value)`` pairs, grouped (partially aggregated map-side, so a hot
-    value costs one row per map task), then folded into one count per test,
+  * one scan for all row- and value-level tests.  With value tests present,
+    every row is stacked into ``(test, value)`` pairs, grouped (partially
+    aggregated map-side, so a hot value or a mass of violations costs one row
+    per map task), then folded into one count per test; with row tests only,
+    it is one plain ``count_if`` aggregate,
   * one left-anti join per relationships test.
 """
 
@@ -125,23 +126,13 @@ def run_tests(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
     for model, cs in by_model.items():
         df = models[model]
         row_cs = [c for c in cs if c.test in ROW_TESTS]
-        if row_cs:
+        if any(c.test in VALUE_TESTS for c in cs):
+            parts.append(_fused_counts(df, [c for c in cs if c.test in ROW_TESTS + VALUE_TESTS]))
+        elif row_cs:
+            # row tests alone: one plain aggregate, no explode and no shuffle
             names = [f"t{i}" for i in range(len(row_cs))]
             agg = df.agg(*[F.count_if(_row_condition(c)).alias(n) for c, n in zip(row_cs, names)])
             parts.append(_labelled(agg, row_cs, names))
-        val_cs = [c for c in cs if c.test in VALUE_TESTS]
-        if val_cs:
-            stacked = (df.select(F.explode(F.array(*[
-                          F.struct(F.lit(i).alias("t"), _stacked_value(c).alias("v"))
-                          for i, c in enumerate(val_cs)])).alias("s"))
-                         .select("s.t", "s.v").where(F.col("v").isNotNull()))
-            counted = stacked.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
-            names = [f"t{i}" for i in range(len(val_cs))]
-            folded = counted.agg(*[
-                F.count_if((F.col("t") == i) & ((F.col("n") > 1) if c.test != "accepted_values"
-                                               else F.lit(True))).alias(n)
-                for i, (c, n) in enumerate(zip(val_cs, names))])
-            parts.append(_labelled(folded, val_cs, names))
         for c in cs:
             if c.test == "relationships":
                 orphans = relationships(df, c.column, models[c.to], c.field)
@@ -150,3 +141,36 @@ def run_tests(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+_VIOLATION = ""
+
+
+def _fused_counts(df: DataFrame, cs: Sequence[Check]) -> DataFrame:
+    """All row and value tests of one model from ONE scan and one small shuffle.
+
+    Each row is stacked into ``(test, value)`` pairs: a row test contributes a
+    constant marker only when the row violates it (so all its violations
+    collapse into one group, combined map-side), a value test contributes the
+    value under test.  Grouping by (test, value) then folds into one count per
+    test: violating rows, duplicated values, or distinct unexpected values.
+    """
+    def entry(c: Check) -> Column:
+        if c.test in ROW_TESTS:
+            return F.when(_row_condition(c), F.lit(_VIOLATION))
+        return _stacked_value(c)
+    stacked = (df.select(F.explode(F.array(*[
+                  F.struct(F.lit(i).alias("t"), entry(c).alias("v")) for i, c in enumerate(cs)])).alias("s"))
+                 .select("s.t", "s.v").where(F.col("v").isNotNull()))
+    counted = stacked.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
+    t, n = F.col("t"), F.col("n")
+
+    def fold(i: int, c: Check) -> Column:
+        if c.test in ROW_TESTS:
+            return F.coalesce(F.sum(F.when(t == i, n)), F.lit(0))
+        if c.test == "accepted_values":
+            return F.count_if(t == i)
+        return F.count_if((t == i) & (n > 1))
+    names = [f"t{i}" for i in range(len(cs))]
+    return _labelled(counted.agg(*[fold(i, c).alias(nm) for i, (c, nm) in enumerate(zip(cs, names))]),
+                     cs, names)
