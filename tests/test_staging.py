@@ -94,3 +94,20 @@ def test_payments_aggregated_rules(spark):
     assert out["a"].total_payment_value == Decimal("30.00") and out["a"].payment_count == 2
     assert out["b"].is_mixed_payment is False and out["b"].primary_payment_value == Decimal("5.00")
     assert out["c"].primary_payment_type == "Voucher" and out["c"].primary_payment_value is None
+
+
+def test_models_as_sql_views(spark):
+    from lakemart.functions.sql import register_sql_functions
+    from lakemart.plans import build
+    rows = [("o1", "1", "credit_card", "1", "10.00"), ("o1", "2", "voucher", "1", "5.00")]
+    pays = spark.createDataFrame(rows, "order_id string, payment_sequence string, payment_type string, "
+                                       "payment_installments string, payment_value string") \
+        .selectExpr("*", "'f' AS _file_name", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS _loaded_at")
+    stg = staging.stg_payments(pays)
+    build.register_views(spark, {"stg_payments": stg,
+                                 "payments_aggregated": intermediate.payments_aggregated(stg)})
+    register_sql_functions(spark)
+    r = spark.sql("SELECT a.primary_payment_type, a.is_mixed_payment, surrogate_key(a.order_id) AS k, "
+                  "(SELECT count(*) FROM stg_payments) AS n FROM payments_aggregated a").first()
+    assert (r.primary_payment_type, r.is_mixed_payment, r.n) == ("Credit_Card", True, 2)
+    assert r.k == spark.sql("SELECT md5('o1')").first()[0]
