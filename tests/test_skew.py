@@ -50,3 +50,23 @@ def test_value_tests_hot_value(spark):
     got = {r.test: r.violations for r in quality.run_tests(
         {"t": df}, [Check("t", "unique", "k"), Check("t", "accepted_values", "k", values=("hot",))]).collect()}
     assert got == {"unique": 1, "accepted_values": df.where("k <> 'hot'").count()}
+
+
+def test_as_of_join_hot_key(spark):
+    import datetime as dt
+
+    from lakemart.operators import history
+    t1, t2, t3 = (dt.datetime(2024, 1, d) for d in (1, 11, 21))
+    src = lambda city: spark.createDataFrame([("hot", city), ("cold", "c")], "id string, city string")
+    h = history.scd2_check(None, src("a"), "id", ["city"], t1)
+    h = history.scd2_check(h, src("b"), "id", ["city"], t2)
+    h = history.scd2_check(h, src("c"), "id", ["city"], t3)
+    facts = spark.range(30 * 24 * 60).select(
+        F.when(F.col("id") % 10 != 0, F.lit("hot")).otherwise(F.lit("cold")).alias("id"),
+        F.timestamp_add("MINUTE", F.col("id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("ts"))
+    got = {(r.id, r.h__city): r.n for r in history.as_of_join(facts, h, "id", "ts")
+           .groupBy("id", "h__city").agg(F.count(F.lit(1)).alias("n")).collect()}
+    minutes = {"a": 10 * 24 * 60, "b": 10 * 24 * 60, "c": 10 * 24 * 60}
+    assert sum(v for (k, _), v in got.items() if k == "hot") == facts.where("id = 'hot'").count()
+    assert got[("hot", "a")] == minutes["a"] * 9 // 10
+    assert got[("cold", "c")] == facts.where("id = 'cold'").count()
