@@ -277,7 +277,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, name: str) -> Dat
     return stage(map_arrow(full, run, "a long, b long").distinct(), name)
 
 
-def _unresolved(entries: DataFrame, labels: DataFrame) -> DataFrame:
+def unresolved(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries, with their row's component, of set-aside columns that hold several components."""
     labelled = entries.join(labels.withColumnRenamed("node", "a"), "a", "left").select(
         "col", "a", "size_a", F.coalesce("component", "a").alias("component"))
@@ -287,7 +287,7 @@ def _unresolved(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.join(mixed, "col", "left_semi")
 
 
-def _star_pairs(entries: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+def star_pairs(entries: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """Pairs of each row with the best linked row of its set-aside column, in other components."""
     degree = (links.select(F.explode(F.array("a", "b")).alias("a"))
               .groupBy("a").agg(F.count("*").alias("degree")))
@@ -302,7 +302,7 @@ def _star_pairs(entries: DataFrame, links: DataFrame, percent: int) -> DataFrame
                         F.greatest("a", "hub.a").alias("b")).distinct()
 
 
-def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
+def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Every pair of rows of different components in a set-aside column: (a, b, n, sizes)."""
     groups = entries.groupBy("col", "component").agg(
         F.min("size_a").alias("least"), F.max("size_a").alias("most"))
@@ -371,14 +371,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       "ngram-links").union(same)
 
     for _ in range(STAR_ROUNDS):
-        open_entries = stage(_unresolved(aside, components(links, "ngram-label")), "ngram-open")
+        open_entries = stage(unresolved(aside, components(links, "ngram-label")), "ngram-open")
         if open_entries.isEmpty():
             break
-        tried = stage(_star_pairs(open_entries, links, percent), "ngram-stars")
+        tried = stage(star_pairs(open_entries, links, percent), "ngram-stars")
         links = links.union(_verified(tried, rows, percent, "ngram-links"))
-    open_entries = stage(_unresolved(aside, components(links, "ngram-label")), "ngram-open")
+    open_entries = stage(unresolved(aside, components(links, "ngram-label")), "ngram-open")
     if not open_entries.isEmpty():
-        crossing = _cross_pairs(open_entries, percent).join(
+        crossing = cross_pairs(open_entries, percent).join(
             short.select("a", "b", F.col("n").alias("n_short")), ["a", "b"], "left")
         crossing = crossing.where(_may_link(F.col("n") + F.coalesce("n_short", F.lit(0)), percent))
         links = links.union(_verified(stage(crossing.select("a", "b"), "ngram-cross"), rows,

@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import decontaminate, exact_dedup, langid, ngram_join, packing
+from lakemart.llm import (
+    decontaminate,
+    exact_dedup,
+    langid,
+    line_dedup,
+    ngram_join,
+    packing,
+    pii,
+    toxicity,
+)
 from lakemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,13 +44,27 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     table(spark, sf_dir, "benchmark"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_rows(table(spark, sf_dir, "documents"),
+                                  table(spark, sf_dir, "labels"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.duplicate_lines(table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data_rows(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_language_id, op2_packing, op4_ngram_join, op5_decontamination, op7_exact_dedup)}
+    op1_language_id, op2_packing, op4_ngram_join, op5_decontamination, op6_toxicity, op7_exact_dedup,
+    op8_line_dedup, op9_pii)}
 
 SQL: dict[str, str] = {}
 
