@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from lakemart.llm import (
     decontaminate,
     exact_dedup,
+    html_text,
     langid,
     line_dedup,
     ngram_join,
     packing,
     pii,
+    secret_scan,
     toxicity,
 )
 from lakemart.llm.common import table
@@ -35,6 +37,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -62,9 +68,13 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_rows(table(spark, sf_dir, "documents"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_language_id, op2_packing, op4_ngram_join, op5_decontamination, op6_toxicity, op7_exact_dedup,
-    op8_line_dedup, op9_pii)}
+    op1_language_id, op2_packing, op3_html_text, op4_ngram_join, op5_decontamination,
+    op6_toxicity, op7_exact_dedup, op8_line_dedup, op9_pii, op10_secrets)}
 
 SQL: dict[str, str] = {}
 
