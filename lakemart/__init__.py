@@ -25,7 +25,7 @@ _EXPORTS = {
     "Check": "lakemart.operators.quality", "run_tests": "lakemart.operators.quality",
     "hash_sample": "lakemart.operators.sample",
     "read_landing": "lakemart.sources.landing", "load_report": "lakemart.sources.landing",
-    "verify_counts": "lakemart.sources.landing", "full_reload": "lakemart.sources.landing",
+    "verify_counts": "lakemart.sources.landing", "full_reload": "lakemart.streaming.file_ledger",
     "write_csv": "lakemart.sources.landing", "bronze_table": "lakemart.sources.landing",
     "load_incremental": "lakemart.streaming.file_ledger",
     "Layout": "lakemart.plans.weekly", "run_weekly": "lakemart.plans.weekly",

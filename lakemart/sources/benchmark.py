@@ -17,15 +17,12 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.session import spread
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = True) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if spread_scan else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 RAW_ORDERS = {
@@ -37,7 +34,8 @@ RAW_ORDERS = {
         "CASE WHEN o_orderkey % 211 = 5 THEN 'garbage' "
         "WHEN o_orderkey % 89 = 3 THEN CAST(CAST(o_orderdate AS DATE) AS STRING) "
         "ELSE CAST(timestampadd(SECOND, o_orderkey % 86400, o_orderdate) AS STRING) END",
-    "order_approved_at": "CAST(timestampadd(HOUR, 1 + o_orderkey % 48, o_orderdate) AS STRING)",
+    "order_approved_at": "CASE WHEN o_orderkey % 223 = 9 THEN '2018' "
+                         "ELSE CAST(timestampadd(HOUR, 1 + o_orderkey % 48, o_orderdate) AS STRING) END",
     "order_delivered_carrier_date":
         "CASE WHEN o_orderstatus IN ('F', 'O') "
         "THEN CAST(timestampadd(DAY, 1 + o_custkey % 3, o_orderdate) AS STRING) END",
@@ -104,7 +102,8 @@ RAW_SELLERS = {
 
 RAW_GEOLOCATIONS = {
     "geolocation_zip_code_prefix": "CAST(c_nationkey AS STRING)",
-    "geolocation_lat": "CASE WHEN c_custkey % 41 = 0 THEN 'n/a' "
+    "geolocation_lat": "CASE WHEN c_custkey % 41 = 0 THEN 'n/a' WHEN c_custkey % 43 = 0 THEN '1.5d' "
+                       "WHEN c_custkey % 47 = 0 THEN '1f' "
                        "ELSE CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) END",
     "geolocation_lng": "CAST(c_custkey % 200 - 100 AS STRING)",
     "geolocation_city": "CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE lower(c_mktsegment) END",

@@ -5,22 +5,26 @@ business column is text.  Rows that do not fit (too few or too many fields,
 broken quoting) are not fatal: they go to a quarantine frame with their raw
 text and file name.  The null tokens of the load (``NULL``, ``null``,
 ``None``, empty) become SQL NULL.  Audit columns ``_file_name`` and
-``_loaded_at`` are added at load time.
+``_loaded_at`` are added at load time; files that carry the two themselves, after the
+business columns, are read like the others and their values give way to the load's own.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from lakemart.functions.text import NULL_TOKENS, null_if_token
 
 CORRUPT = "_corrupt_record"
+#: Start of the file split that a rejected row stands in, and its number there.
+POSITION = "_position"
+AUDIT_COLUMNS = ("_file_name", "_loaded_at")
 
 # --- fixed values: the landing tables, their sub-folders and column order ----------
 BRONZE_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -68,8 +72,9 @@ def bronze_schema(table: str) -> StructType:
 
 
 def csv_options(table: str) -> dict[str, str]:
-    # drops may sit in nested folders; paths never carry partition columns
-    return {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+    # drops may sit in nested folders; paths never carry partition columns.  Whether a record fits
+    # is only seen when all its fields are parsed, so a narrow query must not prune them.
+    return {"columnPruning": "false", "header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
             "columnNameOfCorruptRecord": CORRUPT, "recursiveFileLookup": "true",
             "multiLine": str(table in MULTILINE_TABLES).lower()}
 
@@ -81,17 +86,29 @@ def loaded_at_col(loaded_at: dt.datetime | str | None) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def _carries_audit(corrupt: Column, table: str) -> Column:
+    """Whether a record fits once it may end in the audit columns, the last of them a time."""
+    fields = [*BRONZE_COLUMNS[table], *AUDIT_COLUMNS, CORRUPT]
+    again = F.from_csv(corrupt, ", ".join(f"`{c}` STRING" for c in fields), csv_options(table))
+    return (again[CORRUPT].isNull()
+            & again[AUDIT_COLUMNS[1]].try_cast("timestamp_ntz").isNotNull())
+
+
 def with_audit(parsed: DataFrame, table: str, loaded_at=None) -> DataFrame:
     """Parsed CSV rows (with ``_metadata``) -> business columns (tokens nulled) + audit + corrupt."""
     cols = BRONZE_COLUMNS[table]
     # Spark refuses a raw-CSV query whose only parsed column is the corrupt
-    # record (e.g. counting rejects); the never-true test keeps the first
+    # record (e.g. counting rejects), and a filter on it alone would be pushed into the
+    # parser, which applies it before it is set; the never-true test keeps the first
     # business column in the read schema without changing the value
-    corrupt = F.coalesce(F.col(CORRUPT), F.when(F.length(F.col(cols[0])) < 0, F.lit("")))
+    raw = F.coalesce(F.col(CORRUPT), F.when(F.length(F.col(cols[0])) < 0, F.lit("")))
+    # only records that did not fit are parsed again
+    corrupt = F.when(raw.isNotNull() & ~F.coalesce(_carries_audit(raw, table), F.lit(False)), raw)
     return parsed.select(*[null_if_token(F.col(c), NULL_TOKENS).alias(c) for c in cols],
                          F.col("_metadata.file_path").alias("_file_name"),
                          loaded_at_col(loaded_at).alias("_loaded_at"),
-                         corrupt.alias(CORRUPT))
+                         corrupt.alias(CORRUPT),
+                         F.col("_metadata.file_block_start").alias(POSITION))
 
 
 def read_landing(spark: SparkSession, path: str, table: str, loaded_at=None) -> DataFrame:
@@ -102,40 +119,49 @@ def read_landing(spark: SparkSession, path: str, table: str, loaded_at=None) ->
 
 def split_quarantine(loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without the corrupt column, quarantined raw rows)."""
-    good = loaded.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    good = loaded.where(F.col(CORRUPT).isNull()).drop(CORRUPT, POSITION)
     bad = loaded.where(F.col(CORRUPT).isNotNull()).select(
         "_file_name", "_loaded_at", F.col(CORRUPT).alias("raw_record"))
     return good, bad
 
 
+def numbered(loaded: DataFrame) -> DataFrame:
+    """Gives rejected rows their place: (start of the file split, running number in it)."""
+    return loaded.withColumn(POSITION, F.when(F.col(CORRUPT).isNotNull(), F.struct(
+        F.col(POSITION).alias("block"), F.monotonically_increasing_id().alias("row"))))
+
+
 def file_report(loaded: DataFrame) -> DataFrame:
-    """One row per file: rows parsed, rows loaded, rows rejected, first error."""
+    """One row per file: rows parsed, rows loaded, rows rejected, first error in the file."""
     bad = F.col(CORRUPT).isNotNull()
     return (loaded.groupBy("_file_name")
                   .agg(F.count(F.lit(1)).alias("rows_parsed"),
                        F.count_if(~bad).alias("rows_loaded"),
                        F.count_if(bad).alias("rows_rejected"),
-                       F.min(F.when(bad, F.col(CORRUPT))).alias("first_error")))
+                       F.min_by(F.when(bad, F.col(CORRUPT)), POSITION).alias("first_error")))
 
 
-def load_report(loaded: Mapping[str, DataFrame], skipped_files: Mapping[str, int] | None = None) -> DataFrame:
-    """Per table: files loaded clean, skipped, with errors; rows loaded and rejected.
+def load_report(files: Mapping[str, DataFrame],
+                skipped_files: Mapping[str, int] | None = None) -> DataFrame:
+    """Per table: files loaded clean, skipped, with errors; rows loaded and rejected; first error.
 
-    A file with at least one rejected row counts as errored (its good rows still
-    load).  A table with no new files reports zeros.
+    ``files`` has one row per new file (see :func:`file_report`).  A file with at least one
+    rejected row counts as errored (its good rows still load); one without data rows
+    counts as loaded.  A table with no new files reports zeros.  ``first_error`` is the
+    first rejected record of the first errored file by name.
     """
     skipped_files = skipped_files or {}
     parts = []
-    for table, df in loaded.items():
-        per_file = file_report(df)
-        parts.append(per_file.agg(
-            F.count_if(F.col("rows_rejected") == 0).alias("files_loaded"),
-            F.count_if(F.col("rows_rejected") > 0).alias("files_errored"),
+    for table, df in files.items():
+        bad = F.col("rows_rejected") > 0
+        parts.append(df.agg(
+            F.count_if(~bad).alias("files_loaded"), F.count_if(bad).alias("files_errored"),
             F.coalesce(F.sum("rows_loaded"), F.lit(0)).cast("long").alias("rows_loaded"),
-            F.coalesce(F.sum("rows_rejected"), F.lit(0)).cast("long").alias("rows_rejected"))
+            F.coalesce(F.sum("rows_rejected"), F.lit(0)).cast("long").alias("rows_rejected"),
+            F.min_by("first_error", F.when(bad, F.col("_file_name"))).alias("first_error"))
             .select(F.lit(table).alias("table"), "files_loaded",
                     F.lit(int(skipped_files.get(table, 0))).cast("long").alias("files_skipped"),
-                    "files_errored", "rows_loaded", "rows_rejected"))
+                    "files_errored", "rows_loaded", "rows_rejected", "first_error"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -154,97 +180,76 @@ def verify_counts(tables: Mapping[str, DataFrame], ts_col: str = "_loaded_at") -
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV sink with a header line (doubled quotes inside quoted fields)."""
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """CSV sink with a header line (doubled quotes inside quoted fields); blanks are kept."""
+    (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
 
+# --- the landed table: load_time=<time>/load_batch=<batch>/load_status=<loaded|rejected> ------
 
-STATUS = "load_status"
-BATCH = "load_batch"
-_STAMP_FMT = "%Y%m%d%H%M%S"
+TIME, BATCH, STATUS = "load_time", "load_batch", "load_status"
+_STAMP_FMT = "%Y%m%d%H%M%S%f"
 
 
 def stamp_of(loaded_at: dt.datetime | str) -> dt.datetime:
     return loaded_at if isinstance(loaded_at, dt.datetime) else dt.datetime.fromisoformat(loaded_at)
 
 
-def batch_label(loaded_at: dt.datetime | str, kind: str, n: int = 0) -> str:
-    """Partition value of one load: ``<yyyyMMddHHmmss>-<kind><n>``.
+def stamp_text(loaded_at: dt.datetime | str) -> str:
+    """Partition value of a load time; text order is time order."""
+    return stamp_of(loaded_at).strftime(_STAMP_FMT)
 
-    The load time leads, so "loaded after T" becomes a filter on the partition
-    value and prunes whole load folders; ``kind`` is ``s`` (streamed batch n)
-    or ``f`` (forced reload)."""
-    return f"{stamp_of(loaded_at).strftime(_STAMP_FMT)}-{kind}{n:09d}"
 
+def utc_now() -> dt.datetime:
+    """The session's clock: UTC without a zone."""
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
-def _batch_stamp(c: str = BATCH) -> Column:
-    return F.substring(F.col(c), 1, len(dt.datetime(2000, 1, 1).strftime(_STAMP_FMT)))
 
+def landed_schema(table: str) -> StructType:
+    position = StructType([StructField("block", LongType()), StructField("row", LongType())])
+    return StructType([*bronze_schema(table).fields, StructField(CORRUPT, StringType()),
+                       StructField(POSITION, position),
+                       *(StructField(c, StringType()) for c in (TIME, BATCH, STATUS))])
 
-def land(loaded: DataFrame, table_root: str, batch: str) -> None:
-    """Write one load's good and rejected rows in ONE pass over its files, into
-    ``load_batch=<batch>/load_status=<loaded|rejected>``.  The dynamic partition
-    overwrite makes a retried load replace exactly its own output."""
+
+def land(loaded: DataFrame, table_root: str, batch: str, load_time) -> None:
+    """Write one load's good and rejected rows in ONE pass over its files.
+
+    Batch and load time are the same whenever a load is tried again, and the dynamic
+    partition overwrite replaces exactly its own output."""
     status = F.when(F.col(CORRUPT).isNull(), F.lit("loaded")).otherwise(F.lit("rejected"))
-    (loaded.withColumn(BATCH, F.lit(batch)).withColumn(STATUS, status)
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(BATCH, STATUS).parquet(table_root))
+    (numbered(loaded).withColumns({TIME: F.lit(stamp_text(load_time)), BATCH: F.lit(batch),
+                                   STATUS: status})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(TIME, BATCH, STATUS).parquet(table_root))
+
+
+def landed(spark: SparkSession, table_root: str, table: str | None = None) -> DataFrame:
+    """All rows of a landed table, rejected ones too; none if no load has written yet."""
+    table = table or os.path.basename(table_root.rstrip("/"))
+    if not path_exists(spark, table_root):
+        return spark.createDataFrame([], landed_schema(table))
+    return spark.read.schema(landed_schema(table)).parquet(table_root)
 
 
-def bronze_table(spark: SparkSession, table_root: str, loaded_after=None) -> DataFrame:
+def bronze_table(spark: SparkSession, table_root: str, loaded_after=None,
+                 table: str | None = None) -> DataFrame:
     """The loaded rows of a landed table (partition-pruned to ``loaded``).
 
     With ``loaded_after`` only load folders stamped at or after it are listed
     and read; the exact ``_loaded_at`` filter is left to the caller."""
-    df = spark.read.parquet(table_root).where(F.col(STATUS) == "loaded")
+    df = landed(spark, table_root, table).where(F.col(STATUS) == "loaded")
     if loaded_after is not None:
-        df = df.where(_batch_stamp() >= F.lit(stamp_of(loaded_after).strftime(_STAMP_FMT)))
-    return df.drop(STATUS, CORRUPT, BATCH)
+        df = df.where(F.col(TIME) >= F.lit(stamp_text(loaded_after)))
+    return df.drop(TIME, BATCH, STATUS, CORRUPT, POSITION)
 
 
-def loads_stamped(spark: SparkSession, table_root: str, loaded_at) -> DataFrame:
-    """Every row (loaded and rejected) of the loads stamped ``loaded_at`` (pruned)."""
-    return (spark.read.parquet(table_root)
-                 .where(_batch_stamp() == F.lit(stamp_of(loaded_at).strftime(_STAMP_FMT))))
-
-
-def quarantine(spark: SparkSession, table_root: str) -> DataFrame:
-    df = spark.read.parquet(table_root)
-    return df.where(F.col(STATUS) == "rejected").select(
+def quarantine(spark: SparkSession, table_root: str, table: str | None = None) -> DataFrame:
+    return landed(spark, table_root, table).where(F.col(STATUS) == "rejected").select(
         "_file_name", "_loaded_at", F.col(CORRUPT).alias("raw_record"))
 
 
-def written_as_loaded(df: DataFrame) -> DataFrame:
-    """A landed dataset seen as parsed rows again (for :func:`load_report`)."""
-    return df.withColumn(CORRUPT, F.when(F.col(STATUS) == "rejected", F.col(CORRUPT)))
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder on whatever file system holds it (driver-side metadata call)."""
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def full_reload(spark: SparkSession, landing_root: str, bronze_root: str,
-                tables: Sequence[str], loaded_at=None, truncate: bool = False) -> DataFrame:
-    """Re-append every landing file (forced load).  Without ``truncate`` rows
-    already loaded are appended again, as the source system's forced load does.
-
-    One table's failure does not stop the others; all failures are raised at
-    the end.  Returns the load report of this run.
-    """
-    errors, done = {}, {}
-    stamp = stamp_of(loaded_at) if loaded_at else dt.datetime.now().replace(microsecond=0)
-    for t in tables:
-        try:
-            root = os.path.join(bronze_root, t)
-            loaded = read_landing(spark, os.path.join(landing_root, SUBFOLDER[t]), t, stamp)
-            if truncate:
-                remove_path(spark, root)
-            land(loaded, root, batch_label(stamp, "f"))
-            done[t] = written_as_loaded(loads_stamped(spark, root, stamp))
-        except Exception as e:  # noqa: BLE001 - isolate per table
-            errors[t] = e
-    if errors:
-        raise RuntimeError(f"load failed for {sorted(errors)}: {errors}")
-    return load_report(done)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -29,8 +29,10 @@ def test_csv_quoting_quarantine_and_tokens(spark, tmp):
     assert g["r2"].review_score is None and g["r2"].review_comment_title is None
     assert g["r1"]._file_name.endswith("/w1.csv") and g["r1"]._loaded_at == dt.datetime(2024, 1, 7)
     assert bad.count() == 2
-    rep = landing.load_report({"raw_order_reviews": loaded}).first()
+    files = landing.file_report(landing.numbered(loaded))
+    rep = landing.load_report({"raw_order_reviews": files}).first()
     assert (rep.files_loaded, rep.files_errored, rep.rows_loaded, rep.rows_rejected) == (0, 1, 2, 2)
+    assert rep.first_error.strip() == "r3,o1,5"
 
 
 def test_incremental_ledger(spark, tmp):
@@ -57,12 +59,12 @@ def test_forced_and_incremental_loads_share_one_layout(spark, tmp):
     write(f"{landing_root}/payments", "p1.csv", head + "o1,1,credit_card,1,10\n")
     t = ["raw_order_payments"]
     file_ledger.load_incremental(spark, landing_root, bronze, ckpt, t, "2024-01-07 00:00:00")
-    rep = landing.full_reload(spark, landing_root, bronze, t, dt.datetime(2024, 1, 8)).first()
+    rep = file_ledger.full_reload(spark, landing_root, bronze, ckpt, t, dt.datetime(2024, 1, 8)).first()
     assert rep.rows_loaded == 1
     root = f"{bronze}/raw_order_payments"
     assert landing.bronze_table(spark, root).count() == 2          # forced load re-appends
     assert landing.bronze_table(spark, root, dt.datetime(2024, 1, 8)).count() == 1   # pruned
-    landing.full_reload(spark, landing_root, bronze, t, dt.datetime(2024, 1, 9), truncate=True)
+    file_ledger.full_reload(spark, landing_root, bronze, ckpt, t, dt.datetime(2024, 1, 9), truncate=True)
     assert landing.bronze_table(spark, root).count() == 1
 
 
@@ -75,7 +77,87 @@ def test_one_failing_table_does_not_stop_the_others(spark, tmp):
     os.makedirs(bronze, exist_ok=True)
     with open(f"{bronze}/raw_order_payments", "w") as f:   # a file where a folder must go
         f.write("blocked")
-    with pytest.raises(RuntimeError, match="raw_order_payments"):
+    with pytest.raises(file_ledger.LoadFailed, match="raw_order_payments") as failed:
         file_ledger.load_incremental(spark, landing_root, bronze, ckpt,
                                      ["raw_order_payments", "raw_sellers"], "2024-01-07 00:00:00")
     assert landing.bronze_table(spark, f"{bronze}/raw_sellers").count() == 1
+    report = failed.value.report.collect()
+    assert [(r.table, r.files_loaded, r.rows_loaded) for r in report] == [("raw_sellers", 1, 1)]
+
+
+HEAD = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+PAYMENTS = ["raw_order_payments"]
+
+
+def loaded(spark, bronze):
+    return sorted((r.order_id, str(r._loaded_at)) for r in landing.bronze_table(
+        spark, f"{bronze}/raw_order_payments").collect())
+
+
+def test_failed_load_is_tried_again_under_a_new_stamp(spark, tmp):
+    import pytest
+    land, bronze, ckpt = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ckpt"
+    write(f"{land}/payments", "p1.csv", HEAD + "o1,1,card,1,10\no2,1,card,1,5\n")
+
+    def stop(batch):
+        raise OSError(batch)
+
+    with pytest.raises(file_ledger.LoadFailed):
+        file_ledger.load_incremental(spark, land, bronze, ckpt, PAYMENTS, "2024-01-07", after_land=stop)
+    rep = file_ledger.load_incremental(spark, land, bronze, ckpt, PAYMENTS, "2024-01-14").first()
+    assert rep.rows_loaded == 2
+    assert loaded(spark, bronze) == [("o1", "2024-01-07 00:00:00"), ("o2", "2024-01-07 00:00:00")]
+    with pytest.raises(file_ledger.LoadFailed):
+        file_ledger.full_reload(spark, land, bronze, ckpt, PAYMENTS, "2024-01-15", after_land=stop)
+    file_ledger.full_reload(spark, land, bronze, ckpt, PAYMENTS, "2024-01-16")
+    assert len(loaded(spark, bronze)) == 4
+
+
+def test_forced_then_incremental_then_forced(spark, tmp):
+    land, bronze, ckpt = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ckpt"
+    write(f"{land}/payments", "p1.csv", HEAD + "o1,1,card,1,10\no2,1,card,1,5\n")
+    file_ledger.full_reload(spark, land, bronze, ckpt, PAYMENTS)
+    rep = file_ledger.load_incremental(spark, land, bronze, ckpt, PAYMENTS).first()
+    assert (rep.files_loaded, rep.files_skipped, rep.rows_loaded) == (0, 1, 0)
+    assert len(loaded(spark, bronze)) == 2
+    write(f"{land}/payments", "p2.csv", HEAD + "o3,1,card,1,7\n")
+    # two forced loads in quick succession are two loads; new files land once in the first
+    file_ledger.full_reload(spark, land, bronze, ckpt, PAYMENTS)
+    assert [o for o, _ in loaded(spark, bronze)] == ["o1", "o1", "o2", "o2", "o3"]
+    file_ledger.full_reload(spark, land, bronze, ckpt, PAYMENTS)
+    assert len(loaded(spark, bronze)) == 8
+
+
+def test_files_without_rows_count_as_loaded(spark, tmp):
+    land, bronze, ckpt = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ckpt"
+    write(f"{land}/payments", "p1.csv", HEAD)
+    rep = file_ledger.load_incremental(spark, land, bronze, ckpt, PAYMENTS, "2024-01-07").first()
+    assert (rep.files_loaded, rep.rows_loaded) == (1, 0) and loaded(spark, bronze) == []
+    write(f"{land}/payments", "p2.csv", HEAD + "o3,1,card,1,7\n")
+    write(f"{land}/payments", "p3.csv", HEAD)
+    rep = file_ledger.load_incremental(spark, land, bronze, ckpt, PAYMENTS, "2024-01-14").first()
+    assert (rep.files_loaded, rep.files_skipped, rep.rows_loaded) == (2, 1, 1)
+
+
+def test_load_time_must_go_forward(spark, tmp):
+    import pytest
+    land, bronze, ckpt = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ckpt"
+    write(f"{land}/payments", "p1.csv", HEAD + "o1,1,card,1,10\n")
+    file_ledger.load_incremental(spark, land, bronze, ckpt, PAYMENTS, "2024-01-07")
+    for stamp in ("2024-01-07", "2024-01-06"):
+        with pytest.raises(ValueError, match="not after"):
+            file_ledger.load_incremental(spark, land, bronze, ckpt, PAYMENTS, stamp)
+
+
+def test_files_with_audit_columns(spark, tmp):
+    folder = f"{tmp}/payments"
+    head = HEAD.strip() + ",_file_name,_loaded_at\n"
+    write(folder, "p1.csv", head + "o1,1,card,1,10,old.csv,2020-01-01 00:00:00\n"
+          + 'o2,1,"a, ""b""",1,5,old.csv,2020-01-01T00:00:00.5\n'
+          + "o3,1,card,1,7,x,y\n" + "o4,1,card,1,7,x\n")
+    good, bad = landing.split_quarantine(
+        landing.read_landing(spark, folder, "raw_order_payments", "2024-01-07 00:00:00"))
+    rows = {r.order_id: r for r in good.collect()}
+    assert set(rows) == {"o1", "o2"} and rows["o2"].payment_type == 'a, "b"'
+    assert rows["o1"]._file_name.endswith("p1.csv") and rows["o1"]._loaded_at == dt.datetime(2024, 1, 7)
+    assert bad.count() == 2
