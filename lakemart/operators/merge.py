@@ -1,24 +1,27 @@
 """Incremental materialisation: high watermark, keyed upsert, schema sync.
 
 A fact table is a directory of parquet files, optionally partitioned (e.g. by
-purchase month).  An upsert reads only the partitions the increment touches
-(partition pruning from a literal list), replaces matched keys and writes the
-merged partitions back with a dynamic partition overwrite, which swaps exactly
-those partitions in at job commit.  The increment itself is staged on shared
-storage first (computed once; a lineage cut that survives executor loss).
-Untouched partitions are never rewritten.
+purchase month), with its declared schema in ``_schema.json`` beside them.  An upsert
+reads only the partitions the increment touches -- those its rows belong to and those
+that hold its keys now -- replaces matched keys and writes the merged partitions back
+with a dynamic partition overwrite, which swaps exactly those partitions in at job
+commit.  The increment itself is staged on shared storage first (computed once; a
+lineage cut that survives executor loss).  Untouched partitions are never rewritten:
+columns that came or went are a matter of the declared schema.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lakemart.operators.dedupe import latest_per_key
-from lakemart.session import scratch_path
+from lakemart.session import remove_path, scratch_path
 
 EPOCH_DEFAULT = dt.datetime(1900, 1, 1)
 
@@ -43,8 +46,14 @@ def incremental_filter(source: DataFrame, watermark, col: str = "_loaded_at") ->
     return source.where(F.col(col) > ntz_literal(watermark))
 
 
+class SchemaChangeError(ValueError):
+    """A changed type would turn values into NULL; the table is left as it was."""
+
+
 def sync_schema(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Project ``target`` onto ``source``'s columns: new ones NULL, removed ones dropped."""
+    """Project ``target`` onto ``source``'s columns: new ones NULL, removed ones dropped.
+
+    A column of another type is cast; see :func:`lost_in_cast` for values that don't convert."""
     have = dict(target.dtypes)
     cols = []
     for f in source.schema.fields:
@@ -57,6 +66,24 @@ def sync_schema(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.select(*cols)
 
 
+def changed_types(target: DataFrame, source: DataFrame) -> list:
+    """Fields of ``source`` that ``target`` has under another type."""
+    have = dict(target.dtypes)
+    return [f for f in source.schema.fields
+            if f.name in have and have[f.name] != f.dataType.simpleString()]
+
+
+def lost_in_cast(target: DataFrame, source: DataFrame) -> dict[str, int]:
+    """Column -> values of ``target`` that the type in ``source`` can't hold: one aggregate row."""
+    fields = changed_types(target, source)
+    if not fields:
+        return {}
+    row = target.agg(*[F.count_if(F.col(f"`{f.name}`").isNotNull()
+                                  & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()).alias(f.name)
+                       for f in fields]).first()
+    return {k: n for k, n in row.asDict().items() if n}
+
+
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  order_col: str = "_loaded_at") -> DataFrame:
     """MERGE by key: newest source row per key replaces the target's rows with that key.
@@ -104,60 +131,158 @@ def partitioned_writer(df: DataFrame, partition_cols: Sequence[str]):
     return df.hint("rebalance", *partition_cols).write.partitionBy(*partition_cols)
 
 
+_SCHEMA_FILE = "_schema.json"
+
+
+def _declare(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Write the table's declared schema (files with a leading underscore are not data)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/{_SCHEMA_FILE}")
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(schema.json(), "utf-8"))
+    finally:
+        out.close()
+
+
+def _declared(spark: SparkSession, path: str) -> StructType | None:
+    if not table_exists(spark, f"{path}/{_SCHEMA_FILE}"):
+        return None
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/{_SCHEMA_FILE}")
+    read = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(read, "UTF-8")
+    finally:
+        read.close()
+    return StructType.fromJson(json.loads(text))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by :func:`upsert_table`, with its declared columns: those that older files
+    lack are NULL, those that were removed are not read.
+
+    All files agree on the type of a column that they share, so a file's own types go before the
+    declared ones: a run that ended between its commit and its declaration does no harm."""
+    schema = _declared(spark, path)
+    if schema is None:
+        return spark.read.parquet(path)
+    own = {f.name: f.dataType for f in
+           spark.read.option("recursiveFileLookup", True).parquet(path).schema.fields}
+    schema = StructType([StructField(f.name, own.get(f.name, f.dataType)) for f in schema.fields])
+    return spark.read.schema(schema).parquet(path)
+
+
+def _key_partitions(target: DataFrame, src: DataFrame, keys: Sequence[str],
+                    partition_cols: Sequence[str]) -> list[tuple]:
+    """Partitions of the table that hold keys of the increment (only those columns are read)."""
+    held = (target.select(*dict.fromkeys([*keys, *partition_cols]))
+            .join(src.select(*keys).distinct(), list(keys), "left_semi"))
+    return [tuple(r) for r in held.select(*partition_cols).distinct().collect()]
+
+
+def _partition_folders(target: DataFrame, partition_cols: Sequence[str]) -> dict[tuple, str]:
+    """Partition values -> folder."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
+    rows = target.groupBy(*partition_cols).agg(F.min(folder).alias("__folder")).collect()
+    return {tuple(r)[:-1]: r["__folder"] for r in rows}
+
+
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
                  partition_cols: Sequence[str] = (), order_col: str = "_loaded_at") -> dict:
     """Merge ``source`` into the parquet table at ``path``; create it on the first run.
 
     The first run writes the build as is (like CREATE TABLE AS SELECT).  Later
     runs merge by ``keys``:
-      1. the increment is computed once and staged on shared storage,
-         partitioned like the table;
-      2. the touched partitions are read off the staged copy (one value per
-         partition, bounded by the partition count, not the data);
+      1. the increment is computed once and staged on shared storage;
+      2. the touched partitions are those its rows belong to and those that hold
+         its keys now, since a key may have moved (one value per partition, bounded by the
+         partition count, not the data; the second is a semi-join on keys alone);
       3. only those partitions of the table are read (partition pruning),
          merged, and written back by a dynamic partition overwrite, which
-         swaps exactly those partitions in at job commit.
-    A key must not move between partitions (the partition columns are a
-    function of the key, e.g. the order's purchase month).  If the columns
-    changed, every row is rewritten with the new columns (old rows get NULL in
-    new columns; removed columns are dropped).  Returns a small report.
+         swaps exactly those partitions in at job commit; a partition that all its rows
+         left is removed after that.
+    Columns that came or went need no rewrite (see :func:`read_table`).  If a type changed
+    under an unchanged name every partition is rewritten in one commit; when a value
+    would not survive that, :class:`SchemaChangeError` is raised and nothing changes.
+    A run that failed can be run again.  Returns a small report.
     """
     spark = source.sparkSession
     partition_cols = list(partition_cols)
     writer = lambda df: partitioned_writer(df, partition_cols)
+    _finish_swap(spark, path)
     if not table_exists(spark, path):
         writer(source).mode("errorifexists").parquet(path)
+        _declare(spark, path, source.schema)
         return {"mode": "create", "partitions": None}
-    staged_src_path = scratch_path(spark, "upsert-source")
-    writer(source).parquet(staged_src_path)
-    src = spark.read.schema(source.schema).parquet(staged_src_path)
-    existing = spark.read.parquet(path)
-    same_columns = set(existing.columns) == set(source.columns)
-    # with unchanged columns, read with the source's schema: partition values are
-    # parsed to their declared types instead of being re-inferred from paths
-    target = spark.read.schema(source.schema).parquet(path) if same_columns else existing
-    touched = None
-    if partition_cols and same_columns:
-        touched = sorted((tuple(r) for r in src.select(*partition_cols).distinct().collect()), key=repr)
-        if not touched:
-            return {"mode": "noop", "partitions": []}
-        target = target.where(_partition_filter(partition_cols, touched))
-    merged = merge_frames(target, src, keys, order_col)
-    if touched is not None:
-        # A dynamic partition overwrite writes into a job staging folder and
-        # replaces the touched partitions only at job commit, after every task
-        # has finished reading them: the merge can target the table directly.
-        # A failed job leaves the table as it was.
-        (writer(merged).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .parquet(path))
-        return {"mode": "merge", "partitions": touched, "schema_synced": False}
-    # A static overwrite deletes the table before writing, so the full rewrite
-    # goes through a staged copy on shared storage first.
-    stage = scratch_path(spark, "upsert-stage")
-    writer(merged).parquet(stage)
-    staged = spark.read.schema(merged.schema).parquet(stage)
-    # the staged copy is already clustered by partition: no second shuffle
-    swap = staged.write.partitionBy(*partition_cols) if partition_cols else staged.write
-    swap.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return {"mode": "rewrite" if partition_cols else "merge",
-            "partitions": None, "schema_synced": not same_columns}
+    staged = scratch_path(spark, "upsert-source")
+    source.write.parquet(staged)
+    try:
+        return _merge_into(spark.read.schema(source.schema).parquet(staged), path, list(keys),
+                           partition_cols, order_col, writer)
+    finally:
+        remove_path(spark, staged)
+
+
+def _merge_into(src: DataFrame, path: str, keys: list[str], partition_cols: list[str],
+                order_col: str, writer) -> dict:
+    spark = src.sparkSession
+    target = read_table(spark, path)
+    synced = set(target.columns) != set(src.columns)
+    retyped = bool(changed_types(target, src))
+    if lost := lost_in_cast(target, src):
+        raise SchemaChangeError(f"values that the new type can't hold: {lost}")
+    rows = [tuple(r) for r in src.select(*partition_cols).distinct().collect()] if partition_cols \
+        else [()] * (not src.isEmpty())
+    if not rows and not retyped:
+        if synced:
+            _declare(spark, path, src.schema)
+        return {"mode": "noop", "partitions": [], "schema_synced": synced}
+    if not partition_cols:
+        # A static overwrite deletes the table before writing: write beside it, then swap the folders
+        fresh = f"{path.rstrip('/')}__next"
+        writer(merge_frames(target, src, keys, order_col)).mode("overwrite").parquet(fresh)
+        _declare(spark, fresh, src.schema)
+        _swap(spark, fresh, path)
+        return {"mode": "rewrite", "partitions": None, "schema_synced": synced or retyped}
+    touched = sorted(set(rows) | set(_key_partitions(target, src, keys, partition_cols)), key=repr)
+    part = target if retyped else target.where(_partition_filter(partition_cols, touched))
+    before = _partition_folders(part, partition_cols)
+    merged = merge_frames(part, src, keys, order_col)
+    # The overwrite writes into a job staging folder and replaces the written partitions only
+    # at job commit, after every task has finished reading them: the merge can target the
+    # table directly.  A failed job leaves the table as it was.
+    writer(merged).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    _declare(spark, path, src.schema)
+    # a partition whose every row has moved away got no new rows, so it was not overwritten
+    left = set(before) - set(rows)
+    if left:
+        kept = (read_table(spark, path).where(_partition_filter(partition_cols, sorted(left, key=repr)))
+                .join(src.select(*keys).distinct(), keys, "left_anti"))
+        still = {tuple(r) for r in kept.select(*partition_cols).distinct().collect()}
+        for values in left - still:
+            remove_path(spark, before[values])
+    return {"mode": "rewrite" if retyped else "merge", "partitions": None if retyped else touched,
+            "schema_synced": synced or retyped}
+
+
+def _finish_swap(spark: SparkSession, path: str) -> None:
+    """After a run that ended inside :func:`_swap`: the table as it was before it."""
+    aside = f"{path.rstrip('/')}__last"
+    if not table_exists(spark, path) and table_exists(spark, aside):
+        jvm = spark.sparkContext._jvm
+        old = jvm.org.apache.hadoop.fs.Path(aside)
+        fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.rename(old, jvm.org.apache.hadoop.fs.Path(path))
+
+
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``; both stay readable until the last step."""
+    jvm = spark.sparkContext._jvm
+    old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__last")
+    fs.delete(aside, True)
+    fs.rename(old, aside)
+    fs.rename(new, old)
+    fs.delete(aside, True)
