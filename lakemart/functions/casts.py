@@ -24,10 +24,20 @@ def try_number(c: Column | str) -> Column:
     return try_decimal(c, 38, 0)
 
 
+#: What counts as a number: no type suffix, no spelled-out infinity.
+_NUMBER = r"^\s*[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+
+
 def try_double(c: Column | str) -> Column:
-    return _col(c).try_cast("double")
+    """Text -> DOUBLE; ``1.5d`` and ``1f``, which Spark would cast, are garbage here."""
+    c = _col(c)
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
 def try_timestamp(c: Column | str) -> Column:
-    """Text -> zone-less timestamp; date-only text becomes midnight."""
-    return _col(c).try_cast("timestamp_ntz")
+    """Text -> zone-less timestamp; date-only text becomes midnight.
+
+    A year or month alone is garbage: the text must begin with a whole date.
+    """
+    c = _col(c)
+    return F.when(c.rlike(r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"), c.try_cast("timestamp_ntz"))

@@ -8,25 +8,24 @@ such a key:
 * mode: count (key, value) pairs (map-side combined), then top-1 per key,
   which is itself partially limited before its shuffle.
 * median: count (key, value) pairs, range-partition them on (key, value) so a
-  hot key spreads over many partitions in value order, pin that layout with a
-  checkpoint, turn per-partition counts into rank offsets, and pick the one
+  hot key spreads over many partitions in value order, pin that layout in a
+  written table, turn per-partition counts into rank offsets, and pick the one
   or two values at the middle rank.  No task ever holds more than one range
   partition of one key.
 
 Several columns are handled in one pipeline by stacking them as
-(key, column, value) -- one shuffle (and one checkpoint) serves them all.
+(key, column, value) -- one shuffle (and one written table) serves them all.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.operators.dedupe import top1_per_key
-from lakemart.session import checkpoint_dir, plan_size_bytes
+from lakemart.session import remove_path, scratch_path
 
 
 def _stack(df: DataFrame, key: str, columns: Mapping[str, str], cast: str | None) -> DataFrame:
@@ -53,44 +52,27 @@ def mode_per_key(df: DataFrame, key: str, value: str, out: str | None = None) ->
     return modes_per_key(df, key, {out or value: value})
 
 
-_SIZE = re.compile(r"^\s*(\d+)\s*([kmgt]?)b?\s*$", re.IGNORECASE)
-MAX_RANGE_PARTITIONS = 100_000
-
-
-def _bytes(text: str) -> int:
-    m = _SIZE.match(text)
-    if not m:
-        return 64 << 20
-    return int(m.group(1)) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[m.group(2).lower()]
-
-
-def range_partitions(df: DataFrame) -> int:
-    """Partitions for a range shuffle of ``df``: at least the shuffle-partition
-    setting, and enough that each stays near the advisory partition size (from
-    the plan's size estimate, an upper bound without column statistics)."""
-    spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
-    try:
-        est = plan_size_bytes(df)
-    except Exception:  # noqa: BLE001 - no JVM plan access (Spark Connect)
-        return base
-    return max(base, min(est // target + 1, MAX_RANGE_PARTITIONS))
+#: Counted (key, value) pairs in a range partition, about.
+PAIRS_PER_PARTITION = 1_000_000
 
 
 def medians_per_key(df: DataFrame, key: str, columns: Mapping[str, str],
                     partitions: int | None = None) -> DataFrame:
     """``{out: col}`` -> exact interpolated median (DOUBLE) of each col per key, NULLs ignored."""
     spark = df.sparkSession
-    checkpoint_dir(spark)
-    pairs = _stack(df, key, columns, "double").groupBy("_k", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    # sized from the input, so no range partition grows with the data
-    n_parts = partitions or range_partitions(pairs)
+    counted = scratch_path(spark, "median-pairs")
+    (_stack(df, key, columns, "double").groupBy("_k", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+     .write.parquet(counted))
+    pairs = spark.read.parquet(counted)
+    # sized from the measured number of pairs, so no range partition grows with the data
+    n_parts = partitions or pairs.count() // PAIRS_PER_PARTITION + 1
     # value order inside each (key, column), split across partitions where a key
-    # is hot; the checkpoint freezes which partition every pair landed in
-    ranged = (pairs.repartitionByRange(n_parts, "_k", "_i", "_v")
-                   .withColumn("_pid", F.spark_partition_id())
-                   .checkpoint(eager=True))
+    # is hot; the written table freezes which partition every pair landed in
+    ranged_path = scratch_path(spark, "median-ranged")
+    (pairs.repartitionByRange(n_parts, "_k", "_i", "_v").withColumn("_pid", F.spark_partition_id())
+     .write.parquet(ranged_path))
+    remove_path(spark, counted)
+    ranged = spark.read.parquet(ranged_path)
     g = ["_k", "_i"]
     # one row per (partition, key, column) touched: at most partitions + groups
     per_part = ranged.groupBy("_pid", *g).agg(F.sum("_c").alias("_pc"))

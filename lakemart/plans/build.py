@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.operators.merge import incremental_filter
 from lakemart.plans import intermediate, marts, staging
 
 
@@ -82,6 +83,11 @@ class Dimensions(Mapping):
             self._built[name] = self._factories[name]()
         return self._built[name]
 
+    def settle(self, name: str, written: DataFrame) -> DataFrame:
+        """From now on ``name`` is the written table, also for dimensions that build on it."""
+        self._built[name] = written
+        return written
+
     def __iter__(self):
         return iter(self._factories)
 
@@ -105,11 +111,26 @@ def dimensions(spark: SparkSession, s: Silver, calendar: tuple | None = None,
     return d
 
 
-def fact_sales(s: Silver, dims: dict[str, DataFrame], loaded_after=None) -> DataFrame:
+def fact_sales(s: Silver, dims: Mapping[str, DataFrame], loaded_after=None,
+               existing_fact: DataFrame | None = None) -> DataFrame:
+    """The sales fact, or with ``loaded_after`` its increment.
+
+    ``loaded_after`` is the high watermark of the existing fact (a literal, so the filter
+    is pushed into the item scan); with ``existing_fact`` as well, older items that
+    never made it into the fact come too (see :func:`marts.pending_items`).  An increment
+    reduces orders and payments to its own order ids before payments are rolled up.
+    """
     customers = dims["customer_keys"] if "customer_keys" in dims else dims["dim_customer"]
     sellers = dims["seller_keys"] if "seller_keys" in dims else dims["dim_seller"]
-    return marts.fact_sales(s.order_items, s.orders, s.payments_aggregated, customers, sellers,
-                            dims["dim_product"], dims["dim_date"], loaded_after)
+    items, orders, payments = s.order_items, s.orders, s.payments_aggregated
+    if loaded_after is not None:
+        items = (incremental_filter(items, loaded_after) if existing_fact is None
+                 else marts.pending_items(items, orders, existing_fact, loaded_after))
+        ids = items.select("order_id").distinct()
+        orders = orders.join(ids, "order_id", "left_semi")
+        payments = intermediate.payments_aggregated(s.payments.join(ids, "order_id", "left_semi"))
+    return marts.fact_sales(items, orders, payments, customers, sellers, dims["dim_product"],
+                            dims["dim_date"])
 
 
 def register_views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> None:

@@ -12,10 +12,6 @@ from lakemart.functions import (date_key, day_abbr, day_of_week0, month_abbr, su
 from lakemart.operators.merge import incremental_filter, ntz_literal
 from lakemart.operators.stats import medians_per_key, modes_per_key
 
-# A calendar is bounded by its date range; beyond this it is not a dimension
-# we are willing to broadcast into the fact join.
-MAX_CALENDAR_DAYS = 200_000
-
 
 def _as_date(d: str | dt.date) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(d)
@@ -24,10 +20,9 @@ def _as_date(d: str | dt.date) -> dt.date:
 def date_spine(spark: SparkSession, start: str | dt.date, end: str | dt.date) -> DataFrame:
     """One row per day, ``start`` inclusive, ``end`` exclusive, generated in parallel."""
     s, e = _as_date(start), _as_date(end)
-    n = (e - s).days
-    if not 0 <= n <= MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar of {n} days is out of range")
-    return spark.range(n).select(F.date_add(F.lit(s), F.col("id").cast("int")).alias("date_day"))
+    if e < s:
+        raise ValueError(f"the calendar ends ({e}) before it begins ({s})")
+    return spark.range((e - s).days).select(F.date_add(F.lit(s), F.col("id").cast("int")).alias("date_day"))
 
 
 def dim_date(spark: SparkSession, start: str | dt.date = "2016-01-01",
@@ -115,16 +110,19 @@ def dim_product(stg_products: DataFrame, stg_category_translation: DataFrame) ->
 SHIPPED_STATUSES = ("delivered", "shipped")
 
 
-def pending_items(order_items: DataFrame, existing_fact: DataFrame, loaded_after) -> DataFrame:
+def pending_items(order_items: DataFrame, orders: DataFrame, existing_fact: DataFrame,
+                  loaded_after) -> DataFrame:
     """Items past the watermark plus older items that never reached the fact.
 
     The plain watermark loses an item whose order was not shipped yet when it
     arrived: later runs only look past the watermark.  This adds those items
-    back (an anti-join on the fact's key), at the price of reading the item
-    keys and the fact keys once per run.
+    back.  Only orders that landed past the watermark can have changed, so the older items
+    are those of such orders, less those whose key the fact has.
     """
     new = incremental_filter(order_items, loaded_after)
+    changed = incremental_filter(orders, loaded_after).select("order_id").distinct()
     old = (order_items.where(F.col("_loaded_at") <= ntz_literal(loaded_after))
+                      .join(changed, "order_id", "left_semi")
                       .withColumn("_sk", surrogate_key("order_id", "order_item_id"))
                       .join(existing_fact.select(F.col("sales_key").alias("_sk")), "_sk", "left_anti")
                       .drop("_sk"))
@@ -133,14 +131,8 @@ def pending_items(order_items: DataFrame, existing_fact: DataFrame, loaded_after
 
 def fact_sales(order_items: DataFrame, orders: DataFrame, payments: DataFrame,
                dim_customer: DataFrame, dim_seller: DataFrame, dim_product: DataFrame,
-               dim_date: DataFrame, loaded_after=None,
-               existing_fact: DataFrame | None = None) -> DataFrame:
-    """Order-line fact of delivered/shipped orders.
-
-    ``loaded_after`` is the high watermark of the existing fact (a literal, so
-    the filter is pushed into the item scan); ``None`` means a full build.
-    Passing ``existing_fact`` as well also reprocesses older items that never
-    made it into the fact (see :func:`pending_items`).
+               dim_date: DataFrame) -> DataFrame:
+    """Order-line fact of delivered/shipped orders, over the given items.
 
     Join order: the customer, payment and calendar lookups depend only on the
     order, so they are joined to the (filtered) orders first -- the order-grain
@@ -148,15 +140,11 @@ def fact_sales(order_items: DataFrame, orders: DataFrame, payments: DataFrame,
     are shuffled exactly once, on ``order_id``.  Because the status filter
     rejects NULLs the items-orders LEFT JOIN becomes an inner join, and the
     filter itself reaches the orders scan.  Sellers and products are joined
-    on the item grain; AQE broadcasts them when their measured size is small.
-    Only the calendar carries a broadcast hint: its size is bounded by its
-    date range.  A hot order is split by AQE's skew-join handling.
+    on the item grain.  No lookup carries a broadcast hint: Spark broadcasts
+    those whose known or measured size is small.  A hot order is split by
+    AQE's skew-join handling.
     """
     oi = order_items
-    if loaded_after is not None and existing_fact is not None:
-        oi = pending_items(oi, existing_fact, loaded_after)
-    elif loaded_after is not None:
-        oi = incremental_filter(oi, loaded_after)
     o = (orders.where(F.col("order_status").isin(*SHIPPED_STATUSES))
                .select("order_id", "customer_id", "order_status", "order_purchase_timestamp",
                        "delivered_on_time", "days_to_deliver"))
@@ -164,7 +152,7 @@ def fact_sales(order_items: DataFrame, orders: DataFrame, payments: DataFrame,
     dc = dim_customer.select("customer_id", "customer_key")
     ds = dim_seller.select("seller_id", "seller_key")
     dp = dim_product.select("product_id", "product_key")
-    dd = F.broadcast(dim_date.select("full_date", "date_key"))
+    dd = dim_date.select("full_date", "date_key")
     enriched_orders = (o.join(p, "order_id", "left")
                         .join(dc, "customer_id", "left")
                         .join(dd, F.to_date(F.col("order_purchase_timestamp")) == F.col("full_date"), "left"))

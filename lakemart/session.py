@@ -7,13 +7,12 @@ invent one (under the system temp dir) when running in local mode, as tests do.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
 
 # Settings that shape every job in the library.  AQE re-plans joins from
 # runtime sizes (broadcast only when the measured side is small), coalesces
@@ -66,41 +65,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint directory."""
-    root = checkpoint_dir(spark)
-    # checkpoint dirs reported by Spark carry a per-application subfolder
-    return os.path.join(root.rstrip("/"), "lakemart-scratch", f"{name}-{uuid.uuid4().hex}")
+    """A fresh, unique path under the shared checkpoint directory.
 
+    Tables staged there may still be read by lazy results, so they go when the
+    process ends (see :func:`clear_scratch`), or at once by ``remove_path`` where
+    the caller knows that nothing reads them any more.
+    """
+    root = os.path.join(checkpoint_dir(spark).rstrip("/"), "lakemart-scratch")
+    if not _SCRATCH:
+        atexit.register(clear_scratch)
+    _SCRATCH[root] = spark
+    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
-# below this (on-disk) size one task handles a scan faster than a shuffle would
-SPREAD_MIN_BYTES = 1 << 20
 
+_SCRATCH: dict[str, SparkSession] = {}
 
-def plan_size_bytes(df) -> int:
-    """Catalyst's size estimate of ``df`` (file sizes through the plan; an upper
-    bound without column statistics).  Raises where the JVM plan is not reachable."""
-    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return v if isinstance(v, int) else int(v.toString())
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it (driver-side metadata call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
-def spread(df, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BYTES):
-    """Redistribute a scan that arrives in fewer splits than there are cores.
 
-    A single unsplittable file (one parquet row group) is one task, and all
-    work before the first shuffle would run on one core.  Large inputs arrive
-    in many splits and tiny ones are cheaper in one task; both are left alone.
-    Rows are hashed on all their (hashable) columns: deterministic on retry
-    without the sort a round-robin repartition needs.  Identical rows stay
-    together, which at worst leaves them unspread.  Filters and column pruning
-    still reach the scan below the repartition.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-        size = plan_size_bytes(df)
-    except Exception:  # noqa: BLE001 - sessions without RDD/JVM access (Spark Connect)
-        return df
-    if splits >= target or size < min_bytes:
-        return df
-    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    return df.repartition(target, F.xxhash64(*cols)) if cols else df.repartition(target)
+def clear_scratch() -> None:
+    """Remove the staged tables of this process.  Results that still read them are lost."""
+    for root, spark in _SCRATCH.items():
+        if spark.sparkContext._jsc is not None:  # else the session is over, and its folder is
+            remove_path(spark, root)             # the cluster's to clean
+    _SCRATCH.clear()

@@ -4,7 +4,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from lakemart.functions import (initcap_delim, normalize_null_tokens, surrogate_key, try_decimal,
-                                try_number, try_timestamp, zip_prefix)
+                                try_double, try_number, try_timestamp, zip_prefix)
 
 
 def one(spark, expr, value, schema="s string"):
@@ -34,6 +34,12 @@ def test_try_casts(spark):
     assert one(spark, try_timestamp(F.col("s")), "2018-01-02") == dt.datetime(2018, 1, 2)
     assert one(spark, try_timestamp(F.col("s")), "2018-01-02 10:00:00.123456") == \
         dt.datetime(2018, 1, 2, 10, 0, 0, 123456)
+    for bad in ("2018", "2018-01", "20180102", "10:00"):
+        assert one(spark, try_timestamp(F.col("s")), bad) is None
+    for bad in ("1.5d", "1f", "NaN", "Infinity", "1e", "--1", ".", ""):
+        assert one(spark, try_double(F.col("s")), bad) is None
+    for text, want in (("1.5", 1.5), (" -2 ", -2.0), ("+.5e2", 50.0), ("3.", 3.0)):
+        assert one(spark, try_double(F.col("s")), text) == want
 
 
 def test_zip_prefix(spark):

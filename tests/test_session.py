@@ -1,27 +1,12 @@
-from lakemart.operators.stats import range_partitions
-from lakemart.session import plan_size_bytes, spread
+import os
 
-BIG = "/root/testdata/sf0.1/orders.parquet"   # one row group, 2.7 MB
-NATION = "/root/testdata/sf0.01/nation.parquet"
+from lakemart import session
 
 
-def test_spread_only_small_split_counts_of_real_size(spark):
-    big, tiny = spark.read.parquet(BIG), spark.read.parquet(NATION)
-    assert plan_size_bytes(big) > 1 << 20 > plan_size_bytes(tiny)
-    cores = spark.sparkContext.defaultParallelism
-    assert big.rdd.getNumPartitions() < cores
-    assert spread(big).rdd.getNumPartitions() == cores
-    assert spread(tiny).rdd.getNumPartitions() == tiny.rdd.getNumPartitions()
-    assert spread(big).count() == big.count()
-
-
-def test_range_partitions_grow_with_input(spark):
-    df = spark.read.parquet(BIG)
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    try:
-        assert range_partitions(df) == base
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
-        assert range_partitions(df) > base
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+def test_scratch_goes_when_cleared(spark):
+    path = session.scratch_path(spark, "probe")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    session.remove_path(spark, path)
+    assert not os.path.exists(local)

@@ -70,3 +70,26 @@ def test_as_of_join_hot_key(spark):
     assert sum(v for (k, _), v in got.items() if k == "hot") == facts.where("id = 'hot'").count()
     assert got[("hot", "a")] == first_version_minutes * 9 // 10
     assert got[("cold", "c")] == facts.where("id = 'cold'").count()
+
+
+def test_fact_plan_reads_what_it_needs_at_every_size(spark):
+    """No size switch: the same plan shape at both sizes, and only the needed columns are read."""
+    import re
+
+    from lakemart.plans.catalog import fact_sales
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shapes = []
+        for sf in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+            p = plan(fact_sales(spark, sf))
+            schemas = re.findall(r"ReadSchema: struct<([^>]*)>", p)
+            item = next(s for s in schemas if "l_orderkey" in s)
+            assert not re.search("l_tax|l_discount|l_returnflag|l_linestatus", item)
+            assert "o_orderpriority" not in "".join(schemas)
+            shapes.append(re.findall(r"(\w+Join|Exchange \w+|\w*Aggregate|Window|Scan parquet)", p))
+        assert shapes[0] == shapes[1]
+        assert not re.search("NestedLoop|Cartesian", p)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
