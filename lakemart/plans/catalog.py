@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from lakemart.functions import normalize_null_tokens
 from lakemart.operators import history, merge, quality, sample
 from lakemart.operators.dedupe import latest_per_key
 from lakemart.plans import build, data_tests, intermediate, marts, staging
-from lakemart.session import checkpoint_dir, scratch_path
+from lakemart.session import scratch_path
 from lakemart.sources import benchmark as bm
 from lakemart.sources import landing
 from lakemart.streaming import file_ledger
@@ -42,7 +42,7 @@ def bronze(spark: SparkSession, sf: str) -> build.Bronze:
 
 def order_calendar(spark: SparkSession, sf: str) -> tuple[dt.date, dt.date, dt.date]:
     """Calendar covering every purchase date; 'today' is the last purchase date."""
-    lo, hi = build.calendar_bounds(bm.table(spark, sf, "orders", spread_scan=False), "o_orderdate")
+    lo, hi = build.calendar_bounds(bm.table(spark, sf, "orders"), "o_orderdate")
     return lo, hi, hi - dt.timedelta(days=1)
 
 
@@ -145,7 +145,7 @@ def fact_sales(spark, sf):
 
 def models(spark, sf, materialize: bool = False) -> dict[str, DataFrame]:
     """Every model over the benchmark tables.  With ``materialize`` the gold
-    tables are written (checkpointed to the shared folder) first, as the weekly
+    tables are written (to the shared folder) first, as the weekly
     run writes them before testing, so each test scan reads them back instead of
     recomputing the star join."""
     s, dims = gold(spark, sf)
@@ -156,16 +156,20 @@ def models(spark, sf, materialize: bool = False) -> dict[str, DataFrame]:
         "stg_category_translation": s.category_translation,
         "payments_aggregated": s.payments_aggregated,
     }
-    gold_tables = {k: dims[k] for k in ("dim_date", "dim_geolocation", "dim_customer",
-                                        "dim_seller", "dim_product")}
-    gold_tables["fact_sales"] = build.fact_sales(s, dims)
-    if materialize:
-        checkpoint_dir(spark)
-        gold_tables = {k: v.checkpoint(eager=True) for k, v in gold_tables.items()}
-    out.update(gold_tables)
+    for k in ("dim_date", "dim_geolocation", "dim_customer", "dim_seller", "dim_product"):
+        out[k] = dims.settle(k, written(dims[k], k)) if materialize else dims[k]
+    fact = build.fact_sales(s, dims)
+    out["fact_sales"] = written(fact, "fact_sales") if materialize else fact
     return out
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared scratch folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- data tests (Q1-Q6) -------------------------------------------------------------
 
 @query
@@ -235,13 +239,10 @@ def hash_sample(spark, sf):
 
 @query
 def hash_shuffle(spark, sf):
-    """Every supplier in seeded pseudo-random order (the generator's seller shuffle).
-
-    A global sort on the seeded hash (range-partitioned, no limit); the hash is
-    returned as ``shuffle_key``, which defines each row's position."""
-    key = sample.sample_order(["s_suppkey"], 7)
-    ordered = sample.hash_sample(bm.table(spark, sf, "supplier"), None, ["s_suppkey"], seed=7)
-    return ordered.select("s_suppkey", "s_name", key.alias("shuffle_key"))
+    """Every supplier with its position in a seeded pseudo-random order (the generator's seller
+    shuffle); the seeded hash, ``shuffle_key``, defines it."""
+    out = sample.hash_positions(bm.table(spark, sf, "supplier"), ["s_suppkey"], seed=7)
+    return out.select("s_suppkey", "s_name", "shuffle_key", "position")
 
 
 # --- incremental fact (P7, J7, S14, S15) ------------------------------------------------
@@ -264,7 +265,7 @@ def _with_partition(fact: DataFrame) -> DataFrame:
 def incremental_fact_run(spark, s: build.Silver, dims, path: str, reshape=None) -> dict:
     """One scheduled run of the fact: watermark -> incremental build -> upsert."""
     exists = merge.table_exists(spark, path)
-    wm = merge.high_watermark(spark.read.parquet(path)) if exists else None
+    wm = merge.high_watermark(merge.read_table(spark, path)) if exists else None
     fact = build.fact_sales(s, dims, loaded_after=wm)
     if reshape is not None:
         fact = reshape(fact)
@@ -286,7 +287,23 @@ def incremental_merge(spark, sf):
     path = scratch_path(spark, "fact_sales")
     for cut in (*LOAD_CUTS, None):
         incremental_fact_run(spark, _items_loaded_before(s, cut), dims, path)
-    return spark.read.parquet(path).drop(FACT_PARTITION)
+    return merge.read_table(spark, path).drop(FACT_PARTITION)
+
+
+@query
+def incremental_merge_moved_key(spark, sf):
+    """Orders whose purchase time is corrected after their items were merged: the second run brings
+    every item again, a third of the orders 45 days later, so keys change their partition."""
+    s, dims = gold(spark, sf)
+    path = scratch_path(spark, "fact_sales_moved")
+    first = build.fact_sales(s, dims)
+    merge.upsert_table(_with_partition(first), path, ["sales_key"], [FACT_PARTITION])
+    ts = F.col("order_purchase_timestamp")
+    late = first.where("CAST(order_id AS BIGINT) % 3 = 0").withColumns({
+        "order_purchase_timestamp": ts + F.expr("INTERVAL 45 DAYS"),
+        "_loaded_at": F.col("_loaded_at") + F.expr("INTERVAL 30 YEARS")})
+    merge.upsert_table(_with_partition(late), path, ["sales_key"], [FACT_PARTITION])
+    return merge.read_table(spark, path)
 
 
 LEGACY_COLUMN = "legacy_channel"
@@ -300,7 +317,21 @@ def schema_sync(spark, sf):
     old_layout = lambda f: f.drop("is_mixed_payment").withColumn(LEGACY_COLUMN, F.lit("web"))
     incremental_fact_run(spark, _items_loaded_before(s, LOAD_CUTS[0]), dims, path, old_layout)
     incremental_fact_run(spark, s, dims, path)
-    return spark.read.parquet(path).drop(FACT_PARTITION)
+    return merge.read_table(spark, path).drop(FACT_PARTITION)
+
+
+@query
+def schema_sync_types(spark, sf):
+    """The first run holds days as text and the price with one more digit before the point; the
+    second has the current types."""
+    s, dims = gold(spark, sf)
+    path = scratch_path(spark, "fact_sales_v0")
+    old_types = lambda f: f.withColumns({
+        "days_to_deliver": F.col("days_to_deliver").cast("string"),
+        "price": F.col("price").cast("decimal(11,2)")})
+    incremental_fact_run(spark, _items_loaded_before(s, LOAD_CUTS[0]), dims, path, old_types)
+    incremental_fact_run(spark, s, dims, path)
+    return merge.read_table(spark, path).drop(FACT_PARTITION)
 
 
 # --- history (J8, J10) ---------------------------------------------------------------------
@@ -316,25 +347,12 @@ def user_feed(events: DataFrame, as_of: str) -> DataFrame:
     return latest.where(F.col("event_type") != "error").select("user_id", "event_type", "value", "ts")
 
 
-def materialized(h: DataFrame | None, last: bool) -> DataFrame | None:
-    """Cut lineage between chained snapshot runs, as the weekly job's write does.
-
-    ``scd2_check`` reads the previous history twice (closed versions pass
-    through, open ones are joined); over a written table that is two pruned
-    scans, but over an unwritten chain the plan would double with every run.
-    """
-    if h is None or last:
-        return h
-    checkpoint_dir(h.sparkSession)
-    return h.checkpoint(eager=True)
-
-
 def user_history(spark, sf) -> DataFrame:
+    """The users' history after the scheduled runs, kept as the weekly job keeps its own."""
     ev = bm.table(spark, sf, "events")
-    h = None
-    for i, t in enumerate(SNAPSHOT_RUNS):
-        h = history.scd2_check(h, user_feed(ev, t), "user_id", ["event_type"], t)
-        h = materialized(h, i == len(SNAPSHOT_RUNS) - 1)
+    path = scratch_path(spark, "user-history")
+    for t in SNAPSHOT_RUNS:
+        h = history.update_history(user_feed(ev, t), path, "user_id", ["event_type"], t)
     return h
 
 
@@ -355,50 +373,77 @@ def scd2_as_of(spark, sf):
 
 # --- landing files (S1-S11) -------------------------------------------------------------
 
-# landing tables rendered as CSV drops: one file per year of activity, some
-# rows with a missing or an extra field
-LANDING_SOURCES = {
-    "raw_orders": (bm.raw_orders, "o_orderkey", "year(_loaded_at)"),
-    "raw_order_items": (bm.raw_order_items, "l_orderkey", "year(_loaded_at)"),
+# landing tables rendered as CSV drops, files by year of activity and a bucket of the key; some rows
+# of the first two have a missing or an extra field, the customers' files carry the audit
+# columns, and reviews hold line breaks and quotes
+LANDING_KEYS = {
+    "raw_orders": "CAST(order_id AS BIGINT)",
+    "raw_order_items": "CAST(order_id AS BIGINT)",
+    "raw_customers": "CAST(customer_id AS BIGINT)",
+    "raw_sellers": "CAST(seller_id AS BIGINT)",
+    "raw_geolocations": "CAST(geolocation_zip_code_prefix AS BIGINT)",
+    "raw_order_payments": "CAST(payment_sequence AS BIGINT)",
+    "raw_order_reviews": "CAST(review_id AS BIGINT)",
+    "raw_products": "CAST(product_id AS BIGINT)",
+    "raw_product_category_name_translation": "CAST(length(product_category_name_english) AS BIGINT)",
 }
+DAMAGED_TABLES = ("raw_orders", "raw_order_items")
+ROWS_PER_FILE = 5_000
+
+
+def landing_raw(spark, sf, table: str) -> DataFrame:
+    raw = bm.RAW_BUILDERS[table](spark, sf)
+    if table == "raw_order_reviews":
+        raw = raw.withColumn("review_comment_message",
+                             F.replace("review_comment_message", F.lit(","), F.lit(",\n")))
+    return raw
 
 
 def landing_lines(spark, sf, table: str) -> DataFrame:
-    """CSV text of a landing table: (file_group, line), header line first per file."""
-    build_raw, _, group_sql = LANDING_SOURCES[table]
+    """CSV text of a landing table: (file_group, bucket, line), header line first per file."""
     cols = list(landing.BRONZE_COLUMNS[table])
-    raw = build_raw(spark, sf).withColumn("_grp", F.expr(group_sql).cast("int"))
-    raw = raw.withColumn("_key", F.expr("CAST(order_id AS BIGINT)"))
-    opts = {"quote": '"', "escape": '"'}
-    full = F.to_csv(F.struct(*cols), opts)
-    short = F.to_csv(F.struct(*cols[:-1]), opts)
-    line = (F.when(F.col("_key") % 250 == 7, short)
-             .when(F.col("_key") % 250 == 11, F.concat(full, F.lit(",extra")))
-             .otherwise(full))
-    rows = raw.select(F.col("_grp").alias("file_group"), F.lit(1).alias("_ord"), line.alias("value"))
-    headers = (raw.select(F.col("_grp").alias("file_group")).distinct()
-                  .select("file_group", F.lit(0).alias("_ord"), F.lit(",".join(cols)).alias("value")))
+    if table == "raw_customers":
+        cols += landing.AUDIT_COLUMNS
+    raw = landing_raw(spark, sf, table)
+    buckets = 1 + raw.count() // ROWS_PER_FILE
+    raw = raw.withColumns({"file_group": F.expr("year(_loaded_at)"),
+                           "_key": F.coalesce(F.expr(LANDING_KEYS[table]), F.lit(0))})
+    raw = raw.withColumn("bucket", F.pmod("_key", F.lit(buckets)))
+    opts = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+            "ignoreTrailingWhiteSpace": "false"}
+    line = F.to_csv(F.struct(*cols), opts)
+    if table in DAMAGED_TABLES:
+        line = (F.when(F.col("_key") % 250 == 7, F.to_csv(F.struct(*cols[:-1]), opts))
+                 .when(F.col("_key") % 250 == 11, F.concat(line, F.lit(",extra"))).otherwise(line))
+    rows = raw.select("file_group", "bucket", F.lit(1).alias("_ord"), "_key", line.alias("value"))
+    headers = (raw.select("file_group", "bucket").distinct()
+                  .select("file_group", "bucket", F.lit(0).alias("_ord"),
+                          F.lit(0).cast("long").alias("_key"), F.lit(",".join(cols)).alias("value")))
     return rows.unionByName(headers)
 
 
 def write_landing(lines: DataFrame, path: str) -> None:
-    """One text file per file group, header first (text sink; the CSV is pre-rendered)."""
-    (lines.repartition("file_group").sortWithinPartitions("file_group", "_ord")
-          .select("file_group", "value").write.partitionBy("file_group").text(path))
+    """One text file per file group and bucket, header first (the CSV is pre-rendered)."""
+    (lines.repartition("file_group", "bucket")
+          .sortWithinPartitions("file_group", "bucket", "_ord", "_key", "value")
+          .select("file_group", "bucket", "value").write.mode("append")
+          .partitionBy("file_group", "bucket").text(path))
 
 
-@query
-def load_report(spark, sf):
-    """Batch load of two landing folders: quarantine split and per-table report."""
-    root = scratch_path(spark, "landing")
-    bronze_root = scratch_path(spark, "bronze")
-    loaded = {}
-    for t in LANDING_SOURCES:
-        write_landing(landing_lines(spark, sf, t), f"{root}/{landing.SUBFOLDER[t]}")
-        landing.land(landing.read_landing(spark, f"{root}/{landing.SUBFOLDER[t]}", t, LANDING_STAMP),
-                     f"{bronze_root}/{t}", landing.batch_label(LANDING_STAMP, "f"))
-        loaded[t] = landing.written_as_loaded(spark.read.parquet(f"{bronze_root}/{t}"))
-    return landing.load_report(loaded)
+@dataclass
+class Drop:
+    """Scratch folders of one landing scenario."""
+
+    landing: str
+    bronze: str
+    ledger: str
+
+    def folder(self, table: str) -> str:
+        return f"{self.landing}/{landing.SUBFOLDER[table]}"
+
+
+def new_drop(spark) -> Drop:
+    return Drop(*(scratch_path(spark, n) for n in ("landing", "bronze", "ledger")))
 
 
 LANDING_STAMP = "2024-01-07 06:00:00"
@@ -407,22 +452,109 @@ THIRD_STAMP = "2024-01-21 06:00:00"
 FIRST_WAVE_LAST_YEAR = 1997
 
 
+@query
+def load_report(spark, sf):
+    """Two scheduled loads of all nine landing folders: the report of the second, which finds the
+    first wave of orders and items loaded, and every file of the other tables new."""
+    d = new_drop(spark)
+    waves = DAMAGED_TABLES
+    for t in bm.RAW_BUILDERS:
+        lines = landing_lines(spark, sf, t)
+        write_landing(lines.where(F.col("file_group") <= FIRST_WAVE_LAST_YEAR) if t in waves else lines,
+                      d.folder(t))
+    file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, waves, LANDING_STAMP)
+    for t in waves:
+        write_landing(landing_lines(spark, sf, t).where(F.col("file_group") > FIRST_WAVE_LAST_YEAR),
+                      d.folder(t))
+    return file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, list(bm.RAW_BUILDERS),
+                                        SECOND_STAMP)
+
+
+@query
+def landed_reviews(spark, sf):
+    """Free text with line breaks and quotes, through CSV files and back."""
+    t, d = "raw_order_reviews", new_drop(spark)
+    write_landing(landing_lines(spark, sf, t), d.folder(t))
+    file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], LANDING_STAMP)
+    return landing.bronze_table(spark, f"{d.bronze}/{t}").drop("_file_name")
+
+
+@query
+def landed_audit_files(spark, sf):
+    """Customer files that carry audit columns: read like any other, stamped by the load."""
+    t, d = "raw_customers", new_drop(spark)
+    write_landing(landing_lines(spark, sf, t), d.folder(t))
+    file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], LANDING_STAMP)
+    rows = landing.bronze_table(spark, f"{d.bronze}/{t}")
+    folder = F.regexp_extract("_file_name", "(file_group=[0-9]+)/bucket=", 1)
+    return rows.withColumn("_file_name", folder)
+
+
+@query
+def landed_sink(spark, sf):
+    """Sellers written by the CSV sink, then loaded: blanks, quotes and nulls come back."""
+    t, d = "raw_sellers", new_drop(spark)
+    landing.write_csv(bm.raw_sellers(spark, sf).select(*landing.BRONZE_COLUMNS[t]), d.folder(t))
+    file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], LANDING_STAMP)
+    return landing.bronze_table(spark, f"{d.bronze}/{t}").drop("_file_name")
+
+
 @query
 def incremental_load(spark, sf):
     """Order items land in two waves; three scheduled loads (the last finds nothing new)."""
-    t = "raw_order_items"
+    t, d = "raw_order_items", new_drop(spark)
     lines = landing_lines(spark, sf, t)
-    root, bronze_root = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
-    ckpt = scratch_path(spark, "ledger")
-    folder = f"{root}/{landing.SUBFOLDER[t]}"
-    write_landing(lines.where(F.col("file_group") <= FIRST_WAVE_LAST_YEAR), folder)
-    file_ledger.load_incremental(spark, root, bronze_root, ckpt, [t], LANDING_STAMP)
-    (lines.where(F.col("file_group") > FIRST_WAVE_LAST_YEAR)
-          .repartition("file_group").sortWithinPartitions("file_group", "_ord")
-          .select("file_group", "value").write.mode("append").partitionBy("file_group").text(folder))
-    file_ledger.load_incremental(spark, root, bronze_root, ckpt, [t], SECOND_STAMP)
-    file_ledger.load_incremental(spark, root, bronze_root, ckpt, [t], THIRD_STAMP)
-    return landing.bronze_table(spark, f"{bronze_root}/{t}").drop("_file_name")
+    write_landing(lines.where(F.col("file_group") <= FIRST_WAVE_LAST_YEAR), d.folder(t))
+    file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], LANDING_STAMP)
+    write_landing(lines.where(F.col("file_group") > FIRST_WAVE_LAST_YEAR), d.folder(t))
+    file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], SECOND_STAMP)
+    file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], THIRD_STAMP)
+    return landing.bronze_table(spark, f"{d.bronze}/{t}").drop("_file_name")
+
+
+class _Interrupted(RuntimeError):
+    pass
+
+
+@query
+def load_retry(spark, sf):
+    """A load that fails after its rows are written, tried again a week later: rows land once,
+    under the time of the first attempt."""
+    t, d = "raw_orders", new_drop(spark)
+    write_landing(landing_lines(spark, sf, t), d.folder(t))
+
+    def interrupt(batch: str) -> None:
+        raise _Interrupted(batch)
+
+    try:
+        file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], LANDING_STAMP,
+                                     after_land=interrupt)
+    except file_ledger.LoadFailed:
+        pass
+    file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], SECOND_STAMP)
+    return landing.bronze_table(spark, f"{d.bronze}/{t}").drop("_file_name")
+
+
+@query
+def load_full_then_incremental(spark, sf):
+    """A forced load of orders, then a scheduled one of the same folder and a second wave."""
+    t, d = "raw_orders", new_drop(spark)
+    lines = landing_lines(spark, sf, t)
+    write_landing(lines.where(F.col("file_group") <= FIRST_WAVE_LAST_YEAR), d.folder(t))
+    file_ledger.full_reload(spark, d.landing, d.bronze, d.ledger, [t], LANDING_STAMP)
+    write_landing(lines.where(F.col("file_group") > FIRST_WAVE_LAST_YEAR), d.folder(t))
+    file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], SECOND_STAMP)
+    return landing.bronze_table(spark, f"{d.bronze}/{t}").drop("_file_name")
+
+
+@query
+def full_reload(spark, sf):
+    """Two forced loads of the same order drop: every row lands twice."""
+    t, d = "raw_orders", new_drop(spark)
+    write_landing(landing_lines(spark, sf, t), d.folder(t))
+    file_ledger.full_reload(spark, d.landing, d.bronze, d.ledger, [t], LANDING_STAMP)
+    file_ledger.full_reload(spark, d.landing, d.bronze, d.ledger, [t], SECOND_STAMP)
+    return landing.verify_counts({t: landing.bronze_table(spark, f"{d.bronze}/{t}")})
 
 
 @query
@@ -438,19 +570,37 @@ def snap_customer(spark, sf):
     """The customer address snapshot, run after each of the two weekly customer loads."""
     from lakemart.plans import weekly
     raw = bm.raw_customers(spark, sf)
-    h = None
-    for i, t in enumerate(CUSTOMER_SNAPSHOT_RUNS):
-        h = weekly.customer_snapshot(h, raw.where(F.col("_loaded_at") < merge.ntz_literal(t)), t)
-        h = materialized(h, i == len(CUSTOMER_SNAPSHOT_RUNS) - 1)
+    path = scratch_path(spark, "snap-customer")
+    for t in CUSTOMER_SNAPSHOT_RUNS:
+        h = weekly.customer_snapshot(raw.where(F.col("_loaded_at") < merge.ntz_literal(t)), path, t)
     return h
 
 
+# --- the weekly run (M18) ------------------------------------------------------------------
+
+WEEK_CUT = "1998-01-01 00:00:00"
+WEEK_RUNS = (dt.datetime(2024, 1, 7, 6), dt.datetime(2024, 1, 14, 6))
+
+
 @query
-def full_reload(spark, sf):
-    """Two forced loads of the same order drop: every row lands twice."""
-    t = "raw_orders"
-    root, bronze_root = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
-    write_landing(landing_lines(spark, sf, t), f"{root}/{landing.SUBFOLDER[t]}")
-    landing.full_reload(spark, root, bronze_root, [t], LANDING_STAMP)
-    landing.full_reload(spark, root, bronze_root, [t], SECOND_STAMP)
-    return landing.verify_counts({t: landing.bronze_table(spark, f"{bronze_root}/{t}")})
+def weekly_run(spark, sf):
+    """Two weekly runs over landing files, the second with a second drop of orders and items and with
+    items of orders that were not there yet: rows of each gold table and failing tests by model."""
+    from lakemart.plans import weekly
+    layout = weekly.Layout.under(scratch_path(spark, "weekly"))
+    lo, hi, today = order_calendar(spark, sf)
+    for week, run_at in enumerate(WEEK_RUNS):
+        for t, make in bm.RAW_BUILDERS.items():
+            early = F.col("_loaded_at") < merge.ntz_literal(WEEK_CUT)
+            waves = t in DAMAGED_TABLES
+            if waves or week == 0:
+                drop = make(spark, sf).where(early if week == 0 else ~early) if waves else make(spark, sf)
+                landing.write_csv(drop.select(*landing.BRONZE_COLUMNS[t]),
+                                  f"{layout.landing}/{landing.SUBFOLDER[t]}/week{week}")
+        summary = weekly.run_weekly(spark, layout, run_at, (lo, hi), today, run_tests=week == 1,
+                                    reprocess_open_orders=True, fail_on_test_errors=False)
+    failing = {}
+    for (model, _, _), n in summary["tests"].items():
+        failing[model] = failing.get(model, 0) + (n > 0)
+    rows = [(m, n, failing.get(m, 0)) for m, n in summary["rows"].items()]
+    return spark.createDataFrame(rows, "model string, row_count long, failing_tests long")

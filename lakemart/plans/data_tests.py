@@ -1,4 +1,4 @@
-"""The declared test suite of the order-analytics models (93 tests)."""
+"""The declared test suite of the order-analytics models (94 tests)."""
 
 from __future__ import annotations
 
@@ -37,6 +37,7 @@ SUITE: list[Check] = [
     *_nn("stg_geolocation", "zip_code_prefix", "geolocation_lat", "geolocation_lng"),
     *_nn("stg_order_reviews", "review_id", "order_id"),
     _rng("stg_order_reviews", "review_score", 1, 5),
+    Check("stg_order_reviews", "unique_combination", "", columns=("review_id", "order_id")),
     *_un("stg_category_translation", "product_category_name"),
     *_nn("stg_category_translation", "product_category_name"),
     # intermediate
@@ -76,4 +77,4 @@ SUITE: list[Check] = [
 ]
 # --------------------------------------------------------------------------------
 
-assert len(SUITE) == 93, len(SUITE)
+assert len(SUITE) == 94, len(SUITE)

@@ -12,15 +12,14 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators import history, merge, quality
 from lakemart.operators.dedupe import latest_per_key
-from lakemart.plans import build, data_tests, marts
-from lakemart.session import scratch_path
+from lakemart.plans import build, data_tests
 from lakemart.sources import landing
 from lakemart.streaming import file_ledger
 
@@ -57,62 +56,41 @@ def bronze_frames(spark: SparkSession, layout: Layout, items_loaded_after=None)
         category_translation=t("raw_product_category_name_translation"))
 
 
-def _replace_table(df: DataFrame, path: str, partition_by=()) -> None:
-    """Write ``df`` (which may read ``path``) to a staging copy, then swap it in."""
-    spark = df.sparkSession
-    stage = scratch_path(spark, "replace")
-    w = df.write.partitionBy(*partition_by) if partition_by else df.write
-    w.parquet(stage)
-    staged = spark.read.parquet(stage)
-    w2 = staged.write.partitionBy(*partition_by) if partition_by else staged.write
-    w2.mode("overwrite").parquet(path)
-
-
-def customer_snapshot(previous: DataFrame | None, raw_customers: DataFrame, run_at) -> DataFrame:
-    """One snapshot run: raw (uncleaned) latest landed row per customer vs the history."""
+def customer_snapshot(raw_customers: DataFrame, path: str, run_at) -> DataFrame:
+    """One snapshot run: raw (uncleaned) latest landed row per customer vs the history at ``path``."""
     current = latest_per_key(raw_customers, ["customer_id"], "_loaded_at").select(*SNAPSHOT_COLS)
-    return history.scd2_check(previous, current, "customer_id", SNAPSHOT_CHECK_COLS, run_at)
-
-
-def snapshot_customers(spark: SparkSession, b: build.Bronze, path: str, run_at) -> DataFrame:
-    """SCD2 history of raw customer addresses, written to ``path``."""
-    prev = spark.read.parquet(path) if merge.table_exists(spark, path) else None
-    new = customer_snapshot(prev, b.customers, run_at)
-    if prev is None:
-        new.write.parquet(path)
-    else:
-        _replace_table(new, path)
-    return spark.read.parquet(path)
+    return history.update_history(current, path, "customer_id", SNAPSHOT_CHECK_COLS, run_at)
 
 
 def run_weekly(spark: SparkSession, layout: Layout, run_at: dt.datetime,
                calendar: tuple = ("2016-01-01", "2027-12-31"), as_of=None,
                tables=tuple(landing.BRONZE_COLUMNS), run_tests: bool = True,
                full_load: bool = False, reprocess_open_orders: bool = False,
-               fail_on_test_errors: bool = False) -> dict:
+               fail_on_test_errors: bool = True) -> dict:
     """``full_load`` re-appends every landing file (forced load) instead of only
     new ones; ``reprocess_open_orders`` lets items whose order was not shipped
     on arrival enter the fact later (the default, like the source models, skips
-    them once the watermark has passed); ``fail_on_test_errors`` raises
-    :class:`DataTestFailure` (with the summary attached) when any test finds
-    violations, as a failing test step fails a scheduled run."""
+    them once the watermark has passed).  When any test finds violations the run fails with
+    :class:`DataTestFailure` (the summary attached), as a failing test step fails a
+    scheduled run; without ``fail_on_test_errors`` they are only reported."""
     summary: dict = {"run_at": run_at}
     # 1. load: every new landing file of every table (the streaming ledger skips old ones)
     if full_load:
-        report = landing.full_reload(spark, layout.landing, layout.bronze, tables, run_at)
+        report = file_ledger.full_reload(spark, layout.landing, layout.bronze, layout.ledger,
+                                         tables, run_at)
     else:
         report = file_ledger.load_incremental(spark, layout.landing, layout.bronze, layout.ledger,
                                               tables, run_at)
     summary["load"] = {r["table"]: r.asDict() for r in report.collect()}
     b = bronze_frames(spark, layout)
     # 2. snapshot
-    snap = snapshot_customers(spark, b, os.path.join(layout.snapshots, "snap_customer"), run_at)
+    snap = customer_snapshot(b.customers, os.path.join(layout.snapshots, "snap_customer"), run_at)
     summary["snapshot_open_versions"] = snap.where(F.col(history.VALID_TO).isNull()).count()
     # 3-4. staging and intermediate: lazy frames over bronze
     s = build.silver(b)
     fact_path = os.path.join(layout.gold, "fact_sales")
     exists = merge.table_exists(spark, fact_path)
-    existing = spark.read.parquet(fact_path) if exists else None
+    existing = merge.read_table(spark, fact_path) if exists else None
     wm = merge.high_watermark(existing) if exists else None
     if wm is not None and not reprocess_open_orders:
         # the increment only needs items landed after the watermark
@@ -125,13 +103,12 @@ def run_weekly(spark: SparkSession, layout: Layout, run_at: dt.datetime,
     for name in DIMENSIONS:
         path = os.path.join(layout.gold, name)
         dims[name].write.mode("overwrite").parquet(path)
-        gold[name] = spark.read.parquet(path)
-    fact = marts.fact_sales(s_items, s.orders, s.payments_aggregated, gold["dim_customer"],
-                            gold["dim_seller"], gold["dim_product"], gold["dim_date"], wm,
+        gold[name] = dims.settle(name, spark.read.parquet(path))
+    fact = build.fact_sales(replace(s, order_items=s_items), gold, wm,
                             existing if reprocess_open_orders else None)
     fact = fact.withColumn(FACT_PARTITION, F.date_format("order_purchase_timestamp", "yyyy-MM"))
     summary["fact_merge"] = merge.upsert_table(fact, fact_path, ["sales_key"], [FACT_PARTITION])
-    gold["fact_sales"] = spark.read.parquet(fact_path).drop(FACT_PARTITION)
+    gold["fact_sales"] = merge.read_table(spark, fact_path).drop(FACT_PARTITION)
     summary["rows"] = {k: v.count() for k, v in gold.items()}
     # 6. tests on the written tables (staging models are tested as frames)
     if run_tests:
@@ -167,12 +144,13 @@ def main(argv=None) -> int:
     ap.add_argument("--calendar", nargs=2, default=("2016-01-01", "2027-12-31"))
     ap.add_argument("--full-load", action="store_true")
     ap.add_argument("--reprocess-open-orders", action="store_true")
-    ap.add_argument("--fail-on-test-errors", action="store_true")
+    ap.add_argument("--report-test-errors", action="store_true",
+                    help="report failing data tests without failing the run")
     a = ap.parse_args(argv)
-    run_at = dt.datetime.fromisoformat(a.run_at) if a.run_at else dt.datetime.now().replace(microsecond=0)
+    run_at = dt.datetime.fromisoformat(a.run_at) if a.run_at else landing.utc_now().replace(microsecond=0)
     summary = run_weekly(get_spark("lakemart-weekly"), Layout.under(a.root), run_at, tuple(a.calendar),
                          full_load=a.full_load, reprocess_open_orders=a.reprocess_open_orders,
-                         fail_on_test_errors=a.fail_on_test_errors)
+                         fail_on_test_errors=not a.report_test_errors)
     summary["tests"] = {"/".join(k): v for k, v in summary.get("tests", {}).items()}
     print(json.dumps(summary, default=str))
     return 0

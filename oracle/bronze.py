@@ -19,7 +19,8 @@ RAW_ORDERS = dict(B.RAW_ORDERS, **{
         "CASE WHEN o_orderkey % 211 = 5 THEN 'garbage' "
         "WHEN o_orderkey % 89 = 3 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) "
         f"ELSE CAST({_ts('SECOND', 'o_orderkey % 86400', 'o_orderdate')} AS VARCHAR) END",
-    "order_approved_at": f"CAST({_ts('HOUR', '1 + o_orderkey % 48', 'o_orderdate')} AS VARCHAR)",
+    "order_approved_at": "CASE WHEN o_orderkey % 223 = 9 THEN '2018' "
+                         f"ELSE CAST({_ts('HOUR', '1 + o_orderkey % 48', 'o_orderdate')} AS VARCHAR) END",
     "order_delivered_carrier_date":
         "CASE WHEN o_orderstatus IN ('F', 'O') "
         f"THEN CAST({_ts('DAY', '1 + o_custkey % 3', 'o_orderdate')} AS VARCHAR) END",

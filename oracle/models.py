@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from lakemart.functions.keys import SURROGATE_NULL_TOKEN
-from lakemart.functions.text import TITLE_DELIMITERS
-
 from oracle.bronze import BRONZE
 
-_D = "([" + TITLE_DELIMITERS + "])"
+# fixed values: what stands for NULL in a surrogate key, and the characters after which a
+# title-cased word starts
+SURROGATE_NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
+TITLE_DELIMITERS = " \t\n\r\v\f!?@\"^#$&~_,.:;+-*%/|\\[](){}<>"
 
 
 def initcap(x: str) -> str:
-    spaced = f"regexp_replace({x}, '{_D}', '\\1 ', 'g')"
-    words = f"list_transform(string_split({spaced}, ' '), lambda w: upper(w[1]) || lower(w[2:]))"
-    return f"regexp_replace(array_to_string({words}, ' '), '{_D} ', '\\1', 'g')"
+    """Title case by a walk over the characters: upper after a delimiter or at the start."""
+    return (f"array_to_string(list_transform(range(1, length({x}) + 1), lambda i: "
+            f"CASE WHEN i = 1 OR contains('{TITLE_DELIMITERS}', ({x})[i - 1]) "
+            f"THEN upper(({x})[i]) ELSE lower(({x})[i]) END), '')")
 
 
 def sk(*cols: str) -> str:

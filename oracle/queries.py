@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from oracle.bronze import BRONZE
 from oracle.models import with_models
 
 SQL: dict[str, str] = {}
@@ -38,39 +39,73 @@ SQL["test_unique_combo"] = with_models(
     "GROUP BY order_id, order_item_id HAVING count(*) > 1", "stg_order_items")
 
 
-def _lit(v):
-    return f"'{v}'" if isinstance(v, str) else str(v)
-
-
-def _check_sql(c) -> str:
-    m, col = c.model, c.column
-    if c.test == "not_null":
-        body = f"SELECT count(*) FROM {m} WHERE {col} IS NULL"
-    elif c.test == "accepted_range":
-        body = f"SELECT count(*) FROM {m} WHERE NOT ({col} >= {c.min_value} AND {col} <= {c.max_value})"
-    elif c.test == "unique":
-        body = (f"SELECT count(*) FROM (SELECT {col} FROM {m} WHERE {col} IS NOT NULL "
-                f"GROUP BY {col} HAVING count(*) > 1)")
-    elif c.test == "accepted_values":
-        vals = ", ".join(_lit(v) for v in c.values)
-        body = (f"SELECT count(*) FROM (SELECT {col} FROM {m} WHERE {col} IS NOT NULL "
-                f"AND {col} NOT IN ({vals}) GROUP BY {col})")
-    elif c.test == "relationships":
-        body = (f"SELECT count(*) FROM {m} ch WHERE ch.{col} IS NOT NULL AND NOT EXISTS "
-                f"(SELECT 1 FROM {c.to} pa WHERE pa.{c.field} = ch.{col})")
-    else:
-        raise ValueError(c.test)
-    return (f"SELECT '{m}' AS model, '{c.test}' AS test, '{c.column_name}' AS column_name, "
-            f"({body}) AS violations")
-
-
-def _summary_sql() -> str:
-    from lakemart.plans.data_tests import SUITE
-    names = sorted({c.model for c in SUITE} | {c.to for c in SUITE if c.to})
-    return with_models("\nUNION ALL\n".join(_check_sql(c) for c in SUITE), *names)
-
-
-SQL["data_tests_summary"] = _summary_sql()
+# fixed values: the declared tests, by model
+_NOT_NULL = {
+    "stg_orders": "order_id customer_id order_status order_purchase_timestamp",
+    "stg_customers": "customer_id customer_unique_id zip_code_prefix",
+    "stg_order_items": "order_id order_item_id product_id seller_id price",
+    "stg_products": "product_id",
+    "stg_sellers": "seller_id",
+    "stg_geolocation": "zip_code_prefix geolocation_lat geolocation_lng",
+    "stg_order_reviews": "review_id order_id",
+    "stg_category_translation": "product_category_name",
+    "payments_aggregated": "order_id total_payment_value primary_payment_type payment_count "
+                           "is_mixed_payment",
+    "fact_sales": "sales_key customer_key seller_key product_key date_key order_id order_item_id "
+                  "price freight_value order_item_total order_status primary_payment_type",
+    "dim_customer": "customer_key customer_id customer_unique_id zip_code_prefix customer_city "
+                    "customer_state",
+    "dim_seller": "seller_key seller_id seller_zip_code_prefix seller_city seller_state",
+    "dim_product": "product_key product_id product_category_name_english",
+    "dim_date": "date_key full_date year month_number quarter_number day_of_week is_weekend",
+    "dim_geolocation": "geo_key zip_code_prefix latitude longitude city state",
+}
+_UNIQUE = {
+    "stg_orders": "order_id", "stg_customers": "customer_id", "stg_products": "product_id",
+    "stg_sellers": "seller_id", "stg_category_translation": "product_category_name",
+    "payments_aggregated": "order_id", "fact_sales": "sales_key",
+    "dim_customer": "customer_key customer_id", "dim_seller": "seller_key seller_id",
+    "dim_product": "product_key product_id", "dim_date": "date_key full_date",
+    "dim_geolocation": "geo_key zip_code_prefix",
+}
+_RANGES = [
+    ("stg_order_reviews", "review_score", 1, 5), ("dim_date", "month_number", 1, 12),
+    ("dim_date", "quarter_number", 1, 4), ("dim_date", "day_of_week", 0, 6),
+    ("dim_geolocation", "latitude", -35, 45), ("dim_geolocation", "longitude", -75, 125),
+]
+_ACCEPTED = [
+    ("fact_sales", "order_status", "'delivered', 'shipped'"),
+    ("fact_sales", "primary_payment_type",
+     "'Credit_Card', 'Boleto', 'Voucher', 'Debit_Card', 'Unknown'"),
+]
+_PARENTS = [("fact_sales", "customer_key", "dim_customer"), ("fact_sales", "seller_key", "dim_seller"),
+            ("fact_sales", "product_key", "dim_product"), ("fact_sales", "date_key", "dim_date")]
+_COMBINED = [("stg_order_reviews", ("review_id", "order_id"))]
+
+
+def _tests() -> list[tuple[str, str, str, str]]:
+    """(model, test, column_name, SQL that counts violations) of every declared test."""
+    out = [(m, "not_null", c, f"SELECT count(*) FROM {m} WHERE {c} IS NULL")
+           for m, cols in _NOT_NULL.items() for c in cols.split()]
+    out += [(m, "unique", c, f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+                             f"GROUP BY {c} HAVING count(*) > 1)")
+            for m, cols in _UNIQUE.items() for c in cols.split()]
+    out += [(m, "accepted_range", c, f"SELECT count(*) FROM {m} WHERE NOT ({c} >= {lo} AND {c} <= {hi})")
+            for m, c, lo, hi in _RANGES]
+    out += [(m, "accepted_values", c, f"SELECT count(DISTINCT {c}) FROM {m} WHERE {c} NOT IN ({v})")
+            for m, c, v in _ACCEPTED]
+    out += [(m, "relationships", c, f"SELECT count(*) FROM {m} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
+                                    f"(SELECT 1 FROM {p} pa WHERE pa.{c} = ch.{c})")
+            for m, c, p in _PARENTS]
+    out += [(m, "unique_combination", ",".join(cs), f"SELECT count(*) FROM (SELECT 1 FROM {m} "
+             f"GROUP BY {', '.join(cs)} HAVING count(*) > 1)") for m, cs in _COMBINED]
+    assert len(out) == 94
+    return out
+
+
+SQL["data_tests_summary"] = with_models("\nUNION ALL\n".join(
+    f"SELECT '{m}' AS model, '{t}' AS test, '{c}' AS column_name, ({body}) AS violations"
+    for m, t, c, body in _tests()), *_NOT_NULL)
 
 # --- generic operators ---------------------------------------------------------------
 _LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -118,6 +153,15 @@ SQL["incremental_merge"] = with_models(_merged_sql(_ALL, _ALL), "fact_sales")
 SQL["schema_sync"] = with_models(
     _merged_sql(_ALL.replace("is_mixed_payment", "CAST(NULL AS BOOLEAN) AS is_mixed_payment"), _ALL),
     "fact_sales")
+SQL["schema_sync_types"] = SQL["incremental_merge"]
+_MOVED = ("CAST(order_id AS BIGINT) % 3 = 0")
+SQL["incremental_merge_moved_key"] = with_models(
+    "SELECT *, strftime(order_purchase_timestamp, '%Y-%m') AS purchase_month FROM ("
+    f"SELECT {_ALL} FROM fact_sales WHERE NOT ({_MOVED}) UNION ALL "
+    "SELECT * REPLACE (order_purchase_timestamp + INTERVAL 45 DAY AS order_purchase_timestamp, "
+    f"_loaded_at + INTERVAL 30 YEAR AS _loaded_at) FROM (SELECT {_ALL} FROM fact_sales WHERE {_MOVED} "
+    "QUALIFY row_number() OVER (PARTITION BY sales_key ORDER BY _loaded_at DESC NULLS FIRST, "
+    + ", ".join(f"{c} ASC NULLS FIRST" for c in _FACT_REST) + ") = 1))", "fact_sales")
 
 # --- history ---------------------------------------------------------------------------
 def scd2_ctes(runs, feed_sql, key, data_cols, check_cols) -> list[str]:
@@ -192,28 +236,75 @@ SQL["snap_customer"] = with_models("SELECT * FROM h2", "raw_customers").replace(
     "\nSELECT * FROM h2", ",\n" + ",\n".join(_SNAP) + "\nSELECT * FROM h2", 1)
 
 # --- landing ------------------------------------------------------------------------------
-def _landing_stats(table: str) -> str:
-    bad = "(CAST(order_id AS BIGINT) % 250 IN (7, 11))"
-    return (f"SELECT '{table}' AS \"table\", "
-            f"CAST(count(DISTINCT year(_loaded_at)) - count(DISTINCT CASE WHEN {bad} THEN year(_loaded_at) END) AS BIGINT) AS files_loaded, "
-            "CAST(0 AS BIGINT) AS files_skipped, "
-            f"CAST(count(DISTINCT CASE WHEN {bad} THEN year(_loaded_at) END) AS BIGINT) AS files_errored, "
-            f"CAST(count(*) FILTER (WHERE NOT {bad}) AS BIGINT) AS rows_loaded, "
-            f"CAST(count(*) FILTER (WHERE {bad}) AS BIGINT) AS rows_rejected FROM {table}")
-
-
-SQL["load_report"] = with_models(
-    _landing_stats("raw_orders") + " UNION ALL " + _landing_stats("raw_order_items"),
-    "raw_orders", "raw_order_items")
-
 _ITEM_COLS = ["order_id", "order_item", "product_id", "seller_id", "shipping_limit_date", "price",
               "freight_value"]
-SQL["incremental_load"] = with_models(
-    "SELECT " + ", ".join(f"CASE WHEN {c} = '' THEN NULL ELSE {c} END AS {c}" for c in _ITEM_COLS)
-    + ", CASE WHEN year(_loaded_at) <= 1997 THEN TIMESTAMP '2024-01-07 06:00:00' "
-      "ELSE TIMESTAMP '2024-01-14 06:00:00' END AS _loaded_at "
-      "FROM raw_order_items WHERE NOT (CAST(order_id AS BIGINT) % 250 IN (7, 11))",
-    "raw_order_items")
+_ORDER_COLS = ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+               "order_delivered_carrier_date", "order_delivered_customer_date",
+               "order_estimated_delivery_date"]
+_REVIEW_COLS = ["review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
+                "review_creation_date", "review_answer_timestamp"]
+_FILE_KEYS = {
+    "raw_orders": "CAST(order_id AS BIGINT)", "raw_order_items": "CAST(order_id AS BIGINT)",
+    "raw_customers": "CAST(customer_id AS BIGINT)", "raw_sellers": "CAST(seller_id AS BIGINT)",
+    "raw_geolocations": "CAST(geolocation_zip_code_prefix AS BIGINT)",
+    "raw_order_payments": "CAST(payment_sequence AS BIGINT)",
+    "raw_order_reviews": "CAST(review_id AS BIGINT)", "raw_products": "CAST(product_id AS BIGINT)",
+    "raw_product_category_name_translation": "length(product_category_name_english)",
+}
+_BAD = "(CAST(order_id AS BIGINT) % 250 IN (7, 11))"
+
+
+def _csv(cols: list[str]) -> str:
+    return " || ',' || ".join(f"coalesce({c}, '')" for c in cols)
+
+
+def _landing_stats(table: str) -> str:
+    """Files are (year, key bucket); the second load is reported: all files but the damaged tables'
+    first wave, which are skipped."""
+    damaged = {"raw_orders": _ORDER_COLS, "raw_order_items": _ITEM_COLS}.get(table)
+    bad = _BAD if damaged else "false"
+    wave = "year(_loaded_at) > 1997" if damaged else "true"
+    line = (f"CASE CAST(order_id AS BIGINT) % 250 WHEN 7 THEN {_csv(damaged[:-1])} "
+            f"ELSE {_csv(damaged)} || ',extra' END" if damaged else "CAST(NULL AS VARCHAR)")
+    key = f"coalesce({_FILE_KEYS[table]}, 0)"
+    files = (f"SELECT y, b, count(*) FILTER (WHERE ok) AS good, count(*) FILTER (WHERE NOT ok) AS bad, "
+             "min_by(line, (k, line)) FILTER (WHERE NOT ok) AS first_error FROM ("
+             f"SELECT year(_loaded_at) AS y, {key} % (1 + (SELECT count(*) FROM {table}) // 5000) AS b, "
+             f"{key} AS k, NOT {bad} AS ok, {line} AS line, {wave} AS now FROM {table}) "
+             "WHERE now = {} GROUP BY y, b")
+    return (f"SELECT '{table}' AS \"table\", count(*) FILTER (WHERE bad = 0) AS files_loaded, "
+            f"(SELECT count(*) FROM ({files.format('false')})) AS files_skipped, "
+            "count(*) FILTER (WHERE bad > 0) AS files_errored, "
+            "CAST(coalesce(sum(good), 0) AS BIGINT) AS rows_loaded, "
+            "CAST(coalesce(sum(bad), 0) AS BIGINT) AS rows_rejected, "
+            "min_by(first_error, (CAST(y AS VARCHAR), CAST(b AS VARCHAR))) FILTER (WHERE bad > 0) "
+            f"AS first_error FROM ({files.format('true')})")
+
+
+SQL["load_report"] = with_models(" UNION ALL ".join(_landing_stats(t) for t in _FILE_KEYS), *_FILE_KEYS)
+
+
+def _landed(table: str, cols: list[str], loaded_at: str, where: str = "true", more: str = "") -> str:
+    """Loaded rows of a table: null tokens are NULL."""
+    return with_models(
+        "SELECT " + ", ".join(f"CASE WHEN {c} IN {_TOK} THEN NULL ELSE {c} END AS {c}" for c in cols)
+        + f", {loaded_at} AS _loaded_at{more} FROM {table} WHERE {where}", table)
+
+
+_FIRST, _SECOND = "TIMESTAMP '2024-01-07 06:00:00'", "TIMESTAMP '2024-01-14 06:00:00'"
+_BY_WAVE = f"CASE WHEN year(_loaded_at) <= 1997 THEN {_FIRST} ELSE {_SECOND} END"
+SQL["incremental_load"] = _landed("raw_order_items", _ITEM_COLS, _BY_WAVE, f"NOT {_BAD}")
+SQL["load_retry"] = _landed("raw_orders", _ORDER_COLS, _FIRST, f"NOT {_BAD}")
+SQL["load_full_then_incremental"] = _landed("raw_orders", _ORDER_COLS, _BY_WAVE, f"NOT {_BAD}")
+SQL["landed_reviews"] = _landed("raw_order_reviews", _REVIEW_COLS, _FIRST).replace(
+    "CASE WHEN review_comment_message IN", "CASE WHEN replace(review_comment_message, ',', E',\\n') IN").replace(
+    "ELSE review_comment_message END", "ELSE replace(review_comment_message, ',', E',\\n') END")
+SQL["landed_sink"] = _landed(
+    "raw_sellers", ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"], _FIRST)
+SQL["landed_audit_files"] = _landed(
+    "raw_customers", ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city",
+                      "customer_state"], _FIRST,
+    more=", 'file_group=' || CAST(year(_loaded_at) AS VARCHAR) AS _file_name")
 
 SQL["verify_counts"] = with_models(" UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", count(*) AS row_count, max(_loaded_at) AS last_loaded_at FROM {t}"
@@ -225,7 +316,41 @@ SQL["verify_counts"] = with_models(" UNION ALL ".join(
 
 SQL["full_reload"] = with_models(
     "SELECT 'raw_orders' AS \"table\", 2 * count(*) AS row_count, "
-    "TIMESTAMP '2024-01-14 06:00:00' AS last_loaded_at FROM raw_orders "
-    "WHERE NOT (CAST(order_id AS BIGINT) % 250 IN (7, 11))", "raw_orders")
-SQL["hash_shuffle"] = ("SELECT s_suppkey, s_name, md5(CAST(s_suppkey AS VARCHAR) || '|' || '7') AS shuffle_key "
-                       "FROM supplier ORDER BY shuffle_key")
+    f"{_SECOND} AS last_loaded_at FROM raw_orders WHERE NOT {_BAD}", "raw_orders")
+SQL["hash_shuffle"] = ("SELECT *, row_number() OVER (ORDER BY shuffle_key) AS position FROM ("
+                       "SELECT s_suppkey, s_name, md5(CAST(s_suppkey AS VARCHAR) || '|' || '7') AS shuffle_key "
+                       "FROM supplier)")
+
+# --- the weekly run -------------------------------------------------------------------------
+# every landed row has the time of its run, and all files of a run one name
+_RUN = {t: f"SELECT * REPLACE ({_FIRST} AS _loaded_at, '' AS _file_name) FROM ({BRONZE[t]})" for t in BRONZE}
+for _t in ("raw_orders", "raw_order_items"):
+    _RUN[_t] = (f"SELECT * REPLACE (CASE WHEN _loaded_at < TIMESTAMP '1998-01-01 00:00:00' THEN {_FIRST} "
+                f"ELSE {_SECOND} END AS _loaded_at, '' AS _file_name) FROM ({BRONZE[_t]})")
+
+
+def _weekly_sql() -> str:
+    """The fact after two runs: the first as built, then every newer item, or item of a newer order
+    that the fact lacks, once per key."""
+    gold = ["dim_date", "dim_geolocation", "dim_customer", "dim_seller", "dim_product", "fact_sales"]
+    plain = with_models("", *_NOT_NULL)
+    for t, sql in _RUN.items():
+        plain = plain.replace(f"{t} AS ({BRONZE[t]})", f"{t} AS ({sql})")
+    plain = plain.replace("fact_sales AS (", "every_sale AS (", 1).rstrip()
+    late = (f"every_sale f JOIN raw_orders o ON f.order_id = o.order_id "
+            f"WHERE f._loaded_at = {_SECOND} OR o._loaded_at = {_SECOND} AND f.sales_key NOT IN "
+            "(SELECT sales_key FROM first_run)")
+    plain += (",\nfirst_run AS (SELECT f.* FROM every_sale f JOIN raw_orders o ON f.order_id = o.order_id "
+              f"WHERE f._loaded_at = {_FIRST} AND o._loaded_at = {_FIRST})"
+              f",\nsecond_run AS (SELECT f.* FROM {late} QUALIFY row_number() OVER (PARTITION BY f.sales_key "
+              "ORDER BY f._loaded_at DESC) = 1)"
+              ",\nfact_sales AS (SELECT * FROM first_run WHERE sales_key NOT IN (SELECT sales_key FROM second_run) "
+              "UNION ALL SELECT * FROM second_run)")
+    fails = {m: " + ".join(f"CAST(({body}) > 0 AS BIGINT)" for mm, _, _, body in _tests() if mm == m)
+             for m in gold}
+    return plain + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{m}' AS model, (SELECT count(*) FROM {m}) AS row_count, {fails[m]} AS failing_tests"
+        for m in gold)
+
+
+SQL["weekly_run"] = _weekly_sql()
