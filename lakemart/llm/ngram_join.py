@@ -9,13 +9,14 @@ of fixed size over all documents.  Only those entries are multiplied.
 * Columns are dealt into blocks; each block multiplies its columns and adds up the
   overlap of each pair.  A column with few documents gives all their pairs.
 * A longer column gives a star (each document with one hub of about its
-  size) and is set aside.  Linked documents are contracted to components, and
-  then the set-aside columns give every pair of documents in *different*
-  components; pairs inside one can no longer change the result.
-* Overlaps of a pair are summed over blocks; a pair whose sum, with all that lies
-  beyond both prefixes, can't reach the size-derived bound is discarded.
-* What is left is verified on the whole texts, and links are contracted to
-  components again.
+  size) and is set aside.  Linked documents get a common label, and then the
+  set-aside columns give the pairs of documents with *different* labels; pairs
+  with one label can no longer change the result.
+* Sizes of two documents give the least overlap of a link.  The first column that they
+  share must leave enough of both sets for it, and so must the sum of overlaps over
+  all blocks with what lies beyond the last shared column.  Other pairs are discarded.
+* What is left is verified on the whole texts, and all links are contracted to
+  components.
 
 So no link between different components is lost, and copies are never expanded
 into all their pairs.  Documents with the same shingle set are joined by a digest
@@ -48,8 +49,8 @@ SHORT_COLUMN = 8
 LONG_COLUMN = 50_000
 #: Entries of the matrix in a block, about.
 BLOCK_ENTRIES = 500_000
-#: Rounds of stars on set-aside columns before their remaining pairs are listed.
-STAR_ROUNDS = 2
+#: Bits of the map that keeps most texts out of a verification's shuffle (1 MB at any input size).
+MAP_BITS = 23
 _U64 = np.uint64
 _I64 = pa.int64()
 
@@ -131,10 +132,11 @@ def _weights(facts: DataFrame) -> np.ndarray:
 # --- the blocked product ----------------------------------------------------
 
 def _entries(docs: DataFrame, weights: np.ndarray, blocks: int, percent: int) -> DataFrame:
-    """Entries of the matrix within the prefixes, as arrays: (block, columns, rows, sizes, split).
+    """Entries of the matrix within the prefixes, as arrays: (block, columns, rows, sizes, places,
+    split).
 
     A column's number leads with its weight, so the order of numbers is the common
-    order.  Columns that may be very long are split over blocks by row.
+    order; an entry's place is its number in its row.  Columns that may be very long are split over blocks by row.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
@@ -149,19 +151,20 @@ def _entries(docs: DataFrame, weights: np.ndarray, blocks: int, percent: int) ->
             reps = [c.size for c, _, _ in held]
             row = np.repeat(np.array([r for _, r, _ in held], np.int64), reps)
             size = np.repeat(np.array([s for _, _, s in held], np.int32), reps)
+            place = np.concatenate([np.arange(n, dtype=np.int32) for n in reps])
             parts = parts_of[(col >> _U64(56)).astype(np.int64)]
             part = (mix(row.astype(_U64)) % parts.astype(_U64)).astype(_U64)
             block = (mix(col + part * _U64(0x9E3779B97F4A7C15)) % _U64(blocks)).astype(np.int64)
             order = np.lexsort((row, block))
-            block, col, row, size = block[order], col[order], row[order], size[order]
+            block, col, row, size, place = (x[order] for x in (block, col, row, size, place))
             split = (parts[order] > 1).astype(np.uint8)
             at = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1], [True])))
             cut = [(int(block[i]), col[i:j].tobytes(), row[i:j].tobytes(), size[i:j].tobytes(),
-                    split[i:j].tobytes()) for i, j in zip(at[:-1], at[1:], strict=True)]
+                    place[i:j].tobytes(), split[i:j].tobytes()) for i, j in zip(at[:-1], at[1:], strict=True)]
             cols = list(zip(*cut, strict=True))
             return pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], _I64), *(pa.array(c, pa.binary()) for c in cols[1:])],
-                ["block", "cols", "rows", "sizes", "split"])
+                ["block", "cols", "rows", "sizes", "places", "split"])
 
         for b in batches:
             for row, text in zip(b.column("id").to_pylist(), b.column("text"), strict=True):
@@ -174,7 +177,7 @@ def _entries(docs: DataFrame, weights: np.ndarray, blocks: int, percent: int) ->
                 seen.add(key)
                 cols = (weight[s >> _U64(64 - SKETCH_BITS)].astype(_U64) << _U64(56)) | (s >> _U64(8))
                 n = s.size - -(-percent * s.size // 100) + 1
-                held.append((np.partition(cols, n - 1)[:n], row, s.size))
+                held.append((np.sort(np.partition(cols, n - 1)[:n]), row, s.size))
                 n_held += n
                 if n_held > 500_000:
                     yield deal()
@@ -183,35 +186,49 @@ def _entries(docs: DataFrame, weights: np.ndarray, blocks: int, percent: int) ->
             yield deal()
 
     return map_arrow(docs, run,
-                     "block long, cols binary, rows binary, sizes binary, split binary")
+                     "block long, cols binary, rows binary, sizes binary, places binary, "
+                     "split binary")
 
 
-#: kind 0: a pair and its overlap in the block; 1: a star's pair; 2: an entry of a set-aside column.
-_PRODUCT = "kind int, a long, b long, n long, size_a long, size_b long, col long"
-_PRODUCT_COLS = ["kind", "a", "b", "n", "size_a", "size_b", "col"]
+#: kind 0: a pair, its overlap in the block, and the last column there with what lies beyond it;
+#: 1: a star's pair; 2: an entry of a set-aside column.
+_PRODUCT = ("kind int, a long, b long, n long, size_a long, size_b long, col long, beyond long, "
+            "place_a long, may_link boolean")
+_PRODUCT_COLS = ["kind", "a", "b", "n", "size_a", "size_b", "col", "beyond", "place_a", "may_link"]
 
 
-def _rows(kind: int, a, b, n, size_a, size_b, col) -> pa.RecordBatch:
-    m = len(a)
-    fill = [np.asarray(x) if x is not None else np.zeros(m, np.int64)
-            for x in (a, b, n, size_a, size_b, col)]
+def _rows(kind: int, **columns: np.ndarray) -> pa.RecordBatch:
+    m = len(columns["a"])
+    full = [np.full(m, kind, np.int32)] + [
+        columns.get(c, np.zeros(m, np.int64)).astype(np.int64) for c in _PRODUCT_COLS[1:-1]]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(m, kind, np.int32)), *(pa.array(x.astype(np.int64)) for x in fill)],
+        [*(pa.array(x) for x in full), pa.array(columns.get("may_link", np.ones(m, bool)))],
         _PRODUCT_COLS)
 
 
+def _least_overlap(size_a, size_b, percent: int):
+    """The smallest intersection of two linked sets of these sizes."""
+    return -(-percent * (size_a + size_b) // (100 + percent))
+
+
 def _multiply(percent: int):
     def run(table: pa.Table) -> pa.Table:
         def joined(name, kind):
             return np.concatenate([np.frombuffer(v.as_py(), kind) for v in table.column(name)])
 
-        col, row = joined("cols", _U64), joined("rows", np.int64)
-        size, split = joined("sizes", np.int32).astype(np.int64), joined("split", np.uint8)
+        col, row, split = joined("cols", _U64), joined("rows", np.int64), joined("split", np.uint8)
+        size, place = (joined(c, np.int32).astype(np.int64) for c in ("sizes", "places"))
         order = np.lexsort((row, col))
-        col, row, size, split = col[order], row[order], size[order], split[order]
+        col, row, size, place, split = (x[order] for x in (col, row, size, place, split))
         starts = np.flatnonzero(np.concatenate(([True], col[1:] != col[:-1])))
         length = np.diff(np.append(starts, col.size))
         aside = (length > SHORT_COLUMN) | (split[starts] > 0)
+
+        def plausible(i, j):
+            """Whether a column that is the first shared one leaves both rows enough for a link."""
+            need = _least_overlap(size[i], size[j], percent)
+            return (place[i] <= size[i] - need) & (place[j] <= size[j] - need)
+
         left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for m in range(2, SHORT_COLUMN + 1):
             at = starts[(length == m) & ~aside]
@@ -219,43 +236,64 @@ def _multiply(percent: int):
             left.append((at[:, None] + i).ravel())
             right.append((at[:, None] + j).ravel())
         i, j = np.concatenate(left), np.concatenate(right)
-        near = 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
-        i, j = i[near & (row[i] != row[j])], j[near & (row[i] != row[j])]
+        near = (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])) & (
+            row[i] != row[j])
+        i, j = i[near], j[near]
         out = []
         if i.size:
-            order = np.lexsort((row[j], row[i]))
+            order = np.lexsort((col[i], row[j], row[i]))
             i, j = i[order], j[order]
             first = np.flatnonzero(np.concatenate(
                 ([True], (row[i][1:] != row[i][:-1]) | (row[j][1:] != row[j][:-1]))))
             n = np.diff(np.append(first, i.size))
-            i, j = i[first], j[first]
-            out.append(_rows(0, row[i], row[j], n, size[i], size[j], None))
-        member = np.repeat(aside, length)
-        if member.any():
-            c, r, s = col[member], row[member], size[member]
-            out.append(_rows(2, r, None, None, s, None, c.view(np.int64)))
-            step = np.floor(np.log(s) / np.log(100 / percent)).astype(np.int64)
-            order = np.lexsort((mix(r.astype(_U64)), step, c))
-            c, r, s, step = c[order], r[order], s[order], step[order]
+            may = np.logical_or.reduceat(plausible(i, j), first)
+            i, j = i[first + n - 1], j[first + n - 1]  # the last column of each pair
+            beyond = np.minimum(size[i] - place[i], size[j] - place[j]) - 1
+            out.append(_rows(0, a=row[i], b=row[j], n=n, size_a=size[i], size_b=size[j],
+                             col=col[i].view(np.int64), beyond=beyond, may_link=may))
+        member = np.flatnonzero(np.repeat(aside, length))
+        if member.size:
+            out.append(_rows(2, a=row[member], size_a=size[member], place_a=place[member],
+                             col=col[member].view(np.int64)))
+            step = np.floor(np.log(size[member]) / np.log(100 / percent)).astype(np.int64)
+            order = np.lexsort((mix(row[member].astype(_U64)), step, col[member]))
+            member, step = member[order], step[order]
+            c = col[member]
             new = np.concatenate(([True], (c[1:] != c[:-1]) | (step[1:] != step[:-1])))
-            hub = np.flatnonzero(new)[np.cumsum(new) - 1]
-            near = (r != r[hub]) & (100 * np.minimum(s, s[hub]) >= percent * np.maximum(s, s[hub]))
-            pairs = np.unique(np.stack((np.minimum(r, r[hub]), np.maximum(r, r[hub])), 1)[near],
-                              axis=0)
+            hub = member[np.flatnonzero(new)[np.cumsum(new) - 1]]
+            good = (row[member] != row[hub]) & plausible(member, hub)
+            ends = row[member][good], row[hub][good]
+            pairs = np.unique(np.stack((np.minimum(*ends), np.maximum(*ends)), 1), axis=0)
             if pairs.size:
-                out.append(_rows(1, pairs[:, 0], pairs[:, 1], None, None, None, None))
-        return pa.Table.from_batches(out) if out else pa.Table.from_batches(
-            [_rows(0, *[np.empty(0, np.int64)] * 3, None, None, None)])
+                out.append(_rows(1, a=pairs[:, 0], b=pairs[:, 1]))
+        return pa.Table.from_batches(out or [_rows(0, a=np.empty(0, np.int64))])
 
     return run
 
 
 # --- verification -------------------------------------------------------------
 
+def few_texts(docs: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+    """``docs`` whose ``key`` is in ``ids`` (a column of that name).
+
+    A bit map of fixed size first keeps most other rows out of the join's shuffle; as it
+    fills up it keeps out fewer, and the join decides at any size.
+    """
+    bit = F.pmod(F.xxhash64(key), F.lit(1 << MAP_BITS))
+    words = ids.select(F.shiftright(bit, 6).alias("__word"), F.expr(
+        f"shiftleft(1L, CAST(pmod(xxhash64({key}), 64) AS INT))").alias("__bit")) \
+        .groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    words = stage(words, "bit-map")  # at most 2**(MAP_BITS - 6) rows
+    marked = docs.join(F.broadcast(words), F.shiftright(bit, 6) == F.col("__word")).where(
+        F.expr(f"(shiftright(__bits, CAST(pmod(xxhash64({key}), 64) AS INT)) & 1L) = 1L"))
+    # an inner join with distinct ids: a semi-join would be moved below the map
+    return marked.select(*docs.columns).join(ids.select(key).distinct(), key)
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar enough.  Texts travel once for each pair."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = stage(docs.join(ends, "id", "left_semi"), f"{name}-texts")
+    ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), f"{name}-ends")
+    texts = stage(few_texts(docs, ends), f"{name}-texts")
     full = (pairs.join(texts.withColumnsRenamed({"id": "b", "text": "text_b"}), "b")
             .join(texts.withColumnsRenamed({"id": "a", "text": "text_a"}), "a")
             .select("a", "b", "text_a", "text_b"))
@@ -277,58 +315,64 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, name: str) -> Dat
     return stage(map_arrow(full, run, "a long, b long").distinct(), name)
 
 
+def quick_labels(links: DataFrame) -> DataFrame:
+    """(node, component): the smallest neighbour's smallest neighbour, or the node if smaller.
+
+    Nodes with one label are connected; connected ones may still have several.
+    """
+    ends = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    one = ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select(
+        "node", F.least("node", "b").alias("component"))
+    two = one.select(F.col("node").alias("component"), F.col("component").alias("further"))
+    return one.join(two, "component").select("node", F.col("further").alias("component"))
+
+
 def unresolved(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries, with their row's component, of set-aside columns that hold several components."""
+    """Entries, with their row's label, of set-aside columns that hold several labels."""
     labelled = entries.join(labels.withColumnRenamed("node", "a"), "a", "left").select(
-        "col", "a", "size_a", F.coalesce("component", "a").alias("component"))
+        "col", "a", "size_a", "place_a", F.coalesce("component", "a").alias("component"))
     mixed = (labelled.groupBy("col").agg(F.min("component").alias("lo"),
                                          F.max("component").alias("hi"))
              .where("lo <> hi").select("col"))
     return labelled.join(mixed, "col", "left_semi")
 
 
+def _plausible(a: str, b: str, place_a: str, place_b: str, low_a: str, low_b: str, percent: int):
+    """As in the product, over columns of sizes and places; ``low_`` sizes set the least overlap."""
+    need = F.ceil(percent * (F.col(low_a) + F.col(low_b)) / (100 + percent))
+    return (F.col(place_a) <= F.col(a) - need) & (F.col(place_b) <= F.col(b) - need)
+
+
 def star_pairs(entries: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each row with the best linked row of its set-aside column, in other components."""
+    """Pairs of each row with the best linked row of its set-aside column, of another label."""
     degree = (links.select(F.explode(F.array("a", "b")).alias("a"))
               .groupBy("a").agg(F.count("*").alias("degree")))
-    ranked = entries.join(degree, "a", "left").withColumn(
-        "rank", F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "a",
-                         F.col("size_a").alias("size"), "component"))
-    hubs = ranked.groupBy("col").agg(F.max("rank").alias("hub"))
-    pairs = ranked.select("col", "a", "size_a", "component").join(hubs, "col").where(
-        (F.col("component") != F.col("hub.component"))
-        & (100 * F.least("size_a", "hub.size") >= percent * F.greatest("size_a", "hub.size")))
-    return pairs.select(F.least("a", "hub.a").alias("a"),
-                        F.greatest("a", "hub.a").alias("b")).distinct()
+    hubs = entries.join(degree, "a").groupBy("col").agg(F.max(F.struct(
+        "degree", "a", "size_a", "place_a", "component")).alias("hub")).select(
+        "col", F.col("hub.a").alias("b"), F.col("hub.size_a").alias("size_b"),
+        F.col("hub.place_a").alias("place_b"), F.col("hub.component").alias("other"))
+    pairs = entries.join(hubs, "col").where(
+        (F.col("component") != F.col("other"))
+        & _plausible("size_a", "size_b", "place_a", "place_b", "size_a", "size_b", percent))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Every pair of rows of different components in a set-aside column: (a, b, n, sizes)."""
-    groups = entries.groupBy("col", "component").agg(
-        F.min("size_a").alias("least"), F.max("size_a").alias("most"))
-    sides = groups.alias("x").join(groups.alias("y"), "col").where(
-        (F.col("x.component") < F.col("y.component"))
-        & (100 * F.col("x.most") >= percent * F.col("y.least"))
-        & (100 * F.col("y.most") >= percent * F.col("x.least"))).select(
-        "col", F.col("x.component").alias("component"), F.col("y.component").alias("other"))
-    far = entries.select("col", F.col("component").alias("other"), F.col("a").alias("far"),
-                         F.col("size_a").alias("size_far"))
-    pairs = (entries.join(sides, ["col", "component"]).join(far, ["col", "other"])
-             .where(100 * F.least("size_a", "size_far") >= percent * F.greatest("size_a", "size_far")))
-    swap = F.col("a") < F.col("far")
-    return (pairs.select(F.when(swap, F.col("a")).otherwise(F.col("far")).alias("a"),
-                         F.when(swap, F.col("far")).otherwise(F.col("a")).alias("b"),
-                         F.when(swap, F.col("size_a")).otherwise(F.col("size_far")).alias("size_a"),
-                         F.when(swap, F.col("size_far")).otherwise(F.col("size_a")).alias("size_b"))
-            .groupBy("a", "b").agg(F.count("*").alias("n"), F.first("size_a").alias("size_a"),
-                                   F.first("size_b").alias("size_b")))
-
-
-def _may_link(overlap, percent: int):
-    """Whether a pair with this overlap of prefixes can still reach the bound its sizes set."""
-    beyond = F.ceil(percent * F.greatest("size_a", "size_b") / 100) - 1
-    need = F.ceil(percent * (F.col("size_a") + F.col("size_b")) / (100 + percent))
-    return overlap + beyond >= need
+    """The plausible pairs of rows of different labels in a set-aside column."""
+    groups = stage(entries.groupBy("col", "component").agg(
+        F.min("size_a").alias("low"), F.max("size_a").alias("high"),
+        F.min("place_a").alias("place")), "cross-groups")
+    far_groups = groups.select("col", *(F.col(c).alias(f"{c}_b") for c in
+                                        ("component", "low", "high", "place")))
+    sides = groups.join(far_groups, "col").where(
+        (F.col("component") < F.col("component_b"))
+        & _plausible("high", "high_b", "place", "place_b", "low", "low_b", percent)) \
+        .select("col", "component", "component_b")
+    far = entries.select("col", F.col("component").alias("component_b"), F.col("a").alias("b"),
+                         F.col("size_a").alias("size_b"), F.col("place_a").alias("place_b"))
+    pairs = (entries.join(sides, ["col", "component"]).join(far, ["col", "component_b"])
+             .where(_plausible("size_a", "size_b", "place_a", "place_b", "size_a", "size_b", percent)))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -351,38 +395,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reach_workers(spark)
     product = stage(_entries(rows, weights, blocks, percent).groupBy("block")
                     .applyInArrow(_multiply(percent), _PRODUCT), "ngram-product")
-    aside = product.where("kind = 2").select("col", "a", "size_a")
+    aside = product.where("kind = 2").select("col", "a", "size_a", "place_a")
 
     copies = sets.where("set_key is not null and id is not null")
     leads = copies.groupBy("set_key").agg(F.min("id").alias("b"), F.count("*").alias("n"))
     same = copies.join(leads.where("n > 1"), "set_key").select(F.col("id").alias("a"), "b")
 
-    # overlaps over all blocks; set-aside columns may add one for each that both rows have
-    short = stage(product.where("kind = 0").groupBy("a", "b").agg(
-        F.sum("n").alias("n"), F.first("size_a").alias("size_a"),
-        F.first("size_b").alias("size_b")), "ngram-short")
+    # overlaps over all blocks, and the last column of all; set-aside columns before that may add
+    # one for each that both rows have
+    last = F.struct("col", "beyond")
+    short = product.where("kind = 0").groupBy("a", "b").agg(
+        F.sum("n").alias("n"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"),
+        F.max(last)["beyond"].alias("beyond"), F.max("may_link").alias("may_link"))
     more = aside.groupBy("a").agg(F.count("*").alias("more"))
-    overlap = F.col("n") + F.least(F.coalesce("more_a", F.lit(0)), F.coalesce("more_b", F.lit(0)))
+    reach = (F.col("n") + F.col("beyond")
+             + F.least(F.coalesce("more_a", F.lit(0)), F.coalesce("more_b", F.lit(0))))
+    need = F.ceil(percent * (F.col("size_a") + F.col("size_b")) / (100 + percent))
     listed = (short.join(more.withColumnRenamed("more", "more_a"), "a", "left")
               .join(more.withColumnsRenamed({"a": "b", "more": "more_b"}), "b", "left")
-              .where(_may_link(overlap, percent)).select("a", "b"))
+              .where((F.col("may_link") | (F.coalesce("more_a", F.lit(0)) > 0)
+                      & (F.coalesce("more_b", F.lit(0)) > 0)) & (reach >= need)).select("a", "b"))
     stars = product.where("kind = 1").select("a", "b")
-    links = _verified(stage(listed.union(stars).distinct(), "ngram-pairs"), rows, percent,
-                      "ngram-links").union(same)
+    tried = stage(listed.union(stars).distinct(), "ngram-pairs")
+    links = _verified(tried, rows, percent, "ngram-links").union(same)
 
-    for _ in range(STAR_ROUNDS):
-        open_entries = stage(unresolved(aside, components(links, "ngram-label")), "ngram-open")
-        if open_entries.isEmpty():
+    for pairs_of in (lambda e: star_pairs(e, links, percent), lambda e: cross_pairs(e, percent)):
+        left = stage(unresolved(aside, quick_labels(links)), "ngram-open")
+        if left.isEmpty():
             break
-        tried = stage(star_pairs(open_entries, links, percent), "ngram-stars")
-        links = links.union(_verified(tried, rows, percent, "ngram-links"))
-    open_entries = stage(unresolved(aside, components(links, "ngram-label")), "ngram-open")
-    if not open_entries.isEmpty():
-        crossing = cross_pairs(open_entries, percent).join(
-            short.select("a", "b", F.col("n").alias("n_short")), ["a", "b"], "left")
-        crossing = crossing.where(_may_link(F.col("n") + F.coalesce("n_short", F.lit(0)), percent))
-        links = links.union(_verified(stage(crossing.select("a", "b"), "ngram-cross"), rows,
-                                      percent, "ngram-links"))
+        fresh = stage(pairs_of(left).join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
+        links = links.union(_verified(fresh, rows, percent, "ngram-links"))
+        tried = tried.union(fresh)
     labels = components(links, "ngram-components").withColumnRenamed("node", "id")
     return sets.join(labels, "id", "left").select(
         F.col("id").alias(id_col), "n_shingles",
