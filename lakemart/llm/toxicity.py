@@ -1,9 +1,10 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
 Every word feature (a whole word, or the first letters of one) has the log-odds
-of toxic against other labelled texts, with a Dirichlet prior in proportion to
-the feature's pooled frequency, so that rare features shrink to none; features
-whose z-score is small are dropped.  A word takes the score of its most certain
+of toxic against other labelled texts that hold it, with a Dirichlet prior in
+proportion to the feature's pooled frequency, so that rare features shrink to none;
+features whose z-score is small are dropped.  Texts are counted, not occurrences: one
+text that repeats a word says little about the word.  A word takes the score of its most certain
 feature, and a small negative score without one.  A linear scan then finds all
 maximal-scoring segments of a text.  Under extreme-value statistics the chance
 that clean text of this length has a segment of score S is
@@ -29,11 +30,11 @@ from lakemart.llm.common import held_out, map_arrow, stage
 #: Labelled rows of each class that the model is fitted on, about; all if there are fewer.
 FIT_ROWS = 6000
 #: Features of a word: itself, and its first letters, as many as here.
-PREFIXES = (4, 5, 6, 7)
+PREFIXES = (5, 6, 7)
 #: Least z-score of a feature that counts, and the most features of either sign.
 MIN_Z, MAX_FEATURES = 3.5, 20_000
-#: Weight of the prior, in words; bounds of a score; score of a word without a feature.
-PRIOR, MOST, NEUTRAL = 2000.0, 5.0, -0.25
+#: Weight of the prior, in texts; bound of a score; score of a word without a feature.
+PRIOR, MOST, NEUTRAL = 50.0, 5.0, -0.1
 #: A segment is significant when clean text of its length holds one as good this rarely.
 SIGNIFICANT = 0.2
 CACHE_WORDS = 300_000
@@ -50,8 +51,9 @@ def _features(word: str) -> list[str]:
 
 
 def _draw(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-          fit_rows: int) -> DataFrame:
-    """(text, toxic) of about ``fit_rows`` labelled rows of each class, drawn by a hash of the id."""
+          fit_rows: int) -> tuple[DataFrame, float]:
+    """(text, toxic) of about ``fit_rows`` labelled rows of each class, drawn by a hash of the id;
+    and the share of toxic rows."""
     rows = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
     n = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -60,20 +62,17 @@ def _draw(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     drawn = rows.where(draw < share * (1 << 20)).distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # two classes of about fit_rows ids: a bounded side
-    return stage(texts.join(F.broadcast(drawn), "id").select("text", "toxic"), "toxic-fit")
+    found = stage(texts.join(F.broadcast(drawn), "id").select("text", "toxic"), "toxic-fit")
+    return found, n.get(1, 0) / max(1, sum(n.values()))
 
 
 def _count(rows: DataFrame) -> DataFrame:
+    """In how many texts of each class every feature stands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_word = (Counter(), Counter())
+        by_feature = (Counter(), Counter())
         for b in batches:
             for text, toxic in zip(b.column("text"), b.column("toxic").to_pylist(), strict=True):
-                by_word[toxic].update(words_of(text.as_py()))
-        by_feature = (Counter(), Counter())
-        for words, features in zip(by_word, by_feature, strict=True):
-            for w, n in words.items():
-                for f in _features(w):
-                    features[f] += n
+                by_feature[toxic].update({f for w in set(words_of(text.as_py())) for f in _features(w)})
         names = list({**by_feature[0], **by_feature[1]})
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()),
@@ -188,8 +187,11 @@ def _judged(rows: DataFrame, model: ToxicityModel) -> tuple[list, dict[float, in
     return texts, {r.word_score: r.n for r in scores.collect()}
 
 
-def _calibrate(model: ToxicityModel, texts: list, word_scores: dict[float, int]) -> None:
-    """lambda from clean word scores, K from clean best segments, then the curve."""
+def _calibrate(model: ToxicityModel, texts: list, word_scores: dict[float, int],
+               share: float) -> None:
+    """lambda from clean word scores, K from clean best segments, then the curve.
+
+    ``share``: of toxic texts among all labelled ones, which the draw may not keep."""
     values, n = np.array(list(word_scores), float), np.array(list(word_scores.values()), float)
     model.rate = 1.0
     if values.size and values.max() > 0:
@@ -210,12 +212,14 @@ def _calibrate(model: ToxicityModel, texts: list, word_scores: dict[float, int])
     if not y.any() or y.all():
         model.slope, model.middle = 1.0, (0.0 if y.any() else 1e9)
         return
-    # a logistic curve by damped Newton steps; the classes weigh as in the draw
-    a, c = 0.0, math.log(y.mean() / (1 - y.mean()))
+    # a logistic curve by damped Newton steps; the classes weigh as among all labelled texts
+    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    a, c = 0.0, math.log(share / (1 - share))
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(a * x + c, -30, 30)))
-        g = np.array([((y - p) * x).sum() - 1e-3 * a, (y - p).sum()])
-        v = p * (1 - p) + 1e-9
+        d = weight * (y - p)
+        g = np.array([(d * x).sum() - 1e-3 * a, d.sum()])
+        v = weight * p * (1 - p) + 1e-9
         h = np.array([[(v * x * x).sum() + 1e-3, (v * x).sum()], [(v * x).sum(), v.sum()]])
         step = np.linalg.solve(h, g)
         a, c = a + float(np.clip(step[0], -1, 1)), c + float(np.clip(step[1], -5, 5))
@@ -230,18 +234,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     The driver gets at most ``MAX_FEATURES`` features of each sign, and the segment
     scores of the sample's texts.
     """
-    rows = _draw(docs, labels, id_col, text_col, label_col, fit_rows)
+    rows, share = _draw(docs, labels, id_col, text_col, label_col, fit_rows)
     counts = stage(_count(rows), "toxic-counts")
-    whole = F.col("feature").startswith(" ")
-    total = counts.where(whole).agg(F.sum("clean"), F.sum("toxic")).first()
-    n_clean, n_toxic = total[0] or 0, total[1] or 0
+    total = rows.agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)).first()
+    n_clean, n_toxic = total
     if not n_clean or not n_toxic:
         model = ToxicityModel({})
         model.middle = 1e9
         return model
     prior = PRIOR * (F.col("clean") + F.col("toxic")) / float(n_clean + n_toxic)
     t, c = F.col("toxic") + prior, F.col("clean") + prior
-    odds = F.log(t / (n_toxic + PRIOR - t)) - F.log(c / (n_clean + PRIOR - c))
+    odds = F.log(t / (n_toxic + PRIOR + 1 - t)) - F.log(c / (n_clean + PRIOR + 1 - c))
     scored = counts.where("clean + toxic >= 5").select(
         "feature", odds.alias("odds"), (odds / F.sqrt(1 / t + 1 / c)).alias("z"))
     kept = [scored.where(F.col("z") * sign >= MIN_Z).orderBy(F.desc(F.abs("z")), "feature")
@@ -249,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     features = {r.feature: (max(-MOST, min(MOST, r.odds)), r.z)
                 for r in kept[0].union(kept[1]).collect()}
     model = ToxicityModel(features)
-    _calibrate(model, *_judged(rows, model))
+    _calibrate(model, *_judged(rows, model), share)
     return model
 
 
