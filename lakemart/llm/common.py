@@ -31,12 +31,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Whole texts go to Python in batches of at most so many rows and bytes, unless the session has
+#: limits of its own: a task then holds a few batches, whatever the length of the texts.
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+                "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+
+
 def reach_workers(spark: SparkSession) -> None:
-    """Put this package's place into the search path of Python workers that start later.
+    """Prepare a session for Python in tasks: the search path of workers, and batch limits.
 
-    A cluster has it installed, or sent by ``--py-files``; local workers may have
-    been started in another folder.
+    A cluster has this package installed, or sent by ``--py-files``; local workers may have
+    been started in another folder, and get its place.
     """
+    for key, (default, limit) in BATCH_LIMITS.items():
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, limit)
     env = spark.sparkContext.environment
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = env.get("PYTHONPATH", "").split(os.pathsep)
