@@ -28,8 +28,10 @@ EMAIL = (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++"
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: An identifier-like string: a run without white space, brackets or quotes that holds four digits.
-CANDIDATE = r"(?<![^\s\"'()<>\[\]{},;|])(?:[^\s\"'()<>\[\]{},;|0-9]*+[0-9]){4}[^\s\"'()<>\[\]{},;|]*+"
+#: An identifier-like string: a run without white space, brackets or quotes that holds four digits
+#: or an @.
+_APART = r"\s\"'()<>\[\]{},;|"
+CANDIDATE = (rf"(?<![^{_APART}])(?:(?:[^{_APART}0-9]*+[0-9]){{4}}|[^{_APART}@]*+@)[^{_APART}]*+")
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 #: Characters of context that are looked at on either side.
 CONTEXT = 64
@@ -87,7 +89,7 @@ def _matches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return _found(t, expressions[kind], worth[kind], lambda m, g, h: F.struct(
             F.length(g).alias("gap"), F.length(m).alias("length"), _valid(kind, m).alias("ok")))
 
-    candidates = _found(t, CANDIDATE, worth["card"], lambda m, g, h: F.struct(
+    candidates = _found(t, CANDIDATE, t.rlike("[0-9@]"), lambda m, g, h: F.struct(
         F.length(g).alias("gap"), F.length(m).alias("length"), m.alias("found"),
         F.substring(g, -CONTEXT, CONTEXT).alias("before"), F.substring(h, 1, CONTEXT).alias("after")))
     return stage(rows.select(F.monotonically_increasing_id().alias("row"), "id",
