@@ -49,6 +49,8 @@ SHORT_COLUMN = 8
 LONG_COLUMN = 50_000
 #: Entries of the matrix in a block, about.
 BLOCK_ENTRIES = 500_000
+#: Turns of stars on set-aside columns before their remaining pairs are listed.
+STAR_TURNS = 2
 #: Bits of the map that keeps most texts out of a verification's shuffle (1 MB at any input size).
 MAP_BITS = 23
 _U64 = np.uint64
@@ -256,7 +258,9 @@ def _multiply(percent: int):
             out.append(_rows(2, a=row[member], size_a=size[member], place_a=place[member],
                              col=col[member].view(np.int64)))
             step = np.floor(np.log(size[member]) / np.log(100 / percent)).astype(np.int64)
-            order = np.lexsort((mix(row[member].astype(_U64)), step, col[member]))
+            # two orders of rows, by column, so that a row meets more than one hub
+            turn = (col[member] & _U64(1)) * _U64(0x5851F42D4C957F2D)
+            order = np.lexsort((mix(row[member].astype(_U64) ^ turn), step, col[member]))
             member, step = member[order], step[order]
             c = col[member]
             new = np.concatenate(([True], (c[1:] != c[:-1]) | (step[1:] != step[:-1])))
@@ -291,9 +295,13 @@ def few_texts(docs: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) whose whole texts are similar enough.  Texts travel once for each pair."""
-    ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), f"{name}-ends")
-    texts = stage(few_texts(docs, ends), f"{name}-texts")
+    """The pairs (a, b) whose whole texts are similar enough.
+
+    The texts wanted are shuffled by id once, for both joins, and travel once for each pair.
+    """
+    ends = stage(pairs.select(F.col("a").alias("id")).distinct().union(
+        pairs.select("b").distinct()).distinct(), f"{name}-ends")
+    texts = few_texts(docs, ends)
     full = (pairs.join(texts.withColumnsRenamed({"id": "b", "text": "text_b"}), "b")
             .join(texts.withColumnsRenamed({"id": "a", "text": "text_a"}), "a")
             .select("a", "b", "text_a", "text_b"))
@@ -343,12 +351,16 @@ def _plausible(a: str, b: str, place_a: str, place_b: str, low_a: str, low_b: st
     return (F.col(place_a) <= F.col(a) - need) & (F.col(place_b) <= F.col(b) - need)
 
 
-def star_pairs(entries: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each row with the best linked row of its set-aside column, of another label."""
-    degree = (links.select(F.explode(F.array("a", "b")).alias("a"))
-              .groupBy("a").agg(F.count("*").alias("degree")))
-    hubs = entries.join(degree, "a").groupBy("col").agg(F.max(F.struct(
-        "degree", "a", "size_a", "place_a", "component")).alias("hub")).select(
+def star_pairs(entries: DataFrame, links: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs of each row with one linked row of each of its set-aside columns, of another label.
+
+    The row is drawn by a hash that differs by column and turn: a row that its component's first
+    hubs do not resemble meets as many others as it has columns.
+    """
+    linked = links.select("a").union(links.select("b")).distinct()
+    drawn = F.xxhash64("col", "a", F.lit(turn)).alias("drawn")
+    hubs = entries.join(linked, "a").groupBy("col").agg(F.max(F.struct(
+        drawn, "a", "size_a", "place_a", "component")).alias("hub")).select(
         "col", F.col("hub.a").alias("b"), F.col("hub.size_a").alias("size_b"),
         F.col("hub.place_a").alias("place_b"), F.col("hub.component").alias("other"))
     pairs = entries.join(hubs, "col").where(
@@ -419,15 +431,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tried = stage(listed.union(stars).distinct(), "ngram-pairs")
     links = _verified(tried, rows, percent, "ngram-links").union(same)
 
-    for pairs_of in (lambda e: star_pairs(e, links, percent), lambda e: cross_pairs(e, percent)):
+    for turn in range(STAR_TURNS):
         left = stage(unresolved(aside, quick_labels(links)), "ngram-open")
-        if left.isEmpty():
-            break
-        fresh = stage(pairs_of(left).join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
+        fresh = stage(star_pairs(left, links, percent, turn).join(tried, ["a", "b"], "left_anti"),
+                      "ngram-pairs")
         links = links.union(_verified(fresh, rows, percent, "ngram-links"))
         tried = tried.union(fresh)
-    labels = components(links, "ngram-components").withColumnRenamed("node", "id")
-    return sets.join(labels, "id", "left").select(
+    labels = stage(components(links, "ngram-label"), "ngram-labels")
+    left = stage(unresolved(aside, labels), "ngram-open")
+    fresh = stage(cross_pairs(left, percent).join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
+    if not fresh.isEmpty():
+        links = links.union(_verified(fresh, rows, percent, "ngram-links"))
+        labels = components(links, "ngram-components")
+    return sets.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
         F.col("id").alias(id_col), "n_shingles",
         F.coalesce("component", "id").alias("component_id"))
 
