@@ -61,7 +61,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.duplicate_lines(table(spark, sf_dir, "documents"))
+    return line_dedup.duplicate_lines(table(spark, sf_dir, "documents"), every_position=True)
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -213,6 +213,27 @@ def test_lines_awkward(awkward, no_docs):
     assert texts[13] == "line\n" and texts[10] == "" and texts[0] is None
 
 
+def test_lines_by_shingles_at_every_position(spark):
+    """URLs and texts without blanks, alike in their first twelve characters alone, or nearly whole."""
+    han = "".join(chr(0x4E00 + 7 * i) for i in range(200))
+    lines = ["https://www.example.com/a/1", "https://www.example.org/zz", han[:80], han[:12] + han[90:150],
+             han[2:80], han[:78] + "\U0001f600\U0001f601", "\U0001f600" * 9 + "a", "\U0001f600" * 9 + "b",
+             "a-word-of-more-than-twelve-characters and more text here",
+             "a-word-of-more-than-twelve-cha and more text here", "short", "short", "shorter"]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    every = {x: {x[i:i + 12] for i in range(max(1, len(x) - 11))} for x in set(lines)}
+    forest, groups = linked(every), defaultdict(list)
+    for i, x in enumerate(lines):
+        groups[forest.find(x)].append(i)
+    want = {i: (min(g), len(g)) for g in groups.values() if len(g) > 1 for i in g}
+    got = line_dedup.duplicate_lines(df, every_position=True).collect()
+    assert {r.doc_id: (r.keep_id, r.n_lines) for r in got} == want
+    left = {r.doc_id: r.text for r in line_dedup.drop_duplicate_lines(df).collect()}
+    assert [i for i in left if left[i] == ""] and all(
+        (left[i] == "") == (i in want and want[i][0] != i) for i in left)
+    assert left[1] and left[3] and not left[4]
+
+
 def test_line_dedup_is_native(documents):
     plan = line_dedup.duplicate_lines(documents.limit(50))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
