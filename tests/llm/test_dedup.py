@@ -234,6 +234,28 @@ def test_lines_by_shingles_at_every_position(spark):
     assert left[1] and left[3] and not left[4]
 
 
+def test_bands_have_the_stated_recall(spark):
+    """Pairs of sets of similarity 0.75 with 12 and 20 hashes in the union share a band as stated."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng, n = random.Random(5), 4000
+    for union in (12, 20):
+        rows = []
+        for pair in range(n):
+            h = [rng.getrandbits(64) - (1 << 63) for _ in range(union)]
+            alone = union // 8
+            rows += [(2 * pair, x) for x in h[alone:]]
+            rows += [(2 * pair + 1, x) for x in h[:alone] + h[union // 4:]]
+        bands = line_dedup._bands(spark.createDataFrame(rows, "node long, hash long"))
+        met = (bands.select("node", F.explode("bands").alias("band"))
+               .groupBy(F.expr("node div 2").alias("pair"), "band").count().where("count = 2")
+               .select("pair").distinct().count())
+        # both sets hold all but ``alone`` (or a quarter less ``alone``) of the union: 3/4 in common
+        assert met / n > 0.984 - 4 * (0.984 * 0.016 / n) ** 0.5
+
+
 def test_line_dedup_is_native(documents):
     plan = line_dedup.duplicate_lines(documents.limit(50))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
