@@ -1,7 +1,8 @@
 """Secrets in texts, with a random forest against false positives.
 
 Wide patterns find candidates: long runs of key-like characters that hold digits or mixed
-case, values assigned to quoted names, and tokens of well-known formats.  A random
+case, values of any length and marks assigned to secrets' names (:data:`SECRET_NAMES`),
+and tokens of well-known formats.  A random
 forest then judges each finding by its length, how likely its character
 transitions are in the corpus' own words, how much of it the corpus' words cover,
 where it stands (the source's share of findings, its place in the text) and the
@@ -50,6 +51,12 @@ _KEY_CHARS = r"[0-9A-Za-z_+/=.-]"
 _CANDIDATE = re.compile(
     "|".join(f"(?P<{k}>(?<!{_KEY_CHARS}){v})" for k, v in ISSUED.items())
     + rf"|(?P<run>(?<!{_KEY_CHARS})(?={_KEY_CHARS}*[0-9]|[0-9A-Za-z+/=_-]*[a-z][A-Z]){_KEY_CHARS}{{16,}})")
+_SIGN = re.compile(r"=>|:=|={1,3}|:{1,2}")
+# a name, perhaps in quotes or with a type, that ends before the sign
+_NAME = re.compile("(?i:" + "|".join(n.replace("_", "[_-]?") for n in SECRET_NAMES)
+                   + r")(?![a-z])[\w-]{0,20}[\"'`]?\]?(?:\s{0,3}:\s{0,3}[\w.|\[\]]{1,30})?\s{0,3}\Z")
+_VALUE = re.compile(r"\s{0,3}(?:\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)'|`([^`\n]+)`|([^\s\"'`]\S*))")
+_OPENS = {")": "(", "]": "[", "}": "{", ">": "<"}
 _ASSIGNED = re.compile(r"([A-Za-z][A-Za-z_.-]{0,40})[\"']?\s{0,3}(?:=|:|=>|:=)\s{0,3}[\"']?\Z")
 _WORD = re.compile(r"[^\W\d_]+")
 FEATURES = ("length", "digits", "upper", "lower", "marks", "hex", "distinct", "entropy",
@@ -95,6 +102,42 @@ def _language(docs: DataFrame) -> tuple[np.ndarray, frozenset[str]]:
     return table, frozenset(r.word for r in top)
 
 
+def _bare(value: str) -> str:
+    """A value without quotes, less the punctuation and closing brackets that follow it."""
+    while value and (value[-1] in "\"'`,;" or _OPENS.get(value[-1], value) not in value):
+        value = value[:-1]
+    return value
+
+
+def candidates(text: str) -> list[tuple[int, str, str]]:
+    """(start, value, kind) of every candidate, in order of start.
+
+    A run of key characters inside an assigned value is a piece of it and gives no row;
+    an issued format inside one does.
+    """
+    runs = [(m.start(), m[0].rstrip(".=-"), m.lastgroup) for m in _CANDIDATE.finditer(text)]
+    assigned = {}
+    for sign in _SIGN.finditer(text):
+        if not _NAME.search(text[max(0, sign.start() - 2 * CONTEXT):sign.start()]):
+            continue
+        m = _VALUE.match(text, sign.end())
+        if m and (value := m[m.lastindex] if m.lastindex < 4 else _bare(m[4])):
+            assigned[m.start(m.lastindex)] = value
+    spans, out, last = sorted(assigned.items()), [], 0
+    for start, value, kind in runs:
+        while last < len(spans) and spans[last][0] + len(spans[last][1]) <= start:
+            last += 1
+        inside = [(a, v) for a, v in spans[last:last + 1]
+                  if a <= start and start + len(value) <= a + len(v)]
+        if inside and inside[0] == (start, value):
+            del assigned[start]
+            spans.pop(last)
+        elif inside and kind == "run":
+            continue
+        out.append((start, value, kind))
+    return sorted(out + [(a, v, "assigned") for a, v in assigned.items()])
+
+
 def _covered(value: str, known: frozenset[str]) -> tuple[float, int]:
     """Share of a candidate's characters in dictionary words (greedy, longest first), and the longest."""
     low, i, covered, longest = value.lower(), 0, 0, 0
@@ -129,7 +172,7 @@ def _measure(value: str, before: str, after: str, kind: str, position: float,
             sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / n, float(bool(name)),
             float(bool(name) and any(s in name[1].lower() for s in SECRET_NAMES)),
             float(before[-1:] in "\"'`" and before[-1:] != "" and after[:1] in "\"'`"),
-            float(any(p in low for p in PLACEHOLDERS)), float(kind != "run"), position, 0.0,
+            float(any(p in low for p in PLACEHOLDERS)), float(kind not in ("run", "assigned")), position, 0.0,
             sum(w in known for w in near) / max(1, len(near)),
             float(any(s in w for w in near for s in SECRET_NAMES))]
 
@@ -138,13 +181,19 @@ def rule_label(features: list[float], value: str) -> int | None:
     """1 or 0 for findings that strict rules can label, else None.
 
     Secrets: assigned to a secret's name and without words in them, or of an issued format.
-    False: placeholders, numbers alone, and strings that are mostly words.
+    False: placeholders, numbers alone, and strings that are mostly words, but for quoted
+    values without blanks of secrets' names: they may be passphrases.
     """
     f = dict(zip(FEATURES, features, strict=True))
-    if f["placeholder"] or f["coverage"] > 0.6 or not re.search("[A-Za-z]", value):
+    named = f["secret_name"] and f["quoted"] and not re.search(r"\s", value)
+    if f["placeholder"] or (f["coverage"] > 0.6 and not named) or not re.search("[A-Za-z]", value):
         return 0
-    if f["issued"] or (f["secret_name"] and f["coverage"] < 0.3 and f["distinct"] * len(value) >= 8):
+    keyed = f["quoted"] or re.search("[0-9]|[a-z][A-Z]", value)
+    if f["issued"] or (f["secret_name"] and keyed and f["coverage"] < 0.3
+                       and f["distinct"] * len(value) >= 8):
         return 1
+    if named:
+        return None
     if re.fullmatch(r"[0-9./:+-]*", value) or value.count(".") > 2 or "@" in value:
         return 0
     return None
@@ -170,15 +219,12 @@ def _find(docs: DataFrame, id_col: str, text_col: str, path_col: str | None) ->
             at, out = [], []
             for n, text in enumerate(b.column("text")):
                 text = text.as_py() or ""
-                for m in _CANDIDATE.finditer(text):
-                    value = m[0].rstrip(".=-")
-                    if len(value) < 16:
-                        continue
-                    start, end = m.start(), m.start() + len(value)
+                for start, value, kind in candidates(text):
+                    end = start + len(value)
                     f = _measure(value, text[max(0, start - CONTEXT):start], text[end:end + CONTEXT],
-                                 m.lastgroup, start / len(text), table, known)
+                                 kind, start / len(text), table, known)
                     at.append(n)
-                    out.append((start, end, value, m.lastgroup, f, rule_label(f, value)))
+                    out.append((start, end, value, kind, f, rule_label(f, value)))
             take = pa.array(at, pa.int32())
             cols = list(zip(*out, strict=True)) if out else [[]] * 6
             ids = b.column("id").take(take)

@@ -359,6 +359,35 @@ def test_secrets_learn_from_findings(spark):
     assert len(got) == 200 and all(got[i] == (i % 2 == 1) for i in range(150, 200))
 
 
+def test_short_and_punctuated_secrets(spark):
+    """Assigned values of any length and marks are candidates, and are told from prose and numbers."""
+    import random
+
+    rng = random.Random(7)
+    lines = ['password = "hunter2x9"', 'pwd="Tr0ub4dor"', 'db_password: "P@ssw0rd!2024#xyzzy"',
+             'secret = "correcthorsebatterystaple"', "'api-key' => 'a b!c?d9$e'",
+             '{"passwd":x9!k}', 'token: str = "q7;W-r"', 'auth = "ghp_' + "a1B2" * 9 + '"']
+    values = ["hunter2x9", "Tr0ub4dor", "P@ssw0rd!2024#xyzzy", "correcthorsebatterystaple",
+              "a b!c?d9$e", "x9!k", "q7;W-r", "ghp_" + "a1B2" * 9]
+    for line, value in zip(lines, values, strict=True):
+        found = secret_scan.candidates(line)
+        assert [v for _, v, _ in found] == ["str"] * ("str =" in line) + [value]
+        assert all(line[a:a + len(v)] == v for a, v, _ in found)
+    assert not secret_scan.candidates("The author: nobody. A = b, time: 12:30, no == yes")
+    words = "the house and river stand under green hills while people walk home".split()
+    rows = []
+    for i in range(240):
+        prose = " ".join(rng.choices(words, k=12))
+        value = "".join(rng.choices("abcdefghjkmnpqrstuvwxyz23456789!#$%", k=rng.randint(8, 14)))
+        rows.append((i, f'{prose} password = "{value}" {prose}' if i % 2 else
+                     f"{prose} password: {rng.choice(words)} {prose}", "s"))
+    rows += [(1000 + i, f"{words[i]} {x} {words[i]}", "s") for i, x in enumerate(lines[:4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in secret_scan.scan(docs).collect()}
+    assert all(got[i].secret == bool(i % 2) for i in range(240))
+    assert [(got[1000 + i].value, got[1000 + i].secret) for i in range(4)] == [(v, True) for v in values[:4]]
+
+
 def test_secrets_awkward(awkward, no_docs):
     got = secret_scan.scan(awkward).collect()
     assert {r.doc_id for r in got} <= {4, 5, 6}
