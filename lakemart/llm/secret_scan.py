@@ -29,8 +29,8 @@ from lakemart.llm.common import map_arrow, stage
 #: Labelled findings of each class that the forest is fitted on, about; all if there are fewer.
 FIT_ROWS = 5000
 TREES, DEPTH, SEED = 40, 8, 17
-#: Rows whose words make the transition table and the dictionary, about; all if fewer.
-WORD_ROWS = 20_000
+#: Distinct words that a task counts before it hands the counts on.
+TASK_WORDS = 200_000
 #: Words in the dictionary: the most frequent.
 DICTIONARY = 20_000
 #: Characters of context on each side.
@@ -59,6 +59,7 @@ _VALUE = re.compile(r"\s{0,3}(?:\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)'|`
 _OPENS = {")": "(", "]": "[", "}": "{", ">": "<"}
 _ASSIGNED = re.compile(r"([A-Za-z][A-Za-z_.-]{0,40})[\"']?\s{0,3}(?:=|:|=>|:=)\s{0,3}[\"']?\Z")
 _WORD = re.compile(r"[^\W\d_]+")
+_PAIR = re.compile(r"(?=([a-z]{2}))")
 FEATURES = ("length", "digits", "upper", "lower", "marks", "hex", "distinct", "entropy",
             "transitions", "coverage", "longest_word", "switches", "assigned", "secret_name",
             "quoted", "placeholder", "issued", "position", "source_findings", "near_known",
@@ -66,37 +67,38 @@ FEATURES = ("length", "digits", "upper", "lower", "marks", "hex", "distinct", "e
 _SHIFT = 96  # character classes of the transition table: ASCII from 32 on
 
 
-def _draw(docs: DataFrame, rows: int) -> DataFrame:
-    """About ``rows`` rows by a hash of the text."""
-    n = docs.count()
-    share = min(1.0, rows / n) if n else 1.0
-    return docs.where(F.pmod(F.xxhash64("text", F.lit("words")), F.lit(1 << 20)) < share * (1 << 20))
-
-
 def _language(docs: DataFrame) -> tuple[np.ndarray, frozenset[str]]:
     """Log-probabilities of ASCII character transitions in words, and the frequent words.
 
-    From a bounded sample of texts; at most a table of 96 x 96 and :data:`DICTIONARY`
-    words come to the driver.
+    Over all texts, counted in each task first; at most a table of 26 x 26 and
+    :data:`DICTIONARY` words come to the driver.
     """
+    def counted(seen: Counter) -> pa.RecordBatch:
+        pairs: Counter = Counter()
+        for word, n in seen.items():
+            for pair in _PAIR.findall(word):
+                pairs[pair] += n
+        return pa.RecordBatch.from_arrays(
+            [pa.array([False] * len(seen) + [True] * len(pairs), pa.bool_()),
+             pa.array([*seen, *pairs], pa.string()),
+             pa.array([*seen.values(), *pairs.values()], pa.int64())], ["pair", "word", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
         for b in batches:
-            seen: Counter = Counter()
             for text in b.column("text"):
                 seen.update(_WORD.findall((text.as_py() or "").lower()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-                ["word", "n"])
-
-    words = stage(map_arrow(_draw(docs.select("text"), WORD_ROWS), run, "word string, n long")
-                  .groupBy("word").agg(F.sum("n").alias("n")), "secret-words")
-    pairs = (words.where("length(word) > 1").select("n", F.explode(F.transform(
-        F.sequence(F.lit(1), F.length("word") - 1),
-        lambda i: F.col("word").substr(i, F.lit(2)))).alias("pair"))
-        .where(F.col("pair").rlike("^[a-z]{2}$")).groupBy("pair").agg(F.sum("n").alias("n")))
+                if len(seen) >= TASK_WORDS:
+                    yield counted(seen)
+                    seen.clear()
+        yield counted(seen)
+
+    tally = stage(map_arrow(docs.select("text"), run, "pair boolean, word string, n long")
+                  .groupBy("pair", "word").agg(F.sum("n").alias("n")), "secret-words")
+    words, pairs = tally.where("not pair"), tally.where("pair")
     counts = np.full((_SHIFT, _SHIFT), 0.5)
     for r in pairs.collect():  # at most 26 x 26
-        counts[ord(r.pair[0]) - 32, ord(r.pair[1]) - 32] += r.n
+        counts[ord(r.word[0]) - 32, ord(r.word[1]) - 32] += r.n
     table = np.log(counts / counts.sum(axis=1, keepdims=True))
     top = words.where("length(word) >= 3").orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()
     return table, frozenset(r.word for r in top)
@@ -250,7 +252,7 @@ def _fit(labelled: DataFrame, fit_rows: int) -> RandomForestClassificationModel
     n = {r.label: r.n for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return None
-    draw = F.pmod(F.xxhash64("value", "start", F.lit("forest")), F.lit(1 << 20))
+    draw = F.pmod(F.xxhash64("id", "start", "value", F.lit("forest")), F.lit(1 << 20))
     share = F.when(F.col("label") == 1, fit_rows / n[1]).otherwise(fit_rows / n[0])
     drawn = stage(labelled.where(draw < share * (1 << 20)).select(
         F.col("label").cast("double").alias("label"),

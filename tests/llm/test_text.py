@@ -388,6 +388,28 @@ def test_short_and_punctuated_secrets(spark):
     assert [(got[1000 + i].value, got[1000 + i].secret) for i in range(4)] == [(v, True) for v in values[:4]]
 
 
+def test_secret_statistics_cover_all_texts(spark, monkeypatch):
+    """Words of single texts among many copies count, and copies don't enter the fit as one."""
+    import math
+
+    monkeypatch.setattr(secret_scan, "TASK_WORDS", 3)
+    rare = [f"rare{chr(97 + i)}{chr(97 + i)}z" for i in range(20)]
+    docs = spark.createDataFrame([(x,) for x in rare], "text string").unionByName(
+        spark.range(60_000).selectExpr("'ox hill' as text"))
+    table, known = secret_scan._language(docs)
+    assert known == {"hill", *rare}
+    after_i = 60_000 + 2 + 0.5 * 96  # pairs of hill, rareiiz, and the prior
+    assert math.isclose(table[ord("i") - 32, ord("l") - 32], math.log(60_000.5 / after_i))
+    labelled = spark.range(4000).selectExpr(
+        "id", "0 as start", "if(id % 2 = 0, 'one copy', 'another') as value", "int(id % 2) as label",
+        "transform(sequence(1, 21), x -> double(id % 2)) as features")
+    drawn = []
+    monkeypatch.setattr(secret_scan, "stage", lambda df, name: drawn.append(df.cache()) or drawn[-1])
+    assert secret_scan._fit(labelled, 200) is not None
+    n = {r.label: r["count"] for r in drawn[0].groupBy("label").count().collect()}
+    assert all(120 < n[x] < 280 for x in (0.0, 1.0))
+
+
 def test_secrets_awkward(awkward, no_docs):
     got = secret_scan.scan(awkward).collect()
     assert {r.doc_id for r in got} <= {4, 5, 6}
