@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakemart.llm import (
+    alignment,
+    curve_search,
     decontaminate,
     exact_dedup,
     html_text,
@@ -17,16 +20,17 @@ from lakemart.llm import (
     pii,
     secret_scan,
     toxicity,
+    vector_codes,
 )
 from lakemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,9 +76,24 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_curve_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return curve_search.search(vectors.where(F.col("vec_id") % 20 == 0), vectors)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), tokenizer_path(),
+                               tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_language_id, op2_packing, op3_html_text, op4_ngram_join, op5_decontamination,
-    op6_toxicity, op7_exact_dedup, op8_line_dedup, op9_pii, op10_secrets)}
+    op6_toxicity, op7_exact_dedup, op8_line_dedup, op9_pii, op10_secrets, op11_curve_search,
+    op12_vector_codes, op13_token_alignment)}
 
 SQL: dict[str, str] = {}
 
@@ -89,3 +108,5 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM texts
 WINDOW same AS (PARTITION BY norm)
 """
+
+SQL["op12_vector_codes"] = vector_codes.sql()
