@@ -7,7 +7,8 @@ their place on a Hilbert curve through the grid.  Spark range-partitions and sor
 places of all curves at once; a candidate's rank on a curve gives it a block of ``BLOCK`` neighbours, and a query
 meets the blocks around its own place.  Blocks hold equally many candidates whatever the data, since
 equal vectors are one candidate, so no block can be hot.  Products are taken on the original vectors, the
-lists of all blocks and curves are merged, and only the best are kept between passes.
+lists of all blocks and curves are merged, and only the best are kept between passes; what
+is worse than a query's best so far (at first, among the fitting vectors) doesn't leave its task.
 
 How many blocks a query meets is fitted, not fixed: for a bounded sample of queries the true neighbours are found by
 brute force, and the narrowest window that holds ``RECALL`` of them is used for all.  Clustered vectors
@@ -298,17 +299,28 @@ def fit_window(queries: DataFrame, base: DataFrame, dim: int, k: int, recall: fl
     return max(1, int(np.sort(gaps)[min(len(gaps) - 1, int(np.ceil(recall * len(gaps))) - 1)]))
 
 
+def _first(queries: DataFrame, ids: np.ndarray, x: np.ndarray, dim: int, k: int) -> DataFrame:
+    """Hits among the fitting vectors, which every task holds: they give each query a first floor."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, 512):
+                part = b.slice(i, 512)
+                own, q = part.column("id").to_numpy(), _unpacked(part.column("vec"), dim)
+                row, found, score = _best(x, ids, q, np.full(len(q), -np.inf), k)
+                if len(row):
+                    yield _hits(own[row], found, score)
+
+    return map_arrow(queries.select("id", "vec"), work, _HITS)
+
+
 def _pass(queries: DataFrame, base: DataFrame, curves: range, window: int, dim: int, k: int,
-          floors: DataFrame | None) -> DataFrame:
-    """Hits of the blocks around every query on some curves."""
+          floors: DataFrame) -> DataFrame:
+    """Hits of the blocks around every query on some curves, none below the query's floor."""
     at = F.explode(F.array(*[F.struct(F.lit(c).alias("curve"), F.col("blocks")[c].alias("block"))
                              for c in curves])).alias("at")
     cand = base.select("id", "vec", at).select("at.curve", "at.block", F.lit(0).alias("query"), "id", "vec",
                                                F.lit(0.0).alias("floor"))
-    if floors is not None:
-        queries = queries.join(floors, F.col("id") == F.col("query_id"), "left").drop("query_id")
-    else:
-        queries = queries.withColumn("floor", F.lit(None).cast("double"))
+    queries = queries.join(floors, F.col("id") == F.col("query_id"), "left").drop("query_id")
     met = queries.select("id", "vec", "floor", at).select(
         "at.curve", F.explode(F.sequence(F.greatest(F.col("at.block") - window, F.lit(0)),
                                          F.col("at.block") + window)).alias("block"),
@@ -340,19 +352,20 @@ def search(queries: DataFrame, base: DataFrame, k: int = 20, id_col: str = "vec_
     if top is None:
         return spark.createDataFrame([], schema)
     query0 = _classes(queries, dim, 1, "curves-queries")
-    fit = base0.orderBy("h1", "h2").limit(FIT_VECTORS).select("vec").collect()
-    curves = Curves(np.array([np.frombuffer(r.vec) for r in fit]), float(np.sqrt(top)))
+    fit = base0.orderBy("h1", "h2").limit(FIT_VECTORS).select("id", "vec").collect()
+    fit_ids, fit = np.array([r.id for r in fit]), np.array([np.frombuffer(r.vec) for r in fit])
+    curves = Curves(fit, float(np.sqrt(top)))
     blocks = stage(_blocks(_places(base0, curves, dim, 0).unionByName(
         _places(query0, curves, dim, 1))), "curves-blocks")
     placed = [stage(c.select("id", "vec").join(blocks.where(F.col("query") == kind).drop("query"), "id"),
                     f"curves-placed-{kind}") for kind, c in enumerate((base0, query0))]
     window = fit_window(placed[1], placed[0], dim, k, recall)
-    found = floors = None
+    found = stage(_merged(_first(placed[1], fit_ids, fit, dim, n), n), "curves-found")
     for c in range(0, CURVES, CURVES_A_PASS):
-        hits = _pass(placed[1], placed[0], range(c, min(c + CURVES_A_PASS, CURVES)), window, dim, n, floors)
-        found = stage(_merged(hits if found is None else hits.unionByName(found), n), "curves-found")
         floors = found.groupBy("query_id").agg(
             F.when(F.count("*") == n, F.min("score")).alias("floor"))
+        hits = _pass(placed[1], placed[0], range(c, min(c + CURVES_A_PASS, CURVES)), window, dim, n, floors)
+        found = stage(_merged(hits.unionByName(found), n), "curves-found")
     # classes back to ids: the best n classes hold the best n ids
     many = base0.where(F.size("ids") > 1).select("id", "ids")
     ids = (found.join(many, "id", "left")
