@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from lakemart.llm import alignment
+from lakemart.llm import alignment, byte_bpe
 from lakemart.llm.queries import tokenizer_path
 
 A, B = tokenizer_path(), tokenizer_path("piece_bpe_32k.model")
@@ -21,7 +21,7 @@ def plain():
     a = Tokenizer.from_file(A)
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=B)
-    byte = {c: i for c, i in alignment._byte_alphabet().items()}
+    byte = {c: i for c, i in byte_bpe.byte_alphabet().items()}
 
     def spans(ids, raws, whole):
         if b"".join(raws) != whole:
@@ -130,3 +130,20 @@ def test_group_links():
     at_a, at_b = alignment.group_links(np.array([2, 1]), np.array([1, 2]))
     assert list(zip(at_a.tolist(), at_b.tolist(), strict=True)) == [(0, 0), (1, 0), (2, 1), (2, 2)]
     assert alignment.group_link_counts(np.array([2, 1]), np.array([1, 2])).tolist() == [1, 1, 2]
+
+
+def test_byte_bpe_gives_the_ids_of_the_tokenizers_library():
+    """Every character of Unicode in several places, added tokens, long runs."""
+    from tokenizers import Tokenizer
+
+    fast, raw = byte_bpe.load(A)
+    slow = Tokenizer.from_file(A)
+    assert raw[slow.token_to_id("Ġthe")] == b" the"
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    texts = [f"a{c}b 1{c}2 !{c}? {c}{c} x \n{c} {c}'s" for c in chars]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|>\n\n<|endoftext|>x", "", "x" * 200_000,
+              "x1-" * 40_000, " " * 100_000, "\n" * 3000 + "a", "a  b \t\td \n e", "é" * 50_000]
+    for i in range(0, len(texts), 1 << 16):
+        some = texts[i:i + (1 << 16)]
+        for t, e in zip(some, slow.encode_batch_fast(some, add_special_tokens=False), strict=True):
+            assert fast.encode(t, allowed_special="all") == e.ids
