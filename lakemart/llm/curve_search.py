@@ -33,7 +33,7 @@ CURVES, DIRECTIONS, BITS = 8, 6, 10
 #: Candidates of a block.
 BLOCK = 1024
 #: Curves that are followed in one pass over the vectors: bounds what is shuffled at once.
-CURVES_A_PASS = 2
+CURVES_A_PASS = 4
 #: Vectors that the grid's scale is fitted on, and queries that the window is fitted on.
 FIT_VECTORS, FIT_QUERIES = 4096, 256
 #: Share of the true neighbours of the fitting queries that the windows have to hold.
@@ -109,8 +109,9 @@ class Curves:
 
 def _rows_of(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, vec) of the rows that take part."""
+    single = df.schema[vec_col].dataType.elementType == T.FloatType()
     rows = df.select(F.col(id_col).cast("long").alias("id"),
-                     F.col(vec_col).cast("array<double>").alias("vec"))
+                     F.col(vec_col).cast("array<float>" if single else "array<double>").alias("vec"))
     return rows.where(F.col("id").isNotNull() & finite("vec") & F.exists("vec", lambda x: x != 0))
 
 
@@ -130,20 +131,26 @@ def _classes(rows: DataFrame, dim: int, keep: int, name: str) -> DataFrame:
         F.min("id").alias("id"), F.array_sort(F.collect_set("id")).alias("ids"),
         F.any_value("vec").alias("vec"))
 
+    kind = "<f4" if rows.schema["vec"].dataType.elementType == T.FloatType() else "<f8"
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = matrix(b.column("vec"), dim)
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in ("h1", "h2", "id", "ids")),
-                 pa.array([r.tobytes() for r in x], pa.binary()), pa.array((x * x).sum(axis=1))],
+                 pa.array([r.tobytes() for r in x.astype(kind)], pa.binary()),
+                 pa.array((x * x).sum(axis=1))],
                 ["h1", "h2", "id", "ids", "vec", "norm2"])
 
     return stage(map_arrow(classes, pack, "h1 long, h2 long, id long, ids array<long>, vec binary, "
                                           "norm2 double"), name)
 
 
-def _unpacked(column: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(v.as_py() for v in column), np.float64).reshape(len(column), dim)
+def _unpacked(column, dim: int) -> np.ndarray:
+    """Packed vectors, all single or all double precision, as rows of doubles."""
+    raw = [v if isinstance(v, (bytes, bytearray)) else v.as_py() for v in column]
+    kind = "<f4" if raw and len(raw[0]) == 4 * dim else "<f8"
+    return np.frombuffer(b"".join(raw), kind).astype(np.float64).reshape(len(raw), dim)
 
 
 def _places(classes: DataFrame, curves: Curves, dim: int, query: int) -> DataFrame:
@@ -266,9 +273,10 @@ def _meet(dim: int, k: int):
 
 
 def _merged(hits: DataFrame, k: int) -> DataFrame:
+    # a pair has one score, so its repeats share a rank
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (hits.dropDuplicates(["query_id", "id"]).withColumn("n", F.row_number().over(order))
-            .where(F.col("n") <= k).drop("n"))
+    return (hits.withColumn("n", F.dense_rank().over(order)).where(F.col("n") <= k).drop("n")
+            .dropDuplicates(["query_id", "id"]))
 
 
 def fit_window(queries: DataFrame, base: DataFrame, dim: int, k: int, recall: float = RECALL) -> int:
@@ -276,7 +284,7 @@ def fit_window(queries: DataFrame, base: DataFrame, dim: int, k: int, recall: fl
     queries: the ``FIT_QUERIES`` smallest by a hash of their id, against all candidates."""
     chosen = (queries.orderBy(F.xxhash64("id"), "id").limit(FIT_QUERIES)
               .select("id", "vec", "blocks").collect())
-    q = np.array([np.frombuffer(r.vec) for r in chosen]).reshape(len(chosen), dim)
+    q = _unpacked([r.vec for r in chosen], dim)
     own = np.array([r.id for r in chosen], np.int64)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,6 +352,8 @@ def search(queries: DataFrame, base: DataFrame, k: int = 20, id_col: str = "vec_
     spark = base.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
     base, queries = _rows_of(base, id_col, vec_col), _rows_of(queries, id_col, vec_col)
+    if base.schema["vec"] != queries.schema["vec"]:
+        base, queries = (c.withColumn("vec", F.col("vec").cast("array<double>")) for c in (base, queries))
     dim = common_length(base, "vec")
     queries = queries.where(F.size("vec") == dim)
     n = k + 1 if exclude_self else k  # a query's own id may be among the best
@@ -353,7 +363,7 @@ def search(queries: DataFrame, base: DataFrame, k: int = 20, id_col: str = "vec_
         return spark.createDataFrame([], schema)
     query0 = _classes(queries, dim, 1, "curves-queries")
     fit = base0.orderBy("h1", "h2").limit(FIT_VECTORS).select("id", "vec").collect()
-    fit_ids, fit = np.array([r.id for r in fit]), np.array([np.frombuffer(r.vec) for r in fit])
+    fit_ids, fit = np.array([r.id for r in fit]), _unpacked([r.vec for r in fit], dim)
     curves = Curves(fit, float(np.sqrt(top)))
     blocks = stage(_blocks(_places(base0, curves, dim, 0).unionByName(
         _places(query0, curves, dim, 1))), "curves-blocks")
