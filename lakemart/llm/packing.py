@@ -16,10 +16,8 @@ Documents are packed where they are read: no shuffle, and a task holds one group
 from __future__ import annotations
 
 import heapq
-import os
-import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.llm import byte_bpe
 from lakemart.llm.common import map_arrow
 
 WINDOW = 1024
 #: Windows packed together, and ids left free in each of them on average.
 GROUP, SLACK = 64, 12
-#: Words of a generation of a worker's cache (about 200 bytes each; there are two generations).
-CACHE_WORDS = 600_000
-#: Texts that are encoded together.
-TOGETHER = 64
-#: Longer words are encoded each time.
-CACHE_CHARS = 48
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 _FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -45,89 +38,14 @@ _ARROW = pa.schema([(f, pa.int64()) for f in _FIELDS])
 _WIDTH = 4  # bytes of an id
 
 
-class WordTokenizer:
-    """Token ids (little-endian unsigned 32-bit) of whole texts through a cache by word.
-
-    The byte-level pre-tokenizer never puts a blank that follows a non-blank
-    into one token with it, so a text may be cut before each such blank and the
-    parts encoded apart; likewise between letters and the punctuation after them.  A
-    text with other white space next to a blank is cut only where that holds.
-    Two generations of words are kept; what is not used while the young one fills up goes.
-    """
-
-    _cut = re.compile(r"(?<=\S)(?= )")
-    #: White space but blank and line feed: a text with one of these is cut with care.
-    _rare = [c for c in map(chr, [*range(9), *range(11, 0x3001)]) if c.isspace() and c != " "]
-    #: Letters that all Unicode versions agree on, and punctuation that parts from them.
-    _word = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?|:;*#$%&]+)")
+class TextTokenizer:
+    """Token ids (little-endian unsigned 32-bit) of whole texts, added tokens' strings as their ids."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._encoder = Tokenizer.from_file(path)
-        self._encoder.encode_special_tokens = True
-        self._young: dict[str, bytes] = {}  # of words after a blank, without it
-        self._old: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for i in range(0, len(texts), 4096):
-            found = self._encoder.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)
-            out += [np.array(e.ids, "<u4").tobytes() for e in found]
-        return out
-
-    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Ids of words after a blank, from the old generation or the encoder."""
-        out, stems, ends = {}, {}, {}
-        for w in words:
-            if (ids := self._old.get(w)) is not None:
-                out[w] = ids
-            elif len(w) <= CACHE_CHARS and (m := self._word.fullmatch(w)):
-                stem, end = m.groups()
-                stems[stem] = self._young.get(stem) or self._old.get(stem) or out.get(stem)
-                ends[end] = None
-                out[w] = (stem, end)
-            else:
-                out[w] = None
-        new = [w for w, ids in out.items() if ids is None]
-        new_stems = [w for w, ids in stems.items() if ids is None and w not in out]
-        marks = list(ends)
-        ids = self._encode([*(" " + w for w in new), *(" " + w for w in new_stems), *marks])
-        out.update(zip(new, ids, strict=False))
-        stems.update(zip(new_stems, ids[len(new):], strict=False))
-        ends.update(zip(marks, ids[len(new) + len(new_stems):], strict=False))
-        for w, found in out.items():
-            if isinstance(found, tuple):
-                stem = stems[found[0]]
-                out[w] = (out[found[0]] if stem is None else stem) + ends[found[1]]
-        if len(self._young) + len(out) + len(stems) > CACHE_WORDS:
-            self._old, self._young = self._young, {}
-        self._young.update((w, i) for w, i in out.items() if len(w) <= CACHE_CHARS)
-        self._young.update((w, i) for w, i in stems.items() if i is not None)
-        return out
-
-    def _parts(self, text: str) -> tuple[str, list[str]]:
-        """The text's first part, and the others without the blank that they begin with."""
-        if "  " in text or " \n" in text or "\n " in text or any(c in text for c in self._rare):
-            parts = self._cut.split(text)
-            return parts[0], [p[1:] for p in parts[1:]]
-        first, *rest = text.split(" ")
-        return (first, rest) if first or not rest else (" " + rest[0], rest[1:])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [self._parts(t) for t in texts]
-        firsts = iter(self._encode([f for f, _ in parts if f]))
-        ids = [list(map(self._young.get, rest)) for _, rest in parts]
-        missing = {p for (_, rest), found in zip(parts, ids, strict=True) if None in found
-                   for p, i in zip(rest, found, strict=True) if i is None}
-        learned = self._learn(missing) if missing else {}
-        out = []
-        for (first, rest), found in zip(parts, ids, strict=True):
-            if None in found:
-                found = [learned[p] if i is None else i for p, i in zip(rest, found, strict=True)]
-            out.append((next(firsts) if first else b"") + b"".join(found))
-        return out
+        self._encoding, _ = byte_bpe.load(path)
+
+    def encode(self, text: str) -> bytes:
+        return np.asarray(self._encoding.encode_to_numpy(text, allowed_special="all"), "<u4").tobytes()
 
 
 def difference(sizes: list[int], k: int) -> tuple[np.ndarray, list[tuple]]:
@@ -254,11 +172,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
                                               schema=_ARROW)
 
         for b in batches:
-            ids = b.column("id").to_pylist()
-            for i in range(0, b.num_rows, TOGETHER):
-                texts = [t.as_py() or "" for t in b.column("text").slice(i, TOGETHER)]
-                for doc_id, found in zip(ids[i:i + TOGETHER], tokenizer.encode(texts), strict=True):
-                    packer.add(doc_id, found + end)
+            for doc_id, text in zip(b.column("id").to_pylist(), b.column("text"), strict=True):
+                packer.add(doc_id, tokenizer.encode(text.as_py() or "") + end)
                 if len(packer.rows) >= 20_000:
                     yield rows()
         packer.finish()
@@ -268,11 +183,11 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     return map_arrow(rows, run, SCHEMA)
 
 
-_LOADED: dict[str, WordTokenizer] = {}
+_LOADED: dict[str, TextTokenizer] = {}
 
 
-def _tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer, with its cache, for each Python worker."""
+def _tokenizer(path: str) -> TextTokenizer:
+    """One tokenizer for each Python worker."""
     if path not in _LOADED:
-        _LOADED[path] = WordTokenizer(path)
+        _LOADED[path] = TextTokenizer(path)
     return _LOADED[path]

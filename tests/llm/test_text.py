@@ -77,7 +77,6 @@ def check_pieces(df):
     from tokenizers import Tokenizer
 
     encoder = Tokenizer.from_file(tokenizer_path())
-    encoder.encode_special_tokens = True
     rows, pieces = df.collect(), packing.pack(df, tokenizer_path()).collect()
     want = Counter((r.doc_id, tuple(encoder.encode(r.text or "", add_special_tokens=False).ids) + (0,))
                    for r in rows)
@@ -121,32 +120,20 @@ def test_packing_awkward(awkward, no_docs):
     assert packing.pack(no_docs, tokenizer_path()).count() == 0
 
 
-def test_tokenizing_by_words_is_exact():
-    from tokenizers import Tokenizer
+def test_packing_of_added_tokens(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext", "it's we'll  x\x1c y\x85 z\n\n a \n"]
+    check_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
 
-    encoder = Tokenizer.from_file(tokenizer_path())
-    encoder.encode_special_tokens = True
-    mine = packing.WordTokenizer(tokenizer_path())
-    texts = ["", " ", "a", " a  b ", "a\n b\t\tc", "it's we'll <|endoftext|> x", "é à ü  z",
-             "x\x1c y\x85 z", "\n\n a \n", "1 22 333 4,5!? --  ...", "\U0001f600 ​ q", "a" * 500]
-    texts += [" a, b. c", "  ", "\n", "a,", "Éa!! a!! a a!!! l'a, a's. x,y 1, _a, a_,", " \xa0a, a,"]
-    for some in ([t] for t in texts), (texts, texts[::-1]):
-        for group in some:
-            for t, ids in zip(group, mine.encode(group), strict=True):
-                want = encoder.encode(t, add_special_tokens=False).ids
-                assert np.frombuffer(ids, "<u4").tolist() == want, repr(t)
-
-
-def test_tokenizing_survives_a_full_cache(monkeypatch, corpus):
+
+def test_tokenizing_is_exact(corpus):
     from tokenizers import Tokenizer
 
-    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
-    encoder = Tokenizer.from_file(tokenizer_path())
-    mine = packing.WordTokenizer(tokenizer_path())
-    for i in range(0, 60, 7):
-        texts = [r.text for r in corpus[i:i + 7]]
-        for t, ids in zip(texts, mine.encode(texts), strict=True):
-            assert np.frombuffer(ids, "<u4").tolist() == encoder.encode(t, add_special_tokens=False).ids
+    encoder, mine = Tokenizer.from_file(tokenizer_path()), packing.TextTokenizer(tokenizer_path())
+    texts = ["", " ", "a", " a  b ", "a\n b\t\tc", "it's we'll <|endoftext|> x", "é à ü  z", "a" * 5000,
+             "x\x1c y\x85 z", "\n\n a \n", "1 22 333 4,5!? --  ...", "\U0001f600 ​ q", *(r.text for r in corpus)]
+    for t in texts:
+        want = encoder.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(mine.encode(t), "<u4").tolist() == want, repr(t)
 
 
 def test_differencing():
