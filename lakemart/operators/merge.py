@@ -1,11 +1,10 @@
 """Incremental materialisation: high watermark, keyed upsert, schema sync.
 
 A fact table is a directory of parquet files, optionally partitioned (e.g. by
-purchase month), with its declared schema in ``_schema.json`` beside them.  An upsert
+purchase month), with its state (declared schema, watermarks) beside them.  An upsert
 reads only the partitions the increment touches -- those its rows belong to and those
-that hold its keys now -- replaces matched keys and writes the merged partitions back
-with a dynamic partition overwrite, which swaps exactly those partitions in at job
-commit.  The increment itself is staged on shared storage first (computed once; a
+that hold its keys now -- replaces matched keys and puts the merged partitions in the
+place of the old ones by a commit that can be replayed (:mod:`lakemart.operators.commit`).  The increment itself is staged on shared storage first (computed once; a
 lineage cut that survives executor loss).  Untouched partitions are never rewritten:
 columns that came or went are a matter of the declared schema.
 """
@@ -13,13 +12,13 @@ columns that came or went are a matter of the declared schema.
 from __future__ import annotations
 
 import datetime as dt
-import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
+from lakemart.operators import commit
 from lakemart.operators.dedupe import latest_per_key
 from lakemart.session import remove_path, scratch_path
 
@@ -131,46 +130,35 @@ def partitioned_writer(df: DataFrame, partition_cols: Sequence[str]):
     return df.hint("rebalance", *partition_cols).write.partitionBy(*partition_cols)
 
 
-_SCHEMA_FILE = "_schema.json"
-
-
-def _declare(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Write the table's declared schema (files with a leading underscore are not data)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/{_SCHEMA_FILE}")
-    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
-    try:
-        out.write(bytearray(schema.json(), "utf-8"))
-    finally:
-        out.close()
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by :func:`upsert_table`, with its declared columns: those that older files
+    lack are NULL, those that were removed are not read.  It may have no rows."""
+    state = commit.read_state(spark, path)
+    if state is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(state.schema).parquet(path)
 
 
-def _declared(spark: SparkSession, path: str) -> StructType | None:
-    if not table_exists(spark, f"{path}/{_SCHEMA_FILE}"):
-        return None
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/{_SCHEMA_FILE}")
-    read = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
-    try:
-        text = jvm.org.apache.commons.io.IOUtils.toString(read, "UTF-8")
-    finally:
-        read.close()
-    return StructType.fromJson(json.loads(text))
+def create_table(spark: SparkSession, path: str, schema: StructType) -> None:
+    """A table with declared columns and no rows (nothing happens if there is one)."""
+    commit.recover(spark, path)
+    if not commit.exists(spark, path):
+        commit.declare(spark, path, commit.State(schema))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table written by :func:`upsert_table`, with its declared columns: those that older files
-    lack are NULL, those that were removed are not read.
+def table_watermark(spark: SparkSession, path: str, col: str = "_loaded_at",
+                    default: dt.datetime = EPOCH_DEFAULT) -> dt.datetime:
+    """:func:`high_watermark` of the table at ``path`` from its state: reads no data.
 
-    All files agree on the type of a column that they share, so a file's own types go before the
-    declared ones: a run that ended between its commit and its declaration does no harm."""
-    schema = _declared(spark, path)
-    if schema is None:
-        return spark.read.parquet(path)
-    own = {f.name: f.dataType for f in
-           spark.read.option("recursiveFileLookup", True).parquet(path).schema.fields}
-    schema = StructType([StructField(f.name, own.get(f.name, f.dataType)) for f in schema.fields])
-    return spark.read.schema(schema).parquet(path)
+    Only a table whose commits kept another column, or none, is scanned.  A table that isn't
+    there has the default."""
+    if not commit.exists(spark, path):
+        return default
+    state = commit.read_state(spark, path)
+    if state is None or state.order_col != col:
+        return high_watermark(read_table(spark, path), col, default)
+    found = state.watermark()
+    return default if found is None else found
 
 
 def _key_partitions(target: DataFrame, src: DataFrame, keys: Sequence[str],
@@ -181,51 +169,50 @@ def _key_partitions(target: DataFrame, src: DataFrame, keys: Sequence[str],
     return [tuple(r) for r in held.select(*partition_cols).distinct().collect()]
 
 
-def _partition_folders(target: DataFrame, partition_cols: Sequence[str]) -> dict[tuple, str]:
-    """Partition values -> folder."""
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
-    rows = target.groupBy(*partition_cols).agg(F.min(folder).alias("__folder")).collect()
-    return {tuple(r)[:-1]: r["__folder"] for r in rows}
-
-
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
-                 partition_cols: Sequence[str] = (), order_col: str = "_loaded_at") -> dict:
+                 partition_cols: Sequence[str] = (), order_col: str = "_loaded_at",
+                 after_step: Callable[[str], None] | None = None) -> dict:
     """Merge ``source`` into the parquet table at ``path``; create it on the first run.
 
-    The first run writes the build as is (like CREATE TABLE AS SELECT).  Later
-    runs merge by ``keys``:
+    The first run writes the build as is (like CREATE TABLE AS SELECT; without rows it makes an empty
+    table).  Later runs merge by ``keys``:
       1. the increment is computed once and staged on shared storage;
       2. the touched partitions are those its rows belong to and those that hold
          its keys now, since a key may have moved (one value per partition, bounded by the
          partition count, not the data; the second is a semi-join on keys alone);
-      3. only those partitions of the table are read (partition pruning),
-         merged, and written back by a dynamic partition overwrite, which
-         swaps exactly those partitions in at job commit; a partition that all its rows
-         left is removed after that.
+      3. only those partitions of the table are read (partition pruning), merged and written
+         beside the table, and then replaced in one commit that a crash can't leave half done (see
+         :mod:`lakemart.operators.commit`); a partition that all its rows left is removed in it.
     Columns that came or went need no rewrite (see :func:`read_table`).  If a type changed
     under an unchanged name every partition is rewritten in one commit; when a value
     would not survive that, :class:`SchemaChangeError` is raised and nothing changes.
-    A run that failed can be run again.  Returns a small report.
+    A run that failed, at whatever point, can be run again, or be followed by the next one.
+    ``after_step`` is called with the name of each step of the commit.  Returns a small report.
     """
     spark = source.sparkSession
     partition_cols = list(partition_cols)
-    writer = lambda df: partitioned_writer(df, partition_cols)
-    _finish_swap(spark, path)
-    if not table_exists(spark, path):
-        writer(source).mode("errorifexists").parquet(path)
-        _declare(spark, path, source.schema)
+    commit.recover(spark, path)
+    if not commit.exists(spark, path):
+        _replace(source, path, partition_cols, None, source.schema, order_col, after_step)
         return {"mode": "create", "partitions": None}
     staged = scratch_path(spark, "upsert-source")
     source.write.parquet(staged)
     try:
         return _merge_into(spark.read.schema(source.schema).parquet(staged), path, list(keys),
-                           partition_cols, order_col, writer)
+                           partition_cols, order_col, after_step)
     finally:
         remove_path(spark, staged)
 
 
+def _replace(rows: DataFrame, path: str, partition_cols: list[str], old: list[str] | None,
+             schema: StructType, order_col: str, after_step) -> None:
+    commit.replace_partitions(rows, path, partition_cols, old, schema,
+                              order_col if order_col in schema.names else None,
+                              lambda df: partitioned_writer(df, partition_cols), after_step)
+
+
 def _merge_into(src: DataFrame, path: str, keys: list[str], partition_cols: list[str],
-                order_col: str, writer) -> dict:
+                order_col: str, after_step) -> dict:
     spark = src.sparkSession
     target = read_table(spark, path)
     synced = set(target.columns) != set(src.columns)
@@ -235,54 +222,17 @@ def _merge_into(src: DataFrame, path: str, keys: list[str], partition_cols: list
     rows = [tuple(r) for r in src.select(*partition_cols).distinct().collect()] if partition_cols \
         else [()] * (not src.isEmpty())
     if not rows and not retyped:
-        if synced:
-            _declare(spark, path, src.schema)
+        if synced and (state := commit.read_state(spark, path)) is not None:
+            state.schema = src.schema
+            commit.declare(spark, path, state)
         return {"mode": "noop", "partitions": [], "schema_synced": synced}
     if not partition_cols:
-        # A static overwrite deletes the table before writing: write beside it, then swap the folders
-        fresh = f"{path.rstrip('/')}__next"
-        writer(merge_frames(target, src, keys, order_col)).mode("overwrite").parquet(fresh)
-        _declare(spark, fresh, src.schema)
-        _swap(spark, fresh, path)
+        _replace(merge_frames(target, src, keys, order_col), path, [], None, src.schema, order_col, after_step)
         return {"mode": "rewrite", "partitions": None, "schema_synced": synced or retyped}
     touched = sorted(set(rows) | set(_key_partitions(target, src, keys, partition_cols)), key=repr)
     part = target if retyped else target.where(_partition_filter(partition_cols, touched))
-    before = _partition_folders(part, partition_cols)
-    merged = merge_frames(part, src, keys, order_col)
-    # The overwrite writes into a job staging folder and replaces the written partitions only
-    # at job commit, after every task has finished reading them: the merge can target the
-    # table directly.  A failed job leaves the table as it was.
-    writer(merged).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    _declare(spark, path, src.schema)
-    # a partition whose every row has moved away got no new rows, so it was not overwritten
-    left = set(before) - set(rows)
-    if left:
-        kept = (read_table(spark, path).where(_partition_filter(partition_cols, sorted(left, key=repr)))
-                .join(src.select(*keys).distinct(), keys, "left_anti"))
-        still = {tuple(r) for r in kept.select(*partition_cols).distinct().collect()}
-        for values in left - still:
-            remove_path(spark, before[values])
+    old = None if retyped else commit.partition_names(part, partition_cols)
+    _replace(merge_frames(part, src, keys, order_col), path, partition_cols, old, src.schema, order_col,
+             after_step)
     return {"mode": "rewrite" if retyped else "merge", "partitions": None if retyped else touched,
             "schema_synced": synced or retyped}
-
-
-def _finish_swap(spark: SparkSession, path: str) -> None:
-    """After a run that ended inside :func:`_swap`: the table as it was before it."""
-    aside = f"{path.rstrip('/')}__last"
-    if not table_exists(spark, path) and table_exists(spark, aside):
-        jvm = spark.sparkContext._jvm
-        old = jvm.org.apache.hadoop.fs.Path(aside)
-        fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.rename(old, jvm.org.apache.hadoop.fs.Path(path))
-
-
-def _swap(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put the folder ``fresh`` in the place of ``path``; both stay readable until the last step."""
-    jvm = spark.sparkContext._jvm
-    old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__last")
-    fs.delete(aside, True)
-    fs.rename(old, aside)
-    fs.rename(new, old)
-    fs.delete(aside, True)
