@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions import normalize_null_tokens
-from lakemart.operators import history, merge, quality, sample
+from lakemart.operators import commit, history, merge, quality, sample
 from lakemart.operators.dedupe import latest_per_key
 from lakemart.plans import build, data_tests, intermediate, marts, staging
 from lakemart.session import scratch_path
@@ -262,22 +262,25 @@ def _with_partition(fact: DataFrame) -> DataFrame:
     return fact.withColumn(FACT_PARTITION, F.date_format("order_purchase_timestamp", "yyyy-MM"))
 
 
-def incremental_fact_run(spark, s: build.Silver, dims, path: str, reshape=None) -> dict:
+def incremental_fact_run(spark, s: build.Silver, dims, path: str, reshape=None, after_step=None) -> dict:
     """One scheduled run of the fact: watermark -> incremental build -> upsert."""
-    exists = merge.table_exists(spark, path)
-    wm = merge.high_watermark(merge.read_table(spark, path)) if exists else None
+    commit.recover(spark, path)
+    wm = merge.table_watermark(spark, path) if commit.exists(spark, path) else None
     fact = build.fact_sales(s, dims, loaded_after=wm)
     if reshape is not None:
         fact = reshape(fact)
-    return merge.upsert_table(_with_partition(fact), path, ["sales_key"], [FACT_PARTITION])
+    return merge.upsert_table(_with_partition(fact), path, ["sales_key"], [FACT_PARTITION],
+                              after_step=after_step)
 
 
 @query
 def incremental_filter(spark, sf):
-    """Rows the second load adds on top of a fact built from the first load."""
+    """Rows the second load adds on top of a fact written from the first load, whose watermark
+    stands beside it (the fact isn't read)."""
     s, dims = gold(spark, sf)
-    previous = build.fact_sales(_items_loaded_before(s, LOAD_CUTS[0]), dims)
-    return build.fact_sales(s, dims, loaded_after=merge.high_watermark(previous))
+    path = scratch_path(spark, "fact_sales_first")
+    incremental_fact_run(spark, _items_loaded_before(s, LOAD_CUTS[0]), dims, path)
+    return build.fact_sales(s, dims, loaded_after=merge.table_watermark(spark, path))
 
 
 @query
@@ -290,6 +293,35 @@ def incremental_merge(spark, sf):
     return merge.read_table(spark, path).drop(FACT_PARTITION)
 
 
+class Interrupted(RuntimeError):
+    """Stands for a crash at a named step."""
+
+
+def interrupt_at(step: str) -> Callable[[str], None]:
+    def after(name: str) -> None:
+        if name == step:
+            raise Interrupted(step)
+
+    return after
+
+
+@query
+def incremental_merge_crashes(spark, sf):
+    """The three scheduled runs, each cut short: the first after its rows are written, the second
+    after its commit, in the middle of replacing partitions.  The next run takes over."""
+    s, dims = gold(spark, sf)
+    path = scratch_path(spark, "fact_sales_crashes")
+    first = _items_loaded_before(s, LOAD_CUTS[0])
+    for cut, step in zip((first, _items_loaded_before(s, LOAD_CUTS[1])), ("written", "replaced"), strict=True):
+        try:
+            incremental_fact_run(spark, cut, dims, path, after_step=interrupt_at(step))
+        except Interrupted:
+            if step == "written":  # nothing was committed: the run is repeated
+                incremental_fact_run(spark, cut, dims, path)
+    incremental_fact_run(spark, s, dims, path)
+    return merge.read_table(spark, path).drop(FACT_PARTITION)
+
+
 @query
 def incremental_merge_moved_key(spark, sf):
     """Orders whose purchase time is corrected after their items were merged: the second run brings
@@ -449,6 +481,7 @@ def new_drop(spark) -> Drop:
 LANDING_STAMP = "2024-01-07 06:00:00"
 SECOND_STAMP = "2024-01-14 06:00:00"
 THIRD_STAMP = "2024-01-21 06:00:00"
+FOURTH_STAMP = "2024-01-28 06:00:00"
 FIRST_WAVE_LAST_YEAR = 1997
 
 
@@ -512,8 +545,57 @@ def incremental_load(spark, sf):
     return landing.bronze_table(spark, f"{d.bronze}/{t}").drop("_file_name")
 
 
-class _Interrupted(RuntimeError):
-    pass
+def fail(batch: str) -> None:
+    raise Interrupted(batch)
+
+
+@query
+def forced_load_failed(spark, sf):
+    """A forced load of orders that fails after its rows are written: none of them is seen, also after
+    the next scheduled load; the forced load that repeats it has its own time."""
+    t, d = "raw_orders", new_drop(spark)
+    lines = landing_lines(spark, sf, t)
+    write_landing(lines.where(F.col("file_group") <= FIRST_WAVE_LAST_YEAR), d.folder(t))
+    file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], LANDING_STAMP)
+    try:
+        file_ledger.full_reload(spark, d.landing, d.bronze, d.ledger, [t], SECOND_STAMP, after_land=fail)
+    except file_ledger.LoadFailed:
+        pass
+    seen = landing.verify_counts({"after the failure": landing.bronze_table(spark, f"{d.bronze}/{t}")})
+    seen = written(seen, "seen")
+    write_landing(lines.where(F.col("file_group") > FIRST_WAVE_LAST_YEAR), d.folder(t))
+    file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], THIRD_STAMP)
+    third = written(landing.verify_counts({
+        "after the next load": landing.bronze_table(spark, f"{d.bronze}/{t}")}), "third")
+    file_ledger.full_reload(spark, d.landing, d.bronze, d.ledger, [t], FOURTH_STAMP)
+    rows = landing.bronze_table(spark, f"{d.bronze}/{t}")
+    last = landing.verify_counts({
+        "after the repetition": rows, "of the repetition": landing.bronze_table(
+            spark, f"{d.bronze}/{t}", loaded_after=FOURTH_STAMP)})
+    return seen.unionByName(third).unionByName(last)
+
+
+@query
+def load_isolation(spark, sf):
+    """Two tables are loaded, one of them fails: the other's rows are in, the report holds it alone, and
+    the files of both are still in the landing folders (S6, S9)."""
+    good, bad, d = "raw_sellers", "raw_customers", new_drop(spark)
+    for t in (good, bad):
+        write_landing(landing_lines(spark, sf, t), d.folder(t))
+
+    def stop(batch: str) -> None:
+        if landing.begun_batches(spark, d.bronze, bad):
+            raise Interrupted(batch)
+
+    try:
+        file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [good, bad], LANDING_STAMP,
+                                     after_land=stop)
+        raise AssertionError("the load didn't fail")
+    except file_ledger.LoadFailed as failed:
+        report = {r.table: r.rows_loaded for r in failed.report.collect()}
+    counts = [(t, report.get(t), landing.bronze_table(spark, f"{d.bronze}/{t}").count(),
+               landing.read_landing(spark, d.folder(t), t).count()) for t in (good, bad)]
+    return spark.createDataFrame(counts, "table string, reported long, loaded long, in_landing long")
 
 
 @query
@@ -523,12 +605,9 @@ def load_retry(spark, sf):
     t, d = "raw_orders", new_drop(spark)
     write_landing(landing_lines(spark, sf, t), d.folder(t))
 
-    def interrupt(batch: str) -> None:
-        raise _Interrupted(batch)
-
     try:
         file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], LANDING_STAMP,
-                                     after_land=interrupt)
+                                     after_land=fail)
     except file_ledger.LoadFailed:
         pass
     file_ledger.load_incremental(spark, d.landing, d.bronze, d.ledger, [t], SECOND_STAMP)
@@ -582,12 +661,8 @@ WEEK_CUT = "1998-01-01 00:00:00"
 WEEK_RUNS = (dt.datetime(2024, 1, 7, 6), dt.datetime(2024, 1, 14, 6))
 
 
-@query
-def weekly_run(spark, sf):
-    """Two weekly runs over landing files, the second with a second drop of orders and items and with
-    items of orders that were not there yet: rows of each gold table and failing tests by model."""
-    from lakemart.plans import weekly
-    layout = weekly.Layout.under(scratch_path(spark, "weekly"))
+def _weekly_runs(spark, sf, layout, run) -> dict:
+    """Two weekly drops, each followed by ``run(week, run_at, **options)``; the last summary."""
     lo, hi, today = order_calendar(spark, sf)
     for week, run_at in enumerate(WEEK_RUNS):
         for t, make in bm.RAW_BUILDERS.items():
@@ -597,10 +672,69 @@ def weekly_run(spark, sf):
                 drop = make(spark, sf).where(early if week == 0 else ~early) if waves else make(spark, sf)
                 landing.write_csv(drop.select(*landing.BRONZE_COLUMNS[t]),
                                   f"{layout.landing}/{landing.SUBFOLDER[t]}/week{week}")
-        summary = weekly.run_weekly(spark, layout, run_at, (lo, hi), today, run_tests=week == 1,
-                                    reprocess_open_orders=True, fail_on_test_errors=False)
+        summary = run(week, run_at, calendar=(lo, hi), as_of=today, run_tests=week == 1,
+                      reprocess_open_orders=True, fail_on_test_errors=False)
+    return summary
+
+
+def _weekly_result(spark, summary: dict) -> DataFrame:
     failing = {}
     for (model, _, _), n in summary["tests"].items():
         failing[model] = failing.get(model, 0) + (n > 0)
     rows = [(m, n, failing.get(m, 0)) for m, n in summary["rows"].items()]
     return spark.createDataFrame(rows, "model string, row_count long, failing_tests long")
+
+
+@query
+def weekly_run(spark, sf):
+    """Two weekly runs over landing files, the second with a second drop of orders and items and with
+    items of orders that were not there yet: rows of each gold table and failing tests by model."""
+    from lakemart.plans import weekly
+    layout = weekly.Layout.under(scratch_path(spark, "weekly"))
+    return _weekly_result(spark, _weekly_runs(spark, sf, layout, lambda week, run_at, **options: (
+        weekly.run_weekly(spark, layout, run_at, **options))))
+
+
+@query
+def weekly_run_retry(spark, sf):
+    """The same two runs, each cut short after its load and after its gold stage and repeated under its
+    own time: the same tables; and the versions and rows of bronze that a repeated run would add."""
+    from lakemart.plans import weekly
+    layout = weekly.Layout.under(scratch_path(spark, "weekly-retry"))
+
+    def run(week, run_at, **options):
+        for stage in ("load", "gold"):
+            try:
+                weekly.run_weekly(spark, layout, run_at, after_stage=interrupt_at(stage), **options)
+            except Interrupted:
+                pass
+        return weekly.run_weekly(spark, layout, run_at, **options)
+
+    result = _weekly_result(spark, _weekly_runs(spark, sf, layout, run))
+    b = weekly.bronze_frames(spark, layout)
+    snap = history.read_history(spark, f"{layout.snapshots}/snap_customer")
+    more = [("raw_orders", b.orders.count(), 0), ("raw_order_items", b.order_items.count(), 0),
+            ("snap_customer", snap.count(), 0)]
+    return result.unionByName(spark.createDataFrame(more, result.schema))
+
+
+LATE_TABLES = ("raw_orders", "raw_order_items", "raw_order_payments", "raw_order_reviews", "raw_customers")
+
+
+@query
+def weekly_run_empty_start(spark, sf):
+    """A first weekly run before any order, item, payment, review or customer has landed: fact and
+    snapshot begin without rows and fill in the second run.  Rows of each table after either run."""
+    from lakemart.plans import weekly
+    layout = weekly.Layout.under(scratch_path(spark, "weekly-empty"))
+    lo, hi, today = order_calendar(spark, sf)
+    out = []
+    for week, run_at in enumerate(WEEK_RUNS):
+        for t, make in bm.RAW_BUILDERS.items():
+            if (t in LATE_TABLES) == (week == 1):
+                landing.write_csv(make(spark, sf).select(*landing.BRONZE_COLUMNS[t]),
+                                  f"{layout.landing}/{landing.SUBFOLDER[t]}/week{week}")
+        summary = weekly.run_weekly(spark, layout, run_at, (lo, hi), today, run_tests=False)
+        out += [(week, m, n) for m, n in summary["rows"].items()]
+        out.append((week, "snap_customer", summary["snapshot_open_versions"]))
+    return spark.createDataFrame(out, "week int, model string, row_count long")

@@ -11,13 +11,16 @@ Returns the run summary: rows per stage and the test results.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.operators import history, merge, quality
+from lakemart.operators import commit, history, merge, quality
+from lakemart.operators.commit import Folder
 from lakemart.operators.dedupe import latest_per_key
 from lakemart.plans import build, data_tests
 from lakemart.sources import landing
@@ -37,10 +40,37 @@ class Layout:
     snapshots: str
     gold: str
     ledger: str
+    runs: str
 
     @classmethod
     def under(cls, root: str) -> "Layout":
-        return cls(*(os.path.join(root, p) for p in ("landing", "bronze", "snapshots", "gold", "ledger")))
+        return cls(*(os.path.join(root, p) for p in ("landing", "bronze", "snapshots", "gold", "ledger", "runs")))
+
+
+class RunRecord:
+    """What a run has done, in ``<runs>/<its time>``: a file for each finished stage, with its result.
+
+    A run is known by its time.  When it is repeated it takes the results of the stages it had finished
+    and goes on with the next one."""
+
+    def __init__(self, spark: SparkSession, layout: Layout, run_at: dt.datetime):
+        stamp = landing.stamp_text(run_at)
+        later = [n for n, _ in Folder(spark, layout.runs).list() if n > stamp]
+        if later:
+            raise ValueError(f"run {stamp} can't be begun or repeated after {later[-1]}")
+        self._folder = Folder(spark, f"{layout.runs}/{stamp}")
+        #: whether this run was begun before
+        self.again = self._folder.exists("begun.json")
+        if not self.again:
+            self._folder.write_json("begun.json", {"at": run_at.isoformat()})
+
+    def stage(self, name: str, work: Callable[[], dict]) -> dict:
+        """The stage's result, from its first finished execution; results are JSON values."""
+        done = self._folder.read_json(f"{name}.json")
+        if done is None:
+            done = json.loads(json.dumps(work(), default=str))
+            self._folder.write_json(f"{name}.json", done)
+        return done
 
 
 def bronze_frames(spark: SparkSession, layout: Layout, items_loaded_after=None) -> build.Bronze:
@@ -66,62 +96,89 @@ def run_weekly(spark: SparkSession, layout: Layout, run_at: dt.datetime,
                calendar: tuple = ("2016-01-01", "2027-12-31"), as_of=None,
                tables=tuple(landing.BRONZE_COLUMNS), run_tests: bool = True,
                full_load: bool = False, reprocess_open_orders: bool = False,
-               fail_on_test_errors: bool = True) -> dict:
-    """``full_load`` re-appends every landing file (forced load) instead of only
+               fail_on_test_errors: bool = True,
+               after_stage: Callable[[str], None] | None = None) -> dict:
+    """One run, known by its time ``run_at``.  A run that failed is repeated under the same time: it skips
+    the stages it had finished and keeps its load and snapshot time, so nothing lands or opens twice; a time before that of
+    another run is refused.  ``after_stage`` is called with the name of each finished stage.
+
+    ``full_load`` re-appends every landing file (forced load) instead of only
     new ones; ``reprocess_open_orders`` lets items whose order was not shipped
     on arrival enter the fact later (the default, like the source models, skips
     them once the watermark has passed).  When any test finds violations the run fails with
     :class:`DataTestFailure` (the summary attached), as a failing test step fails a
     scheduled run; without ``fail_on_test_errors`` they are only reported."""
     summary: dict = {"run_at": run_at}
-    # 1. load: every new landing file of every table (the streaming ledger skips old ones)
-    if full_load:
-        report = file_ledger.full_reload(spark, layout.landing, layout.bronze, layout.ledger,
-                                         tables, run_at)
-    else:
-        report = file_ledger.load_incremental(spark, layout.landing, layout.bronze, layout.ledger,
-                                              tables, run_at)
-    summary["load"] = {r["table"]: r.asDict() for r in report.collect()}
-    b = bronze_frames(spark, layout)
-    # 2. snapshot
-    snap = customer_snapshot(b.customers, os.path.join(layout.snapshots, "snap_customer"), run_at)
-    summary["snapshot_open_versions"] = snap.where(F.col(history.VALID_TO).isNull()).count()
-    # 3-4. staging and intermediate: lazy frames over bronze
-    s = build.silver(b)
+    record = RunRecord(spark, layout, run_at)
+    step = after_stage or (lambda name: None)
     fact_path = os.path.join(layout.gold, "fact_sales")
-    exists = merge.table_exists(spark, fact_path)
-    existing = merge.read_table(spark, fact_path) if exists else None
-    wm = merge.high_watermark(existing) if exists else None
-    if wm is not None and not reprocess_open_orders:
-        # the increment only needs items landed after the watermark
-        s_items = build.silver(bronze_frames(spark, layout, items_loaded_after=wm)).order_items
-    else:
-        s_items = s.order_items
-    # 5. gold: dimensions rebuilt, fact merged incrementally
-    dims = build.dimensions(spark, s, calendar, as_of or run_at.date())
-    gold = {}
-    for name in DIMENSIONS:
-        path = os.path.join(layout.gold, name)
-        dims[name].write.mode("overwrite").parquet(path)
-        gold[name] = dims.settle(name, spark.read.parquet(path))
-    fact = build.fact_sales(replace(s, order_items=s_items), gold, wm,
-                            existing if reprocess_open_orders else None)
-    fact = fact.withColumn(FACT_PARTITION, F.date_format("order_purchase_timestamp", "yyyy-MM"))
-    summary["fact_merge"] = merge.upsert_table(fact, fact_path, ["sales_key"], [FACT_PARTITION])
-    gold["fact_sales"] = merge.read_table(spark, fact_path).drop(FACT_PARTITION)
-    summary["rows"] = {k: v.count() for k, v in gold.items()}
-    # 6. tests on the written tables (staging models are tested as frames)
-    if run_tests:
+
+    def load() -> dict:
+        """Every new landing file of every table (the streaming ledger skips old ones)."""
+        how = file_ledger.full_reload if full_load else file_ledger.load_incremental
+        report = how(spark, layout.landing, layout.bronze, layout.ledger, tables, run_at,
+                     again=record.again)
+        return {r["table"]: r.asDict() for r in report.collect()}
+
+    def snapshot() -> dict:
+        snap = customer_snapshot(b.customers, os.path.join(layout.snapshots, "snap_customer"), run_at)
+        return {"open_versions": snap.where(F.col(history.VALID_TO).isNull()).count()}
+
+    def gold() -> dict:
+        """Dimensions rebuilt, fact merged incrementally; the watermark comes from the fact's state."""
+        commit.recover(spark, fact_path)
+        exists = commit.exists(spark, fact_path)
+        existing = merge.read_table(spark, fact_path) if exists else None
+        wm = merge.table_watermark(spark, fact_path) if exists else None
+        if wm is not None and not reprocess_open_orders:
+            # the increment only needs items landed after the watermark
+            items = build.silver(bronze_frames(spark, layout, items_loaded_after=wm)).order_items
+        else:
+            items = s.order_items
+        dims = build.dimensions(spark, s, calendar, as_of or run_at.date())
+        for name in DIMENSIONS:
+            path = os.path.join(layout.gold, name)
+            commit.recover(spark, path)
+            commit.replace_partitions(dims[name], path, [], None, dims[name].schema, None,
+                                      lambda df: df.write)
+            written[name] = dims.settle(name, merge.read_table(spark, path))
+        fact = build.fact_sales(replace(s, order_items=items), written, wm,
+                                existing if reprocess_open_orders else None)
+        fact = fact.withColumn(FACT_PARTITION, F.date_format("order_purchase_timestamp", "yyyy-MM"))
+        done = merge.upsert_table(fact, fact_path, ["sales_key"], [FACT_PARTITION])
+        written["fact_sales"] = merge.read_table(spark, fact_path).drop(FACT_PARTITION)
+        return {"fact_merge": done, "rows": {k: v.count() for k, v in written.items()}}
+
+    def tests() -> dict:
+        """Tests on the written tables (staging models are tested as frames)."""
+        for name in DIMENSIONS:  # a repeated run has them from its first execution
+            if name not in written:
+                written[name] = merge.read_table(spark, os.path.join(layout.gold, name))
+        written["fact_sales"] = merge.read_table(spark, fact_path).drop(FACT_PARTITION)
         models = {"stg_orders": s.orders, "stg_customers": s.customers,
                   "stg_order_items": s.order_items, "stg_products": s.products,
                   "stg_sellers": s.sellers, "stg_geolocation": s.geolocation,
                   "stg_order_reviews": s.reviews, "stg_category_translation": s.category_translation,
-                  "payments_aggregated": s.payments_aggregated, **gold}
+                  "payments_aggregated": s.payments_aggregated, **written}
         results = quality.run_tests(models, data_tests.SUITE).collect()
         summary["tests"] = {(r.model, r.test, r.column_name): r.violations for r in results}
         summary["tests_failed"] = sum(1 for r in results if r.violations > 0)
         if fail_on_test_errors and summary["tests_failed"]:
             raise DataTestFailure(summary)
+        return {"tests": [[*k, v] for k, v in summary["tests"].items()]}
+
+    summary["load"] = record.stage("load", load)
+    step("load")
+    b, written = bronze_frames(spark, layout), {}
+    s = build.silver(b)  # staging and intermediate: lazy frames over bronze
+    summary["snapshot_open_versions"] = record.stage("snapshot", snapshot)["open_versions"]
+    step("snapshot")
+    summary |= record.stage("gold", gold)
+    step("gold")
+    if run_tests:
+        done = record.stage("tests", tests)["tests"]
+        summary["tests"] = {(m, t, c): n for m, t, c, n in done}
+        summary["tests_failed"] = sum(n > 0 for n in summary["tests"].values())
     return summary
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from lakemart.functions.text import NULL_TOKENS, null_if_token
+from lakemart.operators.commit import Folder
 
 CORRUPT = "_corrupt_record"
 #: Start of the file split that a rejected row stands in, and its number there.
@@ -212,6 +213,30 @@ def landed_schema(table: str) -> StructType:
                        *(StructField(c, StringType()) for c in (TIME, BATCH, STATUS))])
 
 
+#: Names below the bronze folder: the report of every complete batch, and the batches that were begun.
+HISTORY, LOADS = "_load_history", "_loads"
+
+
+def begun_batches(spark: SparkSession, bronze_root: str, table: str) -> dict[str, dt.datetime]:
+    """Batch -> load time of every batch that was begun (kept in a file's name: one listing)."""
+    names = [n for n, _ in Folder(spark, os.path.join(bronze_root, LOADS, table)).list()]
+    return {b: dt.datetime.strptime(t, _STAMP_FMT) for b, t in (n.split("@") for n in names if "@" in n)}
+
+
+def complete_batches(spark: SparkSession, bronze_root: str, table: str) -> dict[str, dt.datetime]:
+    """Batch -> load time of every batch whose report is written, by listings of folders alone."""
+    history = Folder(spark, os.path.join(bronze_root, HISTORY, f"table={table}"))
+    return {b.partition("=")[2]: dt.datetime.strptime(t.partition("=")[2], _STAMP_FMT)
+            for t, _ in history.list() if t.startswith(f"{TIME}=")
+            for b, _ in history.list(t) if b.startswith(f"{BATCH}=")}
+
+
+def incomplete_batches(spark: SparkSession, table_root: str) -> list[str]:
+    """Batches of a landed table that were begun and aren't complete: a load runs, or failed."""
+    root, table = os.path.split(table_root.rstrip("/"))
+    return sorted(begun_batches(spark, root, table).keys() - complete_batches(spark, root, table).keys())
+
+
 def land(loaded: DataFrame, table_root: str, batch: str, load_time) -> None:
     """Write one load's good and rejected rows in ONE pass over its files.
 
@@ -224,12 +249,18 @@ def land(loaded: DataFrame, table_root: str, batch: str, load_time) -> None:
      .partitionBy(TIME, BATCH, STATUS).parquet(table_root))
 
 
-def landed(spark: SparkSession, table_root: str, table: str | None = None) -> DataFrame:
-    """All rows of a landed table, rejected ones too; none if no load has written yet."""
+def landed(spark: SparkSession, table_root: str, table: str | None = None,
+           complete_only: bool = True) -> DataFrame:
+    """All rows of a landed table, rejected ones too; none if no load has written yet.
+
+    Rows of a batch that isn't complete are not seen (a filter on the partition, mostly an
+    empty list), unless ``complete_only`` is off."""
     table = table or os.path.basename(table_root.rstrip("/"))
     if not path_exists(spark, table_root):
         return spark.createDataFrame([], landed_schema(table))
-    return spark.read.schema(landed_schema(table)).parquet(table_root)
+    rows = spark.read.schema(landed_schema(table)).parquet(table_root)
+    hidden = incomplete_batches(spark, table_root) if complete_only else []
+    return rows.where(~F.col(BATCH).isin(*hidden)) if hidden else rows
 
 
 def bronze_table(spark: SparkSession, table_root: str, loaded_after=None,

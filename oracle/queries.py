@@ -154,6 +154,7 @@ SQL["schema_sync"] = with_models(
     _merged_sql(_ALL.replace("is_mixed_payment", "CAST(NULL AS BOOLEAN) AS is_mixed_payment"), _ALL),
     "fact_sales")
 SQL["schema_sync_types"] = SQL["incremental_merge"]
+SQL["incremental_merge_crashes"] = SQL["incremental_merge"]
 _MOVED = ("CAST(order_id AS BIGINT) % 3 = 0")
 SQL["incremental_merge_moved_key"] = with_models(
     "SELECT *, strftime(order_purchase_timestamp, '%Y-%m') AS purchase_month FROM ("
@@ -317,6 +318,17 @@ SQL["verify_counts"] = with_models(" UNION ALL ".join(
 SQL["full_reload"] = with_models(
     "SELECT 'raw_orders' AS \"table\", 2 * count(*) AS row_count, "
     f"{_SECOND} AS last_loaded_at FROM raw_orders WHERE NOT {_BAD}", "raw_orders")
+_THIRD, _FOURTH = "TIMESTAMP '2024-01-21 06:00:00'", "TIMESTAMP '2024-01-28 06:00:00'"
+SQL["forced_load_failed"] = with_models("\nUNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", {n} AS row_count, {at} AS last_loaded_at FROM raw_orders WHERE NOT {_BAD}"
+    for name, n, at in (
+        ("after the failure", "count(*) FILTER (WHERE year(_loaded_at) <= 1997)", _FIRST),
+        ("after the next load", "count(*)", _THIRD), ("after the repetition", "2 * count(*)", _FOURTH),
+        ("of the repetition", "count(*)", _FOURTH))), "raw_orders")
+SQL["load_isolation"] = with_models(
+    "SELECT 'raw_sellers' AS \"table\", count(*) AS reported, count(*) AS loaded, count(*) AS in_landing "
+    "FROM raw_sellers UNION ALL SELECT 'raw_customers', NULL, 0, count(*) FROM raw_customers",
+    "raw_sellers", "raw_customers")
 SQL["hash_shuffle"] = ("SELECT *, row_number() OVER (ORDER BY shuffle_key) AS position FROM ("
                        "SELECT s_suppkey, s_name, md5(CAST(s_suppkey AS VARCHAR) || '|' || '7') AS shuffle_key "
                        "FROM supplier)")
@@ -354,3 +366,26 @@ def _weekly_sql() -> str:
 
 
 SQL["weekly_run"] = _weekly_sql()
+SQL["weekly_run_retry"] = _weekly_sql() + "".join(
+    f"\nUNION ALL SELECT '{t}', (SELECT count({c}) FROM {t}), 0"
+    for t, c in (("raw_orders", "*"), ("raw_order_items", "*"))) + (
+    "\nUNION ALL SELECT 'snap_customer', (SELECT count(DISTINCT customer_id) FROM raw_customers), 0")
+
+
+def _empty_start_sql() -> str:
+    """Tables that don't hang on orders or customers are full after either run, the others after the second."""
+    plain = with_models("", *_NOT_NULL)
+    for t in BRONZE:
+        plain = plain.replace(f"{t} AS ({BRONZE[t]})",
+                              f"{t} AS (SELECT * REPLACE ({_SECOND} AS _loaded_at, '' AS _file_name) FROM ({BRONZE[t]}))")
+    counts = {"dim_date": "count(*)", "dim_geolocation": "count(*)", "dim_seller": "count(*)",
+              "dim_product": "count(*)", "dim_customer": "count(*)", "fact_sales": "count(DISTINCT sales_key)"}
+    parts = [f"SELECT CAST({w} AS INT) AS week, '{m}' AS model, "
+             + (f"(SELECT {c} FROM {m})" if w or m not in ("dim_customer", "fact_sales") else "0") + " AS row_count"
+             for w in (0, 1) for m, c in counts.items()]
+    parts += ["SELECT 0, 'snap_customer', 0",
+              "SELECT 1, 'snap_customer', (SELECT count(DISTINCT customer_id) FROM raw_customers)"]
+    return plain + "\n" + "\nUNION ALL\n".join(parts)
+
+
+SQL["weekly_run_empty_start"] = _empty_start_sql()
