@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions import normalize_null_tokens
@@ -403,6 +403,22 @@ def scd2_as_of(spark, sf):
                     F.col(f"h__{history.SCD_ID}").alias("state_scd_id"))
 
 
+@query
+def as_of_hot_keys(spark, sf):
+    """Every event with the value of its type's last quote; there are five types, so each is a hot key
+    with a large share of all facts and versions.  Quotes are the last event of a type at a time, of
+    every third user; one quote in five is left out, so that its time is a gap."""
+    ev = bm.table(spark, sf, "events")
+    quotes = latest_per_key(ev.where("user_id % 3 = 0"), ["event_type", "ts"], "event_id")
+    later = F.lead("ts").over(Window.partitionBy("event_type").orderBy("ts"))
+    quotes = quotes.select("event_type", F.col("event_id").alias("quote_id"), "value",
+                           F.col("ts").alias(history.VALID_FROM), later.alias(history.VALID_TO))
+    j = history.as_of_join(ev.select("event_id", "event_type", "ts"), quotes.where("quote_id % 5 <> 0"),
+                           "event_type", "ts", rows_per_segment=1000)
+    return j.select("event_id", "event_type", "ts", F.col("h__quote_id").alias("quote_id"),
+                    F.col("h__value").alias("quote_value"))
+
+
 # --- landing files (S1-S11) -------------------------------------------------------------
 
 # landing tables rendered as CSV drops, files by year of activity and a bucket of the key; some rows

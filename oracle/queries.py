@@ -329,6 +329,15 @@ SQL["load_isolation"] = with_models(
     "SELECT 'raw_sellers' AS \"table\", count(*) AS reported, count(*) AS loaded, count(*) AS in_landing "
     "FROM raw_sellers UNION ALL SELECT 'raw_customers', NULL, 0, count(*) FROM raw_customers",
     "raw_sellers", "raw_customers")
+SQL["as_of_hot_keys"] = """
+WITH quotes AS (
+    SELECT event_type, event_id AS quote_id, value, ts AS valid_from,
+           lead(ts) OVER (PARTITION BY event_type ORDER BY ts) AS valid_to
+    FROM (SELECT * FROM events WHERE user_id % 3 = 0
+          QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id DESC) = 1))
+SELECT e.event_id, e.event_type, e.ts, q.quote_id, q.value AS quote_value
+FROM events e LEFT JOIN quotes q ON e.event_type = q.event_type AND q.quote_id % 5 <> 0
+  AND e.ts >= q.valid_from AND (q.valid_to IS NULL OR e.ts < q.valid_to)"""
 SQL["hash_shuffle"] = ("SELECT *, row_number() OVER (ORDER BY shuffle_key) AS position FROM ("
                        "SELECT s_suppkey, s_name, md5(CAST(s_suppkey AS VARCHAR) || '|' || '7') AS shuffle_key "
                        "FROM supplier)")
