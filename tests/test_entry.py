@@ -22,6 +22,13 @@ def test_library_stands_without_the_training_data_operators(monkeypatch):
                    for m in used for v in vars(m).values())
 
 
+def test_library_stands_where_a_library_of_those_operators_is_missing(monkeypatch):
+    import sys
+
+    monkeypatch.setitem(sys.modules, "lakemart.llm.queries", None)  # its import fails
+    assert set(E.queries()) == set(E.QUERIES) and set(E.oracle_sql()) == set(E.SQL)
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0

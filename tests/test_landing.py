@@ -161,3 +161,79 @@ def test_files_with_audit_columns(spark, tmp):
     assert set(rows) == {"o1", "o2"} and rows["o2"].payment_type == 'a, "b"'
     assert rows["o1"]._file_name.endswith("p1.csv") and rows["o1"]._loaded_at == dt.datetime(2024, 1, 7)
     assert bad.count() == 2
+
+
+def stop(batch):
+    raise OSError(batch)
+
+
+def test_rows_of_a_failed_load_are_not_seen(spark, tmp):
+    import pytest
+    land, bronze, ckpt = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ckpt"
+    root = f"{bronze}/raw_order_payments"
+    write(f"{land}/payments", "p1.csv", HEAD + "o1,1,card,1,10\no2,1\n")
+    file_ledger.load_incremental(spark, land, bronze, ckpt, PAYMENTS, "2024-01-01")
+    with pytest.raises(file_ledger.LoadFailed):
+        file_ledger.full_reload(spark, land, bronze, ckpt, PAYMENTS, "2024-01-02", after_land=stop)
+    assert landing.landed(spark, root, complete_only=False).count() == 4
+    assert loaded(spark, bronze) == [("o1", "2024-01-01 00:00:00")] and landing.quarantine(spark, root).count() == 1
+    write(f"{land}/payments", "p2.csv", HEAD + "o3,1,card,1,7\n")
+    file_ledger.load_incremental(spark, land, bronze, ckpt, PAYMENTS, "2024-01-09")
+    file_ledger.full_reload(spark, land, bronze, ckpt, PAYMENTS, "2024-01-16")
+    assert loaded(spark, bronze) == [  # nothing under the time of the attempt: a watermark has passed it
+        ("o1", "2024-01-01 00:00:00"), ("o1", "2024-01-16 00:00:00"),
+        ("o3", "2024-01-09 00:00:00"), ("o3", "2024-01-16 00:00:00")]
+    assert landing.landed(spark, root, complete_only=False).count() == 6
+
+
+def test_a_load_is_repeated_under_its_own_time(spark, tmp):
+    import pytest
+    land, bronze, ckpt = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ckpt"
+    both = ["raw_sellers", "raw_order_payments"]
+    write(f"{land}/sellers", "s1.csv", "seller_id,zip,city,state\ns1,1,a,b\n")
+    write(f"{land}/payments", "p1.csv", HEAD + "o1,1,card,1,10\n")
+
+    def second_fails(batch):
+        if landing.begun_batches(spark, bronze, "raw_order_payments"):
+            raise OSError(batch)
+
+    for forced in (False, True):
+        how = file_ledger.full_reload if forced else file_ledger.load_incremental
+        at = "2024-01-14" if forced else "2024-01-07"
+
+        def fails(batch, forced=forced):
+            if forced and "f000000000" in landing.complete_batches(spark, bronze, "raw_sellers"):
+                raise OSError(batch)
+            if not forced:
+                second_fails(batch)
+
+        with pytest.raises(file_ledger.LoadFailed):
+            how(spark, land, bronze, ckpt, both, at, after_land=fails)
+        rep = {r.table: r.rows_loaded for r in how(spark, land, bronze, ckpt, both, at, again=True).collect()}
+        assert rep == {"raw_sellers": 1, "raw_order_payments": 1}
+        again = {r.table: r.rows_loaded for r in how(spark, land, bronze, ckpt, both, at, again=True).collect()}
+        assert again == rep
+        n = 2 if forced else 1
+        assert len(loaded(spark, bronze)) == n
+        assert landing.bronze_table(spark, f"{bronze}/raw_sellers").count() == n
+
+
+def test_batches_bounded_by_bytes(spark, tmp):
+    land, bronze, ckpt = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ckpt"
+    for i in range(6):
+        write(f"{land}/payments", f"p{i}.csv", HEAD + f"o{i},1,card,1,10\n" * 10)
+    rep = file_ledger.load_incremental(spark, land, bronze, ckpt, PAYMENTS, "2024-01-07",
+                                       max_bytes_per_batch=500).first()
+    assert (rep.files_loaded, rep.rows_loaded) == (6, 60)
+    assert len(landing.complete_batches(spark, bronze, "raw_order_payments")) > 1
+
+
+def test_listing_batches_runs_no_job(spark, tmp):
+    land, bronze, ckpt = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ckpt"
+    for week in range(3):
+        write(f"{land}/payments", f"p{week}.csv", HEAD + "o1,1,card,1,10\n")
+        file_ledger.load_incremental(spark, land, bronze, ckpt, PAYMENTS, f"2024-01-{7 * week + 1:02d}")
+    spark.sparkContext.setJobGroup("listing", "")
+    log = file_ledger.LoadLog(spark, bronze, "raw_order_payments")
+    assert len(log.complete()) == 3 and file_ledger.load_time([log], "2024-02-01") == dt.datetime(2024, 2, 1)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("listing")) == []
