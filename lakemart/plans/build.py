@@ -112,13 +112,14 @@ def dimensions(spark: SparkSession, s: Silver, calendar: tuple | None = None,
 
 
 def fact_sales(s: Silver, dims: Mapping[str, DataFrame], loaded_after=None,
-               existing_fact: DataFrame | None = None) -> DataFrame:
+               existing_fact: DataFrame | None = None, by_membership: bool = False) -> DataFrame:
     """The sales fact, or with ``loaded_after`` its increment.
 
     ``loaded_after`` is the high watermark of the existing fact (a literal, so the filter
     is pushed into the item scan); with ``existing_fact`` as well, older items that
     never made it into the fact come too (see :func:`marts.pending_items`).  An increment
-    reduces orders and payments to its own order ids before payments are rolled up.
+    reduces orders and payments to its own order ids before payments are rolled up.  With
+    ``by_membership`` the items are not shuffled for sellers and products (see :func:`marts.fact_sales`).
     """
     customers = dims["customer_keys"] if "customer_keys" in dims else dims["dim_customer"]
     sellers = dims["seller_keys"] if "seller_keys" in dims else dims["dim_seller"]
@@ -130,7 +131,7 @@ def fact_sales(s: Silver, dims: Mapping[str, DataFrame], loaded_after=None,
         orders = orders.join(ids, "order_id", "left_semi")
         payments = intermediate.payments_aggregated(s.payments.join(ids, "order_id", "left_semi"))
     return marts.fact_sales(items, orders, payments, customers, sellers, dims["dim_product"],
-                            dims["dim_date"])
+                            dims["dim_date"], by_membership)
 
 
 def register_views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> None:

@@ -11,6 +11,7 @@ from lakemart.functions import (date_key, day_abbr, day_of_week0, month_abbr, su
                                 year_month)
 from lakemart.operators.merge import incremental_filter, ntz_literal
 from lakemart.operators.stats import medians_per_key, modes_per_key
+from lakemart.session import scratch_path
 
 
 def _as_date(d: str | dt.date) -> dt.date:
@@ -129,9 +130,39 @@ def pending_items(order_items: DataFrame, orders: DataFrame, existing_fact: Data
     return new.unionByName(old)
 
 
+#: Ids that may be sent to every task by :func:`exceptional_ids`: some 50 bytes each.
+EXCEPTIONS = 200_000
+
+
+def exceptional_ids(items: DataFrame, dim: DataFrame, id_col: str,
+                    limit: int = EXCEPTIONS) -> DataFrame | None:
+    """(id, n): ids of ``items`` that ``dim`` doesn't hold exactly once, n being how often it does.
+
+    Only distinct ids are shuffled, after a map-side reduction.  The result is written and counted, and
+    None when there are more than ``limit``, so that what is broadcast is known to be small.
+    """
+    spark = items.sparkSession
+    held = dim.groupBy(id_col).agg(F.count("*").alias("n"))
+    odd = (items.select(id_col).where(F.col(id_col).isNotNull()).distinct().join(held, id_col, "left")
+           .select(id_col, F.coalesce("n", F.lit(0)).alias("n")).where("n <> 1"))
+    path = scratch_path(spark, f"exceptional-{id_col}")
+    odd.write.parquet(path)
+    odd = spark.read.schema(odd.schema).parquet(path)
+    return odd if odd.count() <= limit else None
+
+
+def keyed_by_membership(items: DataFrame, odd: DataFrame, id_col: str, key_col: str) -> DataFrame:
+    """What a left join of ``items`` with a dimension on ``id_col`` gives for ``key_col``, the surrogate key
+    of the id, without shuffling the items: NULL for an id that it lacks, a row for each time it holds one."""
+    n = F.when(F.col(id_col).isNotNull(), F.coalesce("n", F.lit(1))).otherwise(0)
+    j = items.join(F.broadcast(odd), id_col, "left").withColumn("n", n)
+    j = j.withColumn(key_col, F.when(F.col("n") > 0, surrogate_key(id_col)))
+    return j.withColumn("n", F.explode(F.sequence(F.lit(1), F.greatest("n", F.lit(1))))).drop("n")
+
+
 def fact_sales(order_items: DataFrame, orders: DataFrame, payments: DataFrame,
                dim_customer: DataFrame, dim_seller: DataFrame, dim_product: DataFrame,
-               dim_date: DataFrame) -> DataFrame:
+               dim_date: DataFrame, by_membership: bool = False) -> DataFrame:
     """Order-line fact of delivered/shipped orders, over the given items.
 
     Join order: the customer, payment and calendar lookups depend only on the
@@ -143,6 +174,11 @@ def fact_sales(order_items: DataFrame, orders: DataFrame, payments: DataFrame,
     on the item grain.  No lookup carries a broadcast hint: Spark broadcasts
     those whose known or measured size is small.  A hot order is split by
     AQE's skew-join handling.
+
+    ``by_membership``: sellers and products give only their surrogate keys, which are functions of the
+    ids, so the items need no join with them but the exceptions: ids that a dimension lacks or
+    repeats.  These are found first, by small jobs over the ids alone, and the items stay where they are.
+    (With more than ``EXCEPTIONS`` of them the dimension is joined as usual.)
     """
     oi = order_items
     o = (orders.where(F.col("order_status").isin(*SHIPPED_STATUSES))
@@ -156,9 +192,10 @@ def fact_sales(order_items: DataFrame, orders: DataFrame, payments: DataFrame,
     enriched_orders = (o.join(p, "order_id", "left")
                         .join(dc, "customer_id", "left")
                         .join(dd, F.to_date(F.col("order_purchase_timestamp")) == F.col("full_date"), "left"))
-    j = (oi.join(enriched_orders, "order_id", "inner")
-           .join(ds, "seller_id", "left")
-           .join(dp, "product_id", "left"))
+    j = oi.join(enriched_orders, "order_id", "inner")
+    for dim, id_col, key_col in ((ds, "seller_id", "seller_key"), (dp, "product_id", "product_key")):
+        odd = exceptional_ids(oi, dim, id_col) if by_membership else None
+        j = j.join(dim, id_col, "left") if odd is None else keyed_by_membership(j, odd, id_col, key_col)
     return j.select(
         surrogate_key("order_id", "order_item_id").alias("sales_key"),
         "customer_key", "seller_key", "product_key", "date_key",

@@ -143,7 +143,7 @@ def run_weekly(spark: SparkSession, layout: Layout, run_at: dt.datetime,
                                       lambda df: df.write)
             written[name] = dims.settle(name, merge.read_table(spark, path))
         fact = build.fact_sales(replace(s, order_items=items), written, wm,
-                                existing if reprocess_open_orders else None)
+                                existing if reprocess_open_orders else None, by_membership=True)
         fact = fact.withColumn(FACT_PARTITION, F.date_format("order_purchase_timestamp", "yyyy-MM"))
         done = merge.upsert_table(fact, fact_path, ["sales_key"], [FACT_PARTITION])
         written["fact_sales"] = merge.read_table(spark, fact_path).drop(FACT_PARTITION)

@@ -93,3 +93,42 @@ def test_fact_plan_reads_what_it_needs_at_every_size(spark):
         assert not re.search("NestedLoop|Cartesian", p)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_membership_keeps_items_where_they_are(spark):
+    """Orphans, ids that a dimension holds twice, NULL ids: as the joins give, without their shuffles."""
+    from lakemart.functions import surrogate_key
+    from lakemart.plans import marts
+    items = spark.range(2000).select(
+        F.concat(F.lit("o"), F.col("id") % 300).alias("order_id"), F.col("id").cast("decimal(38,0)").alias("order_item_id"),
+        F.when(F.col("id") % 50 != 9, F.concat(F.lit("p"), F.col("id") % 40)).alias("product_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("s0")).otherwise(F.concat(F.lit("s"), F.col("id") % 30)).alias("seller_id"),
+        F.lit(1).cast("decimal(10,2)").alias("price"), F.lit(1).cast("decimal(10,2)").alias("freight_value"),
+        F.lit(2).cast("decimal(11,2)").alias("order_item_total"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("_loaded_at"))
+    orders = spark.range(300).select(
+        F.concat(F.lit("o"), F.col("id")).alias("order_id"), F.lit("c").alias("customer_id"),
+        F.lit("shipped").alias("order_status"), F.lit("2024-01-01").cast("timestamp_ntz").alias("order_purchase_timestamp"),
+        F.lit(True).alias("delivered_on_time"), F.lit(1).alias("days_to_deliver"))
+    pays = spark.createDataFrame([], "order_id string, total_payment_value decimal(20,2), "
+                                     "primary_payment_type string, is_mixed_payment boolean")
+
+    def dim(name, ids):
+        df = spark.createDataFrame([(f"{name[0]}{i}",) for i in ids], f"{name}_id string")
+        return df.select(f"{name}_id", surrogate_key(f"{name}_id").alias(f"{name}_key"))
+
+    dims = (spark.createDataFrame([("c", "kc")], "customer_id string, customer_key string"),
+            dim("seller", [0, *range(2, 30), 2, 5, 5]), dim("product", [*range(35), 3]),
+            marts.dim_date(spark, "2024-01-01", "2024-01-02", "2024-01-01"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined, members = (marts.fact_sales(items, orders, pays, *dims, by_membership=m) for m in (False, True))
+        assert sorted(map(str, members.collect())) == sorted(map(str, joined.collect()))
+        assert members.where("seller_key IS NULL").count() and members.where("product_key IS NULL").count()
+        for df, shuffled in ((joined, True), (members, False)):
+            text = plan(df)
+            assert ("hashpartitioning(seller_id" in text) == shuffled == ("hashpartitioning(product_id" in text)
+        assert marts.exceptional_ids(items, dims[1], "seller_id", limit=1) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
