@@ -87,25 +87,26 @@ def segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (start, end, score) of positive score, in linear time.
 
     Segments are kept in a list; a new positive score joins earlier ones only when
-    that gives more than both (Ruzzo and Tompa).
+    that gives more than both (Ruzzo and Tompa).  Each kept segment knows the nearest
+    earlier one with a smaller sum before it: what a search has passed is not passed again.
     """
-    out: list[list[float]] = []  # start, end, sum before, sum after
+    out: list[list[float]] = []  # start, end, sum before, sum after, place of that earlier one or -1
     total = 0.0
     for i, s in enumerate(scores):
         before, total = total, total + s
         if s <= 0:
             continue
-        now = [i, i + 1, before, total]
+        start, j = i, len(out) - 1
         while True:
-            j = len(out) - 1
-            while j >= 0 and out[j][2] >= now[2]:
-                j -= 1
-            if j < 0 or out[j][3] >= now[3]:
-                out.append(now)
+            while j >= 0 and out[j][2] >= before:
+                j = out[j][4]
+            if j < 0 or out[j][3] >= total:
+                out.append([start, i + 1, before, total, j])
                 break
-            now = [out[j][0], now[1], out[j][2], now[3]]
-            del out[j:]
-    return [(int(a), int(b), hi - lo) for a, b, lo, hi in out]
+            joined, (start, _, before, _, earlier) = j, out[j]
+            j = earlier
+            del out[joined:]
+    return [(a, b, hi - lo) for a, b, lo, hi, _ in out]
 
 
 class ToxicityModel:
