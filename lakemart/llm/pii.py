@@ -104,6 +104,27 @@ def _offsets(spans: DataFrame) -> DataFrame:
     return spans.withColumn("end", end).withColumn("start", F.col("end") - F.col("length"))
 
 
+def _seeds(candidates: DataFrame, base: DataFrame) -> DataFrame:
+    """The candidates, and whether each overlaps a base span of its row.
+
+    Both lie in one order by start: a base span that begins no later must end after the
+    candidate's start, or the next one begin before its end.  Two running extremes tell
+    that, so a text with many spans costs a sort, not all their pairs.
+    """
+    both = candidates.unionByName(base.select("row", "start", "end", F.lit(True).alias("base")),
+                                  allowMissingColumns=True)
+    upto = Window.partitionBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = F.max(F.when(F.col("base"), F.col("end"))).over(upto.orderBy("start", F.desc("base")))
+    following = F.min(F.when(F.col("base"), F.col("start"))).over(
+        upto.orderBy(F.desc("start"), F.desc("base")))
+    return (both.withColumn("reached", reached).withColumn("following", following).where("not base")
+            .select("row", "start", "end", "before", "after", "instance",
+                    F.coalesce(F.col("reached") > F.col("start"), F.lit(False)).alias("from_left"),
+                    F.coalesce(F.col("following") < F.col("end"), F.lit(False)).alias("from_right"))
+            .withColumn("seed", F.col("from_left") | F.col("from_right"))
+            .drop("from_left", "from_right"))
+
+
 def _contexts(found: DataFrame) -> DataFrame:
     """(instance, pattern, n): how often each string stands in each context."""
     word = r"[\p{L}\p{N}=:#]+"
@@ -160,13 +181,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       .where("x.length is not null")
                       .select("row", F.lit(len(KINDS)).alias("kind"), "i", "x.*"))
     core = F.regexp_replace("found", r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$", "")
-    known = base.select("row", F.col("start").alias("b_start"), F.col("end").alias("b_end"))
-    over = (F.col("b_start") < F.col("end")) & (F.col("start") < F.col("b_end"))
-    found = stage(placed.select("row", "start", "end", "before", "after",
-                                F.lower(core).alias("instance"))
-                  .join(known, "row", "left")
-                  .groupBy("row", "start", "end", "before", "after", "instance")
-                  .agg(F.max(F.coalesce(over, F.lit(False))).alias("seed")), "pii-found")
+    candidates = placed.select("row", "start", "end", "before", "after",
+                               F.lower(core).alias("instance"), F.lit(False).alias("base"))
+    found = stage(_seeds(candidates, base), "pii-found")
     good = _bootstrap(found)
     added = (_contexts(found.where("not seed")).join(good, "pattern", "left_semi")
              .select("row", F.lit(len(KINDS)).alias("kind"), "start", "end").distinct())

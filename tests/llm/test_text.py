@@ -193,6 +193,14 @@ def test_leaks_awkward(spark, awkward, no_docs):
 
 # --- toxicity -------------------------------------------------------------------
 
+def test_segments_of_falling_scores():
+    """Sums that fall all the way and a million of words: each kept segment is passed once."""
+    n = 500_000
+    assert toxicity.segments([0.5, -1.0] * n) == [(2 * i, 2 * i + 1, 0.5) for i in range(n)]
+    rising = toxicity.segments([1.0, -0.5] * n)
+    assert rising == [(0, 2 * n - 1, 0.5 * (n + 1))]
+
+
 def test_segments_are_the_maximal_ones():
     import random
 
@@ -295,6 +303,31 @@ def test_personal_data_awkward(spark, awkward, no_docs):
     check_base(spark.createDataFrame(list(enumerate(tricky)), "doc_id long, text string"))
 
 
+def test_many_spans_in_one_text(spark):
+    """Spans of one text are merged in order, not paired: 30,000 addresses and as many numbers."""
+    text = " ".join(f"u{i}@mail.example ref {1000 + i}" for i in range(30_000))
+    check_base(spark.createDataFrame([(1, text), (2, "a@b.co")], "doc_id long, text string"))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_seeds_are_the_overlapping_candidates(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+
+    def some(n):
+        return [(rng.randrange(3), s, s + rng.randrange(1, 9)) for s in rng.choices(range(60), k=n)]
+
+    cands, base = sorted(set(some(40))), some(12)
+    got = pii._seeds(
+        spark.createDataFrame([(*c, "", "", "", False) for c in cands],
+                              "row long, start long, end long, before string, after string, "
+                              "instance string, base boolean"),
+        spark.createDataFrame(base, "row long, start long, end long")).collect()
+    assert sorted((r.row, r.start, r.end, r.seed) for r in got) == [
+        (row, s, e, any(b == row and x < e and s < y for b, x, y in base)) for row, s, e in cands]
+
+
 def test_contexts_find_unseen_identifiers(spark):
     """An account number that no pattern matches, in the words that stand before known ones."""
     rows = [(i, f"Some words. Please reach owner contact: u{i}@mail.example and go on, word{i}.")
