@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import distinct, map_arrow, mix, reach_workers, shingle_set, stage
@@ -51,6 +51,8 @@ LONG_COLUMN = 50_000
 BLOCK_ENTRIES = 500_000
 #: Turns of stars on set-aside columns before their remaining pairs are listed.
 STAR_TURNS = 2
+#: Columns before an entry that it carries when the remaining pairs are listed.
+EARLIER = 8
 #: Bits of the map that keeps most texts out of a verification's shuffle (1 MB at any input size).
 MAP_BITS = 23
 _U64 = np.uint64
@@ -370,7 +372,18 @@ def star_pairs(entries: DataFrame, links: DataFrame, percent: int, turn: int) ->
 
 
 def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """The plausible pairs of rows of different labels in a set-aside column."""
+    """The plausible pairs of rows of different labels in a set-aside column.
+
+    Rows that are alike share many columns.  Each entry carries the few columns before it in
+    its row (of smaller place, so that they are plausible where it is); a pair that has one
+    of them in common is listed there already, and not again.  The first column that a pair
+    shares always lists it.
+    """
+    earlier = Window.partitionBy("a", "size_a").orderBy("place_a", "col").rowsBetween(-EARLIER, -1)
+    near = F.collect_list(F.struct("col", "place_a")).over(earlier)
+    entries = stage(entries.withColumn("near", near).withColumn("before", F.transform(
+        F.filter("near", lambda x: x["place_a"] < F.col("place_a")), lambda x: x["col"])).drop("near"),
+        "cross-entries")
     groups = stage(entries.groupBy("col", "component").agg(
         F.min("size_a").alias("low"), F.max("size_a").alias("high"),
         F.min("place_a").alias("place")), "cross-groups")
@@ -381,9 +394,11 @@ def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
         & _plausible("high", "high_b", "place", "place_b", "low", "low_b", percent)) \
         .select("col", "component", "component_b")
     far = entries.select("col", F.col("component").alias("component_b"), F.col("a").alias("b"),
-                         F.col("size_a").alias("size_b"), F.col("place_a").alias("place_b"))
+                         F.col("size_a").alias("size_b"), F.col("place_a").alias("place_b"),
+                         F.col("before").alias("before_b"))
     pairs = (entries.join(sides, ["col", "component"]).join(far, ["col", "component_b"])
-             .where(_plausible("size_a", "size_b", "place_a", "place_b", "size_a", "size_b", percent)))
+             .where(_plausible("size_a", "size_b", "place_a", "place_b", "size_a", "size_b", percent)
+                    & ~F.arrays_overlap("before", "before_b")))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

@@ -131,6 +131,28 @@ def test_near_duplicates_of_a_large_group(spark):
     assert got == {i: forest.find(i) for i in sets}
 
 
+@pytest.mark.parametrize("earlier", (1, 8))
+def test_cross_pairs_are_all_plausible_ones(spark, monkeypatch, earlier):
+    """Also where rows share an id: each plausible pair of labels is listed, whatever is listed once."""
+    import random
+
+    monkeypatch.setattr(ngram_join, "EARLIER", earlier)
+    rng = random.Random(earlier)
+    rows = []
+    for i in range(70):
+        size = rng.randint(30, 44)
+        # rows of one id have one label
+        rows += [(c, i % 60, size, place, i % 60 if i % 60 % 3 else 3)
+                 for place, c in enumerate(sorted(rng.sample(range(-30, 30), 18)))]
+    need = lambda x, y: -(-75 * (x[2] + y[2]) // 175)
+    want = {(x[1], y[1]) for x in rows for y in rows
+            if x[0] == y[0] and x[1] < y[1] and x[4] != y[4]
+            and x[3] <= x[2] - need(x, y) and y[3] <= y[2] - need(x, y)}
+    entries = spark.createDataFrame(rows, "col long, a long, size_a long, place_a long, component long")
+    got = ngram_join.cross_pairs(entries, 75).collect()
+    assert want and {(r.a, r.b) for r in got} == want and len(got) == len(want)
+
+
 def test_near_duplicates_split_columns(spark, monkeypatch, documents, corpus):
     """Columns that are dealt to several blocks, and set aside from two rows on, lose no link."""
     monkeypatch.setattr(ngram_join, "LONG_COLUMN", 2)
