@@ -13,8 +13,9 @@ from lakemart.session import scratch_path
 
 #: ASCII white space, as in ``[\x20\x09-\x0D]``.
 WHITE_SPACE = bytes([0x20, *range(0x09, 0x0E)])
-#: Texts are hashed in pieces of about this many bytes, cut between words.
-CHUNK_BYTES = 1 << 20
+#: Texts are hashed in pieces of about this many bytes, cut between words; what a worker keeps for it
+#: is 64 times as large.
+CHUNK_BYTES = 1 << 16
 _ODD = 0x9E3779B97F4A7C15
 _U64 = np.uint64
 

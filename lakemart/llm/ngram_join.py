@@ -48,7 +48,9 @@ SHORT_COLUMN = 8
 #: Columns that may have more documents are dealt out to several blocks.
 LONG_COLUMN = 50_000
 #: Entries of the matrix in a block, about.
-BLOCK_ENTRIES = 500_000
+BLOCK_ENTRIES = 200_000
+#: Entries that a task holds before it deals them out to their blocks, about.
+DEALT_ENTRIES = 200_000
 #: Turns of stars on set-aside columns before their remaining pairs are listed.
 STAR_TURNS = 2
 #: Columns before an entry that it carries when the remaining pairs are listed.
@@ -70,16 +72,7 @@ def _describe(docs: DataFrame) -> DataFrame:
     A row has either an id or a chunk of counters (of sets, each once in a task).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-        held, n_held, seen = [], 0, set()
-
-        def add():
-            nonlocal held, n_held
-            if held:
-                counts[:] += np.bincount(np.concatenate(held), minlength=counts.size).astype(
-                    np.uint32)
-            held, n_held = [], 0
-
+        counts, seen, one = np.zeros(1 << SKETCH_BITS, np.uint32), set(), np.uint32(1)
         for b in batches:
             sizes, keys = [], []
             for text in b.column("text"):
@@ -89,15 +82,11 @@ def _describe(docs: DataFrame) -> DataFrame:
                 keys.append(key)
                 if key and key not in seen:
                     seen.add(key)
-                    held.append((s >> _U64(64 - SKETCH_BITS)).astype(np.int64))
-                    n_held += s.size
-                    if n_held > 2_000_000:
-                        add()
+                    np.add.at(counts, (s >> _U64(64 - SKETCH_BITS)).astype(np.int64), one)
             none = [None] * b.num_rows
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(sizes, _I64), pa.array(keys, pa.binary()),
                  pa.array(none, pa.int32()), pa.array(none, pa.binary())], schema=_facts)
-        add()
         for k in range(1 << (SKETCH_BITS - _CHUNK_BITS)):
             part = counts[k << _CHUNK_BITS:(k + 1) << _CHUNK_BITS]
             if part.any():
@@ -183,7 +172,7 @@ def _entries(docs: DataFrame, weights: np.ndarray, blocks: int, percent: int) ->
                 n = s.size - -(-percent * s.size // 100) + 1
                 held.append((np.sort(np.partition(cols, n - 1)[:n]), row, s.size))
                 n_held += n
-                if n_held > 500_000:
+                if n_held > DEALT_ENTRIES:
                     yield deal()
                     held, n_held = [], 0
         if held:
