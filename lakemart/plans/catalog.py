@@ -544,6 +544,18 @@ def landed_reviews(spark, sf):
     return landing.bronze_table(spark, f"{d.bronze}/{t}").drop("_file_name")
 
 
+@query
+def landed_reviews_split(spark, sf):
+    """The same text in one file a year, each read by blocks of 500 lines: records that cross blocks are
+    put together again."""
+    t, d = "raw_order_reviews", new_drop(spark)
+    lines = landing_lines(spark, sf, t).withColumn("bucket", F.lit(0))
+    header = lines.where("_ord = 0").distinct()
+    write_landing(lines.where("_ord = 1").unionByName(header), d.folder(t))
+    rows = landing.read_landing(spark, d.folder(t), t, LANDING_STAMP, block_lines=500)
+    return landing.split_quarantine(rows)[0].drop("_file_name")
+
+
 @query
 def landed_audit_files(spark, sf):
     """Customer files that carry audit columns: read like any other, stamped by the load."""

@@ -21,6 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from lakemart.functions.text import NULL_TOKENS, null_if_token
 from lakemart.operators.commit import Folder
+from lakemart.sources import multiline
 
 CORRUPT = "_corrupt_record"
 #: Start of the file split that a rejected row stands in, and its number there.
@@ -56,7 +57,7 @@ SUBFOLDER = {
 }
 WEEKLY_TABLES = ("raw_orders", "raw_order_items", "raw_order_payments", "raw_order_reviews",
                  "raw_customers")
-# free text may span lines inside quotes; only these files are parsed whole
+# free text may span lines inside quotes
 MULTILINE_TABLES = ("raw_order_reviews",)
 # -------------------------------------------------------------------------------------
 
@@ -95,8 +96,13 @@ def _carries_audit(corrupt: Column, table: str) -> Column:
             & again[AUDIT_COLUMNS[1]].try_cast("timestamp_ntz").isNotNull())
 
 
-def with_audit(parsed: DataFrame, table: str, loaded_at=None) -> DataFrame:
-    """Parsed CSV rows (with ``_metadata``) -> business columns (tokens nulled) + audit + corrupt."""
+def with_audit(parsed: DataFrame, table: str, loaded_at=None, file: Column | None = None,
+               position: Column | None = None) -> DataFrame:
+    """Parsed CSV rows -> business columns (tokens nulled) + audit + corrupt.
+
+    File and position are those of ``_metadata`` unless given."""
+    file = F.col("_metadata.file_path") if file is None else file
+    position = F.col("_metadata.file_block_start") if position is None else position
     cols = BRONZE_COLUMNS[table]
     # Spark refuses a raw-CSV query whose only parsed column is the corrupt
     # record (e.g. counting rejects), and a filter on it alone would be pushed into the
@@ -106,14 +112,32 @@ def with_audit(parsed: DataFrame, table: str, loaded_at=None) -> DataFrame:
     # only records that did not fit are parsed again
     corrupt = F.when(raw.isNotNull() & ~F.coalesce(_carries_audit(raw, table), F.lit(False)), raw)
     return parsed.select(*[null_if_token(F.col(c), NULL_TOKENS).alias(c) for c in cols],
-                         F.col("_metadata.file_path").alias("_file_name"),
-                         loaded_at_col(loaded_at).alias("_loaded_at"),
-                         corrupt.alias(CORRUPT),
-                         F.col("_metadata.file_block_start").alias(POSITION))
+                         file.alias("_file_name"), loaded_at_col(loaded_at).alias("_loaded_at"),
+                         corrupt.alias(CORRUPT), position.alias(POSITION))
+
+
+def parse_lines(spark: SparkSession, lines: DataFrame, table: str, loaded_at=None,
+                block_lines: int = multiline.BLOCK_LINES) -> DataFrame:
+    """Rows of a table whose text spans lines, from the lines of its files (:mod:`.multiline`)."""
+    found = multiline.records(spark, lines, block_lines)
+    parsed = found.withColumn("row", F.from_csv(multiline.RECORD, _ddl(landing_schema(table)),
+                                                csv_options(table)))
+    position = F.struct(F.col(multiline.BLOCK).alias("block"), F.col(multiline.LINE).alias("row"))
+    return with_audit(parsed.select("row.*", multiline.FILE, multiline.BLOCK, multiline.LINE), table,
+                      loaded_at, F.col(multiline.FILE), position)
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` STRING" for f in schema)
+
 
+def read_landing(spark: SparkSession, path: str, table: str, loaded_at=None,
+                 block_lines: int = multiline.BLOCK_LINES) -> DataFrame:
+    """All files under ``path`` parsed positionally; corrupt rows flagged, not dropped.
 
-def read_landing(spark: SparkSession, path: str, table: str, loaded_at=None) -> DataFrame:
-    """All files under ``path`` parsed positionally; corrupt rows flagged, not dropped."""
+    Files are split over tasks; those of multi-line tables in blocks of ``block_lines``."""
+    if table in MULTILINE_TABLES:
+        return parse_lines(spark, multiline.read_lines(spark.read, path), table, loaded_at, block_lines)
     parsed = spark.read.schema(landing_schema(table)).options(**csv_options(table)).csv(path)
     return with_audit(parsed, table, loaded_at)
 
@@ -128,6 +152,8 @@ def split_quarantine(loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def numbered(loaded: DataFrame) -> DataFrame:
     """Gives rejected rows their place: (start of the file split, running number in it)."""
+    if isinstance(loaded.schema[POSITION].dataType, StructType):  # rows found by their lines have it
+        return loaded.withColumn(POSITION, F.when(F.col(CORRUPT).isNotNull(), F.col(POSITION)))
     return loaded.withColumn(POSITION, F.when(F.col(CORRUPT).isNotNull(), F.struct(
         F.col(POSITION).alias("block"), F.monotonically_increasing_id().alias("row"))))
 

@@ -315,6 +315,7 @@ SQL["load_full_then_incremental"] = _landed("raw_orders", _ORDER_COLS, _BY_WAVE,
 SQL["landed_reviews"] = _landed("raw_order_reviews", _REVIEW_COLS, _FIRST).replace(
     "CASE WHEN review_comment_message IN", "CASE WHEN replace(review_comment_message, ',', E',\\n') IN").replace(
     "ELSE review_comment_message END", "ELSE replace(review_comment_message, ',', E',\\n') END")
+SQL["landed_reviews_split"] = SQL["landed_reviews"]
 SQL["landed_sink"] = _landed(
     "raw_sellers", ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"], _FIRST)
 SQL["landed_audit_files"] = _landed(
