@@ -3,6 +3,7 @@
 import hashlib
 import html
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -481,9 +482,37 @@ def test_markup(spark):
     assert html_text.parse("plain <b>text").lines == ["plain text"]
 
 
-def test_common_lines():
+def test_names_hide_blocks_and_values_do_not():
+    shown = ['<p title="a hidden gem">Body</p>', '<section id="related-work"><p>Body</p></section>',
+             '<div id="search-trees">Body</div>', '<p data-x="class=ad">Body</p>',
+             '<p data-style="display:none">Body</p>', '<p aria-hidden="false">Body</p>']
+    gone = ['<p hidden>Body</p>', '<p class="a" hidden=hidden>Body</p>', "<p aria-hidden='true'>Body</p>",
+            '<p style="color:red; display: none">Body</p>', '<div id="cookie-notice">Body</div>',
+            '<div class="related-work">Body</div>', '<div id=sidebar>Body</div>']
+    for markup, furniture in [(x, False) for x in shown] + [(x, True) for x in gone]:
+        assert html_text.parse(f"<article>{markup}</article>").furniture == [furniture], markup
+    # outside an article an id counts as before
+    assert html_text.parse('<div id="related-posts">Body</div>').furniture == [True]
+
+
+@pytest.mark.parametrize("a, b, length", [
+    ([7] * 100_000, [7] * 99_000, 99_000),
+    ([7] * 100_000 + [1], [1] + [7] * 100_000, 100_000),
+    ([1, 2] * 25_000, [2, 2, 1] * 15_000, None)])
+def test_common_lines_of_many_equal_lines(a, b, length):
+    start = time.monotonic()
+    got = html_text.common_lines(a, b)
+    assert time.monotonic() - start < 30  # every agreeing pair of positions by itself would take hours
+    assert got == sorted(set(got)) and (length is None or len(got) == length)
+    rest = iter(b)
+    assert all(any(x == y for y in rest) for x in (a[i] for i in got))
+
+
+@pytest.mark.parametrize("pairs_a_line", [1, html_text.PAIRS_A_LINE])
+def test_common_lines(monkeypatch, pairs_a_line):
     import random
 
+    monkeypatch.setattr(html_text, "PAIRS_A_LINE", pairs_a_line)
     rng = random.Random(6)
     for _ in range(100):
         a = [rng.randrange(6) for _ in range(rng.randint(0, 14))]
