@@ -23,6 +23,7 @@ _EXPORTS = {
     "upsert_table": "lakemart.operators.merge",
     "scd2_check": "lakemart.operators.history", "as_of_join": "lakemart.operators.history",
     "Check": "lakemart.operators.quality", "run_tests": "lakemart.operators.quality",
+    "run_changed_tests": "lakemart.operators.quality_state",
     "hash_sample": "lakemart.operators.sample",
     "read_landing": "lakemart.sources.landing", "load_report": "lakemart.sources.landing",
     "verify_counts": "lakemart.sources.landing", "full_reload": "lakemart.streaming.file_ledger",

@@ -109,7 +109,16 @@ def _stacked_value(c: Check) -> Column:
     return F.when(~col.isin(*c.values), col.cast("string"))
 
 
-def _labelled(row: DataFrame, checks: Sequence[Check], names: Sequence[str]) -> DataFrame:
+def stacked_entry(c: Check) -> Column:
+    """A row's value for a test that counts values, or a constant if it violates a row test; else NULL."""
+    if c.test in ROW_TESTS:
+        return F.when(_row_condition(c), F.lit(_VIOLATION))
+    if c.test == "relationships":
+        return F.col(c.column).cast("string")
+    return _stacked_value(c)
+
+
+def labelled(row: DataFrame, checks: Sequence[Check], names: Sequence[str]) -> DataFrame:
     """One aggregate row with a column per test -> one labelled row per test."""
     return row.select(F.explode(F.array(*[
         F.struct(F.lit(c.model).alias("model"), F.lit(c.test).alias("test"),
@@ -132,11 +141,11 @@ def run_tests(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
             # row tests alone: one plain aggregate, no explode and no shuffle
             names = [f"t{i}" for i in range(len(row_cs))]
             agg = df.agg(*[F.count_if(_row_condition(c)).alias(n) for c, n in zip(row_cs, names)])
-            parts.append(_labelled(agg, row_cs, names))
+            parts.append(labelled(agg, row_cs, names))
         for c in cs:
             if c.test == "relationships":
                 orphans = relationships(df, c.column, models[c.to], c.field)
-                parts.append(_labelled(orphans.agg(F.count(F.lit(1)).alias("t0")), [c], ["t0"]))
+                parts.append(labelled(orphans.agg(F.count(F.lit(1)).alias("t0")), [c], ["t0"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -155,22 +164,22 @@ def _fused_counts(df: DataFrame, cs: Sequence[Check]) -> DataFrame:
     value under test.  Grouping by (test, value) then folds into one count per
     test: violating rows, duplicated values, or distinct unexpected values.
     """
-    def entry(c: Check) -> Column:
-        if c.test in ROW_TESTS:
-            return F.when(_row_condition(c), F.lit(_VIOLATION))
-        return _stacked_value(c)
     stacked = (df.select(F.explode(F.array(*[
-                  F.struct(F.lit(i).alias("t"), entry(c).alias("v")) for i, c in enumerate(cs)])).alias("s"))
+                  F.struct(F.lit(i).alias("t"), stacked_entry(c).alias("v")) for i, c in enumerate(cs)])).alias("s"))
                  .select("s.t", "s.v").where(F.col("v").isNotNull()))
     counted = stacked.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
+    return folded(counted, cs, list(range(len(cs))))
+
+
+def folded(counted: DataFrame, cs: Sequence[Check], ids: Sequence) -> DataFrame:
+    """Counts ``n`` of each test and value, (t, v, n), into one row per test; ``ids`` are the tests' ``t``."""
     t, n = F.col("t"), F.col("n")
 
-    def fold(i: int, c: Check) -> Column:
+    def fold(i, c: Check) -> Column:
         if c.test in ROW_TESTS:
             return F.coalesce(F.sum(F.when(t == i, n)), F.lit(0))
         if c.test == "accepted_values":
             return F.count_if(t == i)
         return F.count_if((t == i) & (n > 1))
     names = [f"t{i}" for i in range(len(cs))]
-    return _labelled(counted.agg(*[fold(i, c).alias(nm) for i, (c, nm) in enumerate(zip(cs, names))]),
-                     cs, names)
+    return labelled(counted.agg(*[fold(i, c).alias(nm) for i, c, nm in zip(ids, cs, names)]), cs, names)

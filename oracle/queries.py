@@ -107,6 +107,10 @@ SQL["data_tests_summary"] = with_models("\nUNION ALL\n".join(
     f"SELECT '{m}' AS model, '{t}' AS test, '{c}' AS column_name, ({body}) AS violations"
     for m, t, c, body in _tests()), *_NOT_NULL)
 
+SQL["data_tests_incremental"] = with_models("\nUNION ALL\n".join(
+    f"SELECT '{m}' AS model, '{t}' AS test, '{c}' AS column_name, ({body}) AS violations"
+    for m, t, c, body in _tests() if m == "fact_sales"), *_NOT_NULL)
+
 # --- generic operators ---------------------------------------------------------------
 _LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
             "l_returnflag", "l_linestatus", "l_shipdate"]
