@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+from lakemart.plans import catalog
 from lakemart.sources import landing
 from lakemart.streaming import file_ledger
 
@@ -237,3 +238,27 @@ def test_listing_batches_runs_no_job(spark, tmp):
     log = file_ledger.LoadLog(spark, bronze, "raw_order_payments")
     assert len(log.complete()) == 3 and file_ledger.load_time([log], "2024-02-01") == dt.datetime(2024, 2, 1)
     assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("listing")) == []
+
+
+def test_landing_files_stand_in_folders_of_their_groups_alone(spark, tmp_path):
+    lines = spark.createDataFrame(
+        [(g, b, o, k, f"{g}-{b}-{o}-{k}") for g in (1996, 1997) for b in range(5)
+         for o, k in ((0, 0), (1, 2), (1, 1))],
+        "file_group int, bucket long, _ord int, _key long, value string")
+    catalog.write_landing(lines, str(tmp_path / "drop"))
+    folders = sorted(p.name for p in (tmp_path / "drop").iterdir() if p.is_dir())
+    assert folders == ["file_group=1996", "file_group=1997"]
+    files = [p.read_text().splitlines() for p in (tmp_path / "drop").glob("*/part-*")]
+    assert sorted(files) == sorted([f"{g}-{b}-0-0", f"{g}-{b}-1-1", f"{g}-{b}-1-2"]
+                                   for g in (1996, 1997) for b in range(5))
+
+
+def test_number_of_landing_files_does_not_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "ROWS_PER_FILE", 10)
+    sf = "/root/testdata/sf0.001"
+    few = catalog.landing_lines(spark, sf, "raw_orders", most_files=3)
+    counted = catalog.landing_lines(spark, sf, "raw_orders", most_files=None)
+    n = counted.where("_ord = 1").count()
+    assert few.where("_ord = 1").count() == n
+    assert few.select("bucket").distinct().count() == 3
+    assert counted.select("bucket").distinct().count() > 100
