@@ -150,3 +150,11 @@ def test_two_runs_at_one_time_keep_what_both_closed(spark, tmp):
     history.update_history(src(spark, [("b", "y")]), path, "id", ["city"], D[1])
     h = history.update_history(src(spark, []), path, "id", ["city"], D[1])
     assert h.where(F.col("dbt_valid_to").isNotNull()).count() == 2 == h.count()
+
+
+def test_folders_of_a_file(spark):
+    df = spark.createDataFrame([("file:/a/t/m=1/n=x%20y/part-0.parquet",)], "p string")
+    got = df.select(*(commit.folders_of("p", d) for d in range(3)))
+    assert tuple(got.first()) == ("", "n=x%20y", "m=1/n=x%20y")
+    # a pattern searched from every character of a path is no cost for each row
+    assert "regexp" not in got._jdf.queryExecution().toString().lower()
