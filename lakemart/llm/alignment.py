@@ -4,8 +4,7 @@ Every tokenizer gives a token-byte incidence matrix (a row for each token, a col
 as compressed sparse rows.  The overlap links are the nonzeros of A Bᵀ, computed row by row as
 Gustavson does: a row of the product gathers the rows of Bᵀ that the row of A points at.  Byte
 offsets where tokens of both end cut the tokens into groups; the shared-group links are the
-product of the two token-group incidences, of which only the symbolic part (how many links each token
-has) is computed unless they are asked for.
+product of the two token-group incidences, made in blocks of rows of bounded size.
 
 How often an id pair is linked is counted over the whole corpus.  Texts are processed in blocks of
 bounded size: a block contributes each of its pairs once, with a count, and gets back that pair's total,
@@ -29,6 +28,8 @@ from lakemart.llm.common import map_arrow, reach_workers, stage
 
 #: Texts of a block have about so many bytes together (a longer text is a block of its own).
 BLOCK_BYTES = 16 << 20
+#: Products of the shared-group links that are held at once.
+LINK_BLOCK = 1 << 20
 
 
 @dataclass
@@ -47,6 +48,11 @@ class Rows:
         n = int(starts[-1])
         return cls(starts, np.arange(n), np.ones(n, np.int64), n)
 
+    def part(self, i: int, j: int) -> "Rows":
+        """The rows from ``i`` up to ``j``."""
+        at = slice(self.starts[i], self.starts[j])
+        return Rows(self.starts[i:j + 1] - self.starts[i], self.col[at], self.value[at], self.width)
+
     def transposed(self) -> "Rows":
         """Columns as rows, by a counting sort of the nonzeros."""
         row = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
@@ -102,14 +108,26 @@ def group_sizes(a_len: np.ndarray, b_len: np.ndarray) -> tuple[np.ndarray, np.nd
 def group_links(a_in: np.ndarray, b_in: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token numbers of every pair that shares a group: the product of both group incidences.
 
-    Grows with the product of a group's sizes; :func:`group_link_counts` does not."""
+    Holds as many as there are; :func:`group_link_counts` holds a block of them."""
     product = gustavson(Rows.runs(a_in).transposed(), Rows.runs(b_in))
     return np.repeat(np.arange(int(a_in.sum())), np.diff(product.starts)), product.col
 
 
-def group_link_counts(a_in: np.ndarray, b_in: np.ndarray) -> np.ndarray:
-    """Shared-group links of every token of A, without listing them."""
-    return flops(Rows.runs(a_in).transposed(), Rows.runs(b_in))
+def group_link_counts(a_in: np.ndarray, b_in: np.ndarray, block: int = LINK_BLOCK) -> np.ndarray:
+    """Shared-group links of every token of A: the nonzeros in its row of the product of both group incidences.
+
+    The product is made in full, in blocks of rows of about ``block`` products, as the symbolic part
+    foretells them, so that no more than these are held (a row has at most the text's B tokens).
+    """
+    a, b = Rows.runs(a_in).transposed(), Rows.runs(b_in)
+    ends = np.cumsum(flops(a, b))
+    parts, i = [], 0
+    while i < len(ends):
+        done = int(ends[i - 1]) if i else 0
+        j = max(int(np.searchsorted(ends, done + block, "right")), i + 1)
+        parts.append(np.diff(gustavson(a.part(i, j), b).starts))
+        i = j
+    return np.concatenate(parts) if parts else ends
 
 
 class Tokenizers:

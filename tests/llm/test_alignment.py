@@ -147,3 +147,18 @@ def test_byte_bpe_gives_the_ids_of_the_tokenizers_library():
         some = texts[i:i + (1 << 16)]
         for t, e in zip(some, slow.encode_batch_fast(some, add_special_tokens=False), strict=True):
             assert fast.encode(t, allowed_special="all") == e.ids
+
+
+def test_group_links_are_made_by_the_product(monkeypatch):
+    rng = np.random.default_rng(5)
+    made = []
+    product = alignment.gustavson
+    monkeypatch.setattr(alignment, "gustavson", lambda a, b: made.append(product(a, b)) or made[-1])
+    for block in (1, 7, 1000):
+        a_in, b_in = rng.integers(1, 6, 40), rng.integers(1, 6, 40)
+        made.clear()
+        counts = alignment.group_link_counts(a_in, b_in, block)
+        assert counts.tolist() == np.repeat(b_in, a_in).tolist()
+        assert sum(len(m.col) for m in made) == int((a_in * b_in).sum())
+        assert all(len(m.col) <= max(block, 5) for m in made)
+    assert alignment.group_link_counts(np.array([], int), np.array([], int)).tolist() == []
