@@ -132,3 +132,14 @@ def test_membership_keeps_items_where_they_are(spark):
         assert marts.exceptional_ids(items, dims[1], "seller_id", limit=1) is None
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_the_fact_queries_give_item_keys_by_membership(spark, monkeypatch):
+    from lakemart.plans import catalog, marts
+    looked_up = []
+    find = marts.exceptional_ids
+    monkeypatch.setattr(marts, "exceptional_ids",
+                        lambda items, dim, id_col: looked_up.append(id_col) or find(items, dim, id_col))
+    plan = catalog.QUERIES["fact_sales"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert looked_up == ["seller_id", "product_id"]
+    assert "part.parquet" not in plan and "supplier.parquet" not in plan
