@@ -9,7 +9,7 @@ of fixed size over all documents.  Only those entries are multiplied.
 * Columns are dealt into blocks; each block multiplies its columns and adds up the
   overlap of each pair.  A column with few documents gives all their pairs.
 * A longer column gives a star (each document with one hub of about its
-  size) and is set aside.  Linked documents get a common label, and then the
+  size, in half of the columns the one with the fewest rarer shingles) and is set aside.  Linked documents get a common label, and then the
   set-aside columns give the pairs of documents with *different* labels; pairs
   with one label can no longer change the result.
 * Sizes of two documents give the least overlap of a link.  The first column that they
@@ -249,9 +249,10 @@ def _multiply(percent: int):
             out.append(_rows(2, a=row[member], size_a=size[member], place_a=place[member],
                              col=col[member].view(np.int64)))
             step = np.floor(np.log(size[member]) / np.log(100 / percent)).astype(np.int64)
-            # two orders of rows, by column, so that a row meets more than one hub
-            turn = (col[member] & _U64(1)) * _U64(0x5851F42D4C957F2D)
-            order = np.lexsort((mix(row[member].astype(_U64) ^ turn), step, col[member]))
+            # two orders of rows, by column, so that a row meets more than one hub: that with the smallest
+            # share of rarer shingles first (see star_pairs), or any
+            share = np.where(col[member] & _U64(1), 0.0, place[member] / size[member])
+            order = np.lexsort((mix(row[member].astype(_U64)), share, step, col[member]))
             member, step = member[order], step[order]
             c = col[member]
             new = np.concatenate(([True], (c[1:] != c[:-1]) | (step[1:] != step[:-1])))
@@ -345,16 +346,25 @@ def _plausible(a: str, b: str, place_a: str, place_b: str, low_a: str, low_b: st
 def star_pairs(entries: DataFrame, links: DataFrame, percent: int, turn: int) -> DataFrame:
     """Pairs of each row with one linked row of each of its set-aside columns, of another label.
 
-    The row is drawn by a hash that differs by column and turn: a row that its component's first
+    In turn 0 it is the row of about its size that has the smallest share of rarer shingles: of mutated copies the
+    one nearest to what they all come from, which most of them link with.  Later the row is
+    drawn by a hash that differs by column and turn: a row that its component's first
     hubs do not resemble meets as many others as it has columns.
     """
     linked = links.select("a").union(links.select("b")).distinct()
-    drawn = F.xxhash64("col", "a", F.lit(turn)).alias("drawn")
-    hubs = entries.join(linked, "a").groupBy("col").agg(F.max(F.struct(
-        drawn, "a", "size_a", "place_a", "component")).alias("hub")).select(
-        "col", F.col("hub.a").alias("b"), F.col("hub.size_a").alias("size_b"),
+    drawn = F.xxhash64("col", "a", F.lit(turn))
+    keys, entries = ["col"], entries.withColumn("step", F.lit(0))
+    if turn == 0:
+        keys, entries = ["col", "step"], entries.withColumn("step", F.floor(F.log(
+            100 / percent, F.col("size_a"))).cast("int"))
+        first = -F.col("place_a") / F.col("size_a")
+    else:
+        first = F.lit(0.0)
+    hubs = entries.join(linked, "a").groupBy(*keys).agg(F.max(F.struct(
+        first.alias("first"), drawn.alias("drawn"), "a", "size_a", "place_a", "component")).alias("hub")).select(
+        *keys, F.col("hub.a").alias("b"), F.col("hub.size_a").alias("size_b"),
         F.col("hub.place_a").alias("place_b"), F.col("hub.component").alias("other"))
-    pairs = entries.join(hubs, "col").where(
+    pairs = entries.join(hubs, keys).where(
         (F.col("component") != F.col("other"))
         & _plausible("size_a", "size_b", "place_a", "place_b", "size_a", "size_b", percent))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -374,12 +384,13 @@ def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
         F.filter("near", lambda x: x["place_a"] < F.col("place_a")), lambda x: x["col"])).drop("near"),
         "cross-entries")
     groups = stage(entries.groupBy("col", "component").agg(
-        F.min("size_a").alias("low"), F.max("size_a").alias("high"),
+        F.count("*").alias("n"), F.min("size_a").alias("low"), F.max("size_a").alias("high"),
         F.min("place_a").alias("place")), "cross-groups")
     far_groups = groups.select("col", *(F.col(c).alias(f"{c}_b") for c in
-                                        ("component", "low", "high", "place")))
+                                        ("component", "n", "low", "high", "place")))
+    # the smaller group is repeated for each other one; the larger is only read beside it
     sides = groups.join(far_groups, "col").where(
-        (F.col("component") < F.col("component_b"))
+        (F.struct("n", "component") < F.struct("n_b", "component_b"))
         & _plausible("high", "high_b", "place", "place_b", "low", "low_b", percent)) \
         .select("col", "component", "component_b")
     far = entries.select("col", F.col("component").alias("component_b"), F.col("a").alias("b"),
@@ -415,7 +426,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     copies = sets.where("set_key is not null and id is not null")
     leads = copies.groupBy("set_key").agg(F.min("id").alias("b"), F.count("*").alias("n"))
-    same = copies.join(leads.where("n > 1"), "set_key").select(F.col("id").alias("a"), "b")
+    same = stage(copies.join(leads.where("n > 1"), "set_key").select(F.col("id").alias("a"), "b"), "ngram-same")
 
     # overlaps over all blocks, and the last column of all; set-aside columns before that may add
     # one for each that both rows have

@@ -131,6 +131,36 @@ def test_near_duplicates_of_a_large_group(spark):
     assert got == {i: forest.find(i) for i in sets}
 
 
+def test_pairs_of_mutated_copies_grow_with_their_number(spark, monkeypatch):
+    """Copies changed so much that many pairs don't link: the hubs link most, few pairs are left to list."""
+    import random
+
+    rng, made = random.Random(8), []
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    base, texts = [word() for _ in range(150)], []
+    for _ in range(400):
+        w = list(base)
+        for at in rng.sample(range(150), rng.randint(0, 8)):
+            w[at] = word()
+        texts.append(" ".join(w))
+    staged = ngram_join.stage
+
+    def counted(df, name):
+        out = staged(df, name)
+        made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    sets = {i: shingles(t) for i, t in enumerate(texts)}
+    forest = linked(sets)
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df).collect()}
+    assert got == {i: forest.find(i) for i in sets}
+    assert len(set(got.values())) > 20
+    pairs = [n for name, n in made if name == "ngram-pairs"]
+    assert pairs[-1] <= len(texts)
+
+
 @pytest.mark.parametrize("earlier", (1, 8))
 def test_cross_pairs_are_all_plausible_ones(spark, monkeypatch, earlier):
     """Also where rows share an id: each plausible pair of labels is listed, whatever is listed once."""
