@@ -143,3 +143,24 @@ def test_the_fact_queries_give_item_keys_by_membership(spark, monkeypatch):
     plan = catalog.QUERIES["fact_sales"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert looked_up == ["seller_id", "product_id"]
     assert "part.parquet" not in plan and "supplier.parquet" not in plan
+
+
+def test_many_exceptional_ids_are_counted_on_short_rows(spark, monkeypatch):
+    """More exceptions than may be broadcast: the items meet the dimensions' counts before their orders, with the
+    rows of a plain join."""
+    from lakemart.plans import build, catalog, marts
+
+    s, dims = catalog.gold(spark, "/root/testdata/sf0.001")
+    uneven = lambda d, k: d.where(f"CAST({k} AS BIGINT) % 7 <> 3").unionByName(
+        d.where(f"CAST({k} AS BIGINT) % 11 = 5"))
+    dims = {**{k: dims[k] for k in ("customer_keys", "dim_date")},
+            "seller_keys": uneven(dims["seller_keys"], "seller_id"),
+            "dim_product": uneven(dims["dim_product"], "product_id")}
+    want = build.fact_sales(s, dims)
+    monkeypatch.setattr(marts, "exceptional_ids", lambda *args: None)
+    got = build.fact_sales(s, dims, by_membership=True)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    depth = lambda part: min(len(x) - len(x.lstrip(" :+-")) for x in text.splitlines() if part in x)
+    assert depth("AS n_product_id") > depth("Join Inner") and depth("AS n_seller_id") > depth("Join Inner")
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
