@@ -59,3 +59,27 @@ def test_registered(spark):
     assert set(entry.oracle_sql()) <= names
     assert [n for n, _ in P.STAGES] == ["language_id", "exact_dedup", "ngram_join",
                                         "decontamination", "packing"]
+
+
+def test_workers_give_memory_back(spark, documents):
+    """What a batch took is not kept by the worker, which the later stages share the executor with."""
+    import numpy as np
+    import pyarrow as pa
+
+    def held(batches):
+        def mb():
+            with open("/proc/self/statm") as f:
+                return int(f.read().split()[1]) * 4096 >> 20
+
+        for _ in batches:
+            before = mb()
+            parts = [pa.array(np.ones(100_000 + k), pa.float32(), safe=False) for k in range(0, 400_000, 4_000)]
+            parts += [np.ones(1_000_000) for _ in range(20)]
+            most = mb()
+            del parts
+            yield pa.RecordBatch.from_arrays([pa.array([pa.default_memory_pool().backend_name]), pa.array([
+                most - before]), pa.array([mb() - before])], ["pool", "taken", "kept"])
+
+    P.identify_language(spark, documents, SMALL)
+    row = spark.range(1).coalesce(1).mapInArrow(held, "pool string, taken long, kept long").first()
+    assert row.pool == "system" and row.taken > 100 and row.kept < 30
