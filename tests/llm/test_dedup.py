@@ -311,3 +311,23 @@ def test_bands_have_the_stated_recall(spark):
 def test_line_dedup_is_native(documents):
     plan = line_dedup.duplicate_lines(documents.limit(50))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_line_hashes_of_all_kinds_and_a_long_line(spark):
+    """Cut from bytes or by pattern, a shingle has one hash; a line's time doesn't grow with its square."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    lines = ["", "short", "exactly 12 c", "a" * 75, "b c " * 19, "x" * 63 + "é" + "y" * 70, "\U0001f600" * 30,
+             "".join(chr(97 + i * i % 23) for i in range(300)), "tab\there and a bell\x07 and\x00more of it"]
+    df = spark.createDataFrame([(x,) for x in lines], "norm string").repartition(2)
+    got = line_dedup._hashes(df, True).groupBy("node").agg(F.sort_array(F.collect_list("hash")).alias("of"))
+    want = df.select(F.xxhash64("norm").alias("node"), F.explode(F.transform(
+        line_dedup.shingles(F.col("norm"), True), lambda x: F.xxhash64(x))).alias("hash")) \
+        .groupBy("node").agg(F.sort_array(F.collect_list("hash")).alias("of"))
+    assert {(r.node, *r.of) for r in got.collect()} == {(r.node, *r.of) for r in want.collect()}
+    began = time.monotonic()
+    long = spark.range(1).select(F.expr("repeat('abc def-', 75000)").alias("norm"))
+    assert line_dedup._hashes(long, True).distinct().count() == 8
+    assert time.monotonic() - began < 20
