@@ -331,3 +331,15 @@ def test_line_hashes_of_all_kinds_and_a_long_line(spark):
     long = spark.range(1).select(F.expr("repeat('abc def-', 75000)").alias("norm"))
     assert line_dedup._hashes(long, True).distinct().count() == 8
     assert time.monotonic() - began < 20
+
+
+def test_line_minima_from_one_scan_and_several_shingles_a_row(spark):
+    """Characters of one byte and of several go one way, and rows of several hashes have the same minima."""
+    lines = ["short", "exactly 12 c", "x" * 63 + "é" + "y" * 700, "\U0001f600" * 30 + "漢字",
+             "".join(chr(97 + i * i % 23) for i in range(1000))]
+    df = spark.createDataFrame([(x,) for x in lines], "norm string").repartition(2)
+    plan = line_dedup._hashes(df, True)._jdf.queryExecution().toString()
+    assert not re.search("Union|regexp", plan)
+    several, single = ({r.node: r.bands for r in line_dedup._bands(x).collect()} for x in (
+        line_dedup._rows(df, True), line_dedup._hashes(df, True)))
+    assert several == single and len(single) == len(lines)
