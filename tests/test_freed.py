@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import stage
 from lakemart.llm.graph import components
+from lakemart.operators import commit, merge
 from lakemart.session import checkpoint_dir, shuffles_freed
 
 
@@ -50,3 +51,30 @@ def test_components_keep_their_last_round_only(spark):
     assert {r.component for r in out.collect()} == {0}
     scratch = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "lakemart-scratch")
     assert len([n for n in os.listdir(scratch) if n.startswith("chain-of-nodes")]) == 1
+
+
+def table_rows(spark, path):
+    return sorted(tuple(r) for r in merge.read_table(spark, path).select("k", "v", "p").collect())
+
+
+def test_upsert_in_groups_leaves_no_shuffle_files(spark, tmp, monkeypatch):
+    """Partitions merged in several groups: moved keys, new ones and null partitions come out as in one."""
+    def rows(n, moved):
+        return spark.range(n).selectExpr("id AS k", f"id + {moved} AS v",
+                                         f"IF(id % 11 = 3, NULL, concat('p', (id + {moved}) % 7)) AS p",
+                                         f"timestampadd(DAY, {moved}, TIMESTAMP_NTZ '2024-01-01') AS _loaded_at")
+
+    second = rows(300, 0).where("k >= 100").union(rows(150, 2)).union(rows(40, 1))
+    written, replace = [], commit.replace_partitions
+    monkeypatch.setattr(commit, "replace_partitions",
+                        lambda frames, *a, **b: (written.append(frames), replace(frames, *a, **b))[1])
+    results = []
+    for name, size in (("whole", 10 ** 9), ("groups", 50)):
+        monkeypatch.setattr(merge, "GROUP_ROWS", size)
+        path, before = f"{tmp}/{name}", shuffle_files(spark)
+        merge.upsert_table(rows(200, 0), path, ["k"], ["p"])
+        merge.upsert_table(second, path, ["k"], ["p"])
+        assert not left_over(spark, before)
+        results.append(table_rows(spark, path))
+    assert results[0] == results[1] and len(results[0]) == 300
+    assert len(written[1]) == 1 and len(written[3]) > 3
