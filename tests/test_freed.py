@@ -9,6 +9,8 @@ from lakemart.llm.common import stage
 from lakemart.llm.graph import components
 from lakemart.operators import commit, merge
 from lakemart.session import checkpoint_dir, shuffles_freed
+from lakemart.sources import landing
+from lakemart.streaming import file_ledger
 
 
 def shuffle_files(spark):
@@ -78,3 +80,32 @@ def test_upsert_in_groups_leaves_no_shuffle_files(spark, tmp, monkeypatch):
         results.append(table_rows(spark, path))
     assert results[0] == results[1] and len(results[0]) == 300
     assert len(written[1]) == 1 and len(written[3]) > 3
+
+
+def test_batch_is_read_from_its_own_folder(spark, tmp):
+    """A load reports on what it has written without listing the folders of all loads before."""
+    root, table = f"{tmp}/raw_sellers", "raw_sellers"
+    columns = ", ".join(f"'x' AS {c}" for c in landing.BRONZE_COLUMNS[table])
+    rows = spark.sql(f"SELECT {columns}, 'f' AS _file_name, TIMESTAMP_NTZ '2024-01-01' AS _loaded_at, "
+                     f"IF(id = 1, 'bad', NULL) AS {landing.CORRUPT}, 0L AS {landing.POSITION} FROM range(3)")
+    for batch in ("s0", "s1"):
+        landing.land(rows, root, batch, "2024-01-01 00:00:00")
+    got = landing.landed_batch(spark, root, table, "s1", "2024-01-01 00:00:00")
+    assert {f.split("/load_batch=")[1].split("/")[0] for f in got.inputFiles()} == {"s1"}
+    assert "InMemoryFileIndex(1 paths)" in got._jdf.queryExecution().toString()
+    report = landing.file_report(got).first()
+    assert (report.rows_parsed, report.rows_loaded, report.rows_rejected) == (3, 2, 1)
+    want = landing.landed(spark, root, table, complete_only=False).where(f"{landing.BATCH} = 's1'")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert landing.landed_batch(spark, root, table, "s2", "2024-01-01 00:00:00").isEmpty()
+
+
+def test_load_leaves_no_shuffle_files(spark, tmp):
+    table, before = "raw_sellers", shuffle_files(spark)
+    rows = spark.range(50).selectExpr(*(f"concat('{c}', id) AS {c}" for c in landing.BRONZE_COLUMNS[table]))
+    with shuffles_freed(spark):
+        landing.write_csv(rows, f"{tmp}/landing/{landing.SUBFOLDER[table]}/a")
+        report = file_ledger.load_incremental(spark, f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ledger", [table],
+                                              "2024-01-07 06:00:00")
+        assert report.first().rows_loaded == 50
+    assert not left_over(spark, before)
